@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {"BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(), "TIMESTAMP": T.TimestampType()}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Fields from ``name TYPE, ...``. Spark's own parser would need a running session on import."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Row order is explicit (`ord`): a Spark table has none of its own.
