@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from chroniq import constants as K
-from chroniq.functions.text import SPACE
+from chroniq.functions.text import SPACE, captures, let, literal_map
 
 _RFC = (
     r"(?i)\A\s*(?:[a-z]+\.?\s*,?\s*)?(\d{1,2})[\s-]+([a-z]{3,9})[\s-]+(\d{2,4})\s+"
@@ -22,13 +22,8 @@ _LISTING_EN = rf"\A(\d{{1,2}}){_GAP}([A-Za-z]+){_GAP}(\d{{4}}){_CLOCK}"
 _ISO = r"\A(\d{4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}):(\d{1,2}):(\d{1,2})\.\d{1,6}\z"
 
 
-def _int(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
-
-
-def _month_number(name: Column, months: dict[str, int]) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])
-    return F.try_element_at(table, name)
+def _number(part: Column) -> Column:
+    return part.try_cast("int")
 
 
 def _epoch(year, month, day, hour, minute, second, zone: str) -> Column:
@@ -42,44 +37,53 @@ def parse_rfc_date(text: Column, tz: str = "UTC") -> Column:
 
     With no zone, an unknown zone or ``-0000`` the time is local to ``tz``.
     """
-    part = lambda group: F.regexp_extract(text, _RFC, group)
     abbreviated = {name[:3]: number for name, number in K.ENGLISH_MONTHS.items()}
-    month = _month_number(F.lower(part(2)), {**K.ENGLISH_MONTHS, **abbreviated})
-    short_year = _int(text, _RFC, 3)
-    year = F.when(short_year >= 100, short_year).when(short_year > 68, short_year + 1900).otherwise(short_year + 2000)
-    second = F.coalesce(_int(text, _RFC, 6), F.lit(0))
-    fields = (year, month, _int(text, _RFC, 1), _int(text, _RFC, 4), _int(text, _RFC, 5), second)
-
-    zone = F.upper(part(7))
-    hours = F.create_map(*[F.lit(x) for pair in K.RFC_ZONES.items() for x in pair])
-    number = part(7).try_cast("int")
-    size = F.abs(number)
-    numeric = F.signum(number).cast("int") * (F.floor(size / 100) * 3600 + size % 100 * 60)
-    offset = F.coalesce(
-        F.try_element_at(hours, zone) * 3600,
-        F.when((number == 0) & F.startswith(zone, F.lit("-")), F.lit(None)).otherwise(numeric),
-    )
-    return F.when(offset.isNull(), _epoch(*fields, tz)).otherwise(_epoch(*fields, "UTC") - offset).cast("bigint")
+    months = literal_map({**K.ENGLISH_MONTHS, **abbreviated})
+    zones = literal_map({name: hours * 3600 for name, hours in K.RFC_ZONES.items()})
+
+    def offset(zone: Column, number: Column) -> Column:
+        size = F.abs(number)
+        numeric = F.signum(number).cast("int") * (F.floor(size / 100) * 3600 + size % 100 * 60)
+        unknown = (number == 0) & F.startswith(zone, F.lit("-"))
+        return F.coalesce(_number(F.try_element_at(zones, F.upper(zone))), F.when(~unknown, numeric))
+
+    def read(parts: Column) -> Column:
+        part = [parts[k] for k in range(7)]
+        month = _number(F.try_element_at(months, F.lower(part[1])))
+        written = _number(part[2])
+        year = written + F.when(written >= 100, 0).when(written > 68, 1900).otherwise(2000)
+        second = F.coalesce(_number(part[5]), F.lit(0))
+        fields = (year, month, _number(part[0]), _number(part[3]), _number(part[4]), second)
+        moment = let(
+            F.coalesce(offset(part[6], _number(part[6])), F.lit(None).cast("bigint")),
+            lambda shift: F.when(shift.isNull(), _epoch(*fields, tz)).otherwise(_epoch(*fields, "UTC") - shift),
+        )
+        return F.when(parts.isNotNull(), moment)
+
+    return let(captures(text, _RFC, 7), read).cast("bigint")
+
+
+def _read_listing(text: Column, pattern: str, months: dict[str, int], fold: bool, tz: str) -> Column:
+    def read(parts: Column) -> Column:
+        name = F.lower(parts[1]) if fold else parts[1]
+        month = _number(F.try_element_at(literal_map(months), name))
+        day, year, hour, minute = (_number(parts[k]) for k in (0, 2, 3, 4))
+        return _epoch(year, month, day, hour, minute, F.lit(0), tz)
+
+    return let(captures(text, pattern, 5), read)
 
 
 def parse_listing_date(text: Column, tz: str = "UTC") -> Column:
     """``13 листопада 2023 року - 20:34`` or ``13 November 2023 - 20:34`` -> epoch seconds, else null."""
-
-    def read(pattern: str, months: dict[str, int], fold: bool) -> Column:
-        name = F.regexp_extract(text, pattern, 2)
-        month = _month_number(F.lower(name) if fold else name, months)
-        day, year, hour, minute = (_int(text, pattern, g) for g in (1, 3, 4, 5))
-        return _epoch(year, month, day, hour, minute, F.lit(0), tz)
-
     return F.coalesce(
-        read(_LISTING_EN, K.ENGLISH_MONTHS, True), read(_LISTING_UK, K.UKRAINIAN_MONTHS, False)
+        _read_listing(text, _LISTING_EN, K.ENGLISH_MONTHS, True, tz),
+        _read_listing(text, _LISTING_UK, K.UKRAINIAN_MONTHS, False, tz),
     )
 
 
 def parse_iso_date(text: Column, tz: str = "UTC") -> Column:
     """ISO time stamp with a fraction, ``T`` or space between -> epoch seconds, else null."""
-    fields = [_int(text, _ISO, g) for g in range(1, 7)]
-    return _epoch(*fields, tz)
+    return let(captures(text, _ISO, 6), lambda parts: _epoch(*[_number(parts[k]) for k in range(6)], tz))
 
 
 def utc_date(epoch: Column) -> Column:

@@ -15,7 +15,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chroniq.functions.text import collapse_whitespace, let, strip
+from chroniq.functions.text import collapse_whitespace, let, literal_map, strip
 
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _RAW = r"<(?:script|style)(?=[\s/>]).*?(?:</(?:script|style)\s*>|\z)"
@@ -47,25 +47,35 @@ def _attribute_value(tag: Column, name: str) -> Column:
     return decode_entities(F.regexp_replace(value, r"""(?s)\A(["'])(.*)\1\z""", "$2"))
 
 
-def _decode_one(part: Column) -> Column:
-    """``part`` is what follows one ampersand."""
-    named = F.create_map(*[F.lit(x) for name, cp in name2codepoint.items() for x in (name, chr(cp))])
-    name = F.regexp_extract(part, r"\A([A-Za-z][A-Za-z0-9]*);", 1)
+_ENTITIES = {name: chr(code) for name, code in name2codepoint.items()}
+
+
+def _decode_numeric(part: Column) -> Column:
+    """``part`` starts with ``#``; null if it is no valid reference."""
+
+    def read(digits: Column, base: int, pattern: str) -> Column:
+        code = F.conv(digits, base, 10).cast("bigint")
+        valid = code.between(32, 0xD7FF) | code.between(0xE000, 0x10FFFF) | code.isin(9, 10, 13)
+        symbol = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(valid, F.concat(symbol, F.regexp_replace(part, pattern, "")))
+
     digits = F.regexp_extract(part, r"\A#([0-9]{1,7}(?![0-9]))", 1)
     hexits = F.regexp_extract(part, r"\A#[xX]([0-9A-Fa-f]{1,6}(?![0-9A-Fa-f]))", 1)
-    code = F.when(hexits != "", F.conv(hexits, 16, 10)).when(digits != "", digits).cast("bigint")
-    valid = code.between(32, 0xD7FF) | code.between(0xE000, 0x10FFFF) | code.isin(9, 10, 13)
-    symbol = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    numeric = F.concat(symbol, F.regexp_replace(part, r"\A#[xX]?[0-9A-Fa-f]+;?", ""))
-    # Decimal references must not swallow hex letters that follow them.
-    decimal = F.concat(symbol, F.regexp_replace(part, r"\A#[0-9]+;?", ""))
-    after_name = F.substr(part, F.length(name) + 2)
     return F.coalesce(
-        F.when(name != "", F.concat(F.try_element_at(named, name), after_name)),
-        F.when((hexits != "") & valid, numeric),
-        F.when((digits != "") & valid, decimal),
-        F.concat(F.lit("&"), part),
+        F.when(digits != "", read(digits, 10, r"\A#[0-9]+;?")),
+        F.when(hexits != "", read(hexits, 16, r"\A#[xX][0-9A-Fa-f]+;?")),
+    )
+
+
+def _decode_one(part: Column) -> Column:
+    """``part`` is what follows one ampersand."""
+    name = F.substring_index(part, ";", 1)
+    named = F.when(
+        F.length(name).between(2, 8) & (F.length(name) < F.length(part)),
+        F.concat(F.try_element_at(literal_map(_ENTITIES), name), F.substr(part, F.length(name) + 2)),
     )
+    numeric = F.when(F.startswith(part, F.lit("#")), _decode_numeric(part))
+    return F.coalesce(named, numeric, F.concat(F.lit("&"), part))
 
 
 def decode_entities(text: Column) -> Column:
@@ -98,46 +108,60 @@ def text_content(html: Column) -> Column:
 
 
 def _opens(token: Column, name: str) -> Column:
-    return F.rlike(token, F.lit(rf"(?i)\A<{_element(name)}"))
+    return F.rlike(F.substring(token, 1, len(name) + 2), F.lit(rf"(?i)\A<{name}[\s/>]"))
 
 
-def _closes(token: Column, name: str) -> Column:
-    return F.rlike(token, F.lit(rf"(?i)\A</{_element(name)}"))
+def _step(token: Column, name: str) -> Column:
+    """1 for a start tag, -1 for an end tag, else 0. Only the first characters are looked at."""
+    closes = F.rlike(F.substring(token, 1, len(name) + 3), F.lit(rf"(?i)\A</{name}[\s/>]"))
+    return F.when(_opens(token, name), 1).when(closes, -1).otherwise(0)
 
 
-def _step(token: Column, name: str) -> Column:
-    return F.when(_opens(token, name), 1).when(_closes(token, name), -1).otherwise(0)
+def _has_class_part(token: Column, class_part: str) -> Column:
+    # The cheap test comes first; most tags do not have the name anywhere.
+    inside = F.coalesce(F.contains(_attribute_value(token, "class"), F.lit(class_part)), F.lit(False))
+    return F.contains(token, F.lit(class_part)) & inside
+
+
+def _class_is(token: Column, class_value: str) -> Column:
+    same = F.coalesce(_attribute_value(token, "class") == class_value, F.lit(False))
+    return F.contains(token, F.lit(class_value)) & same
+
+
+def _tokens(html: Column, name: str) -> Column:
+    return F.regexp_extract_all(html, F.lit(_between(name)), F.lit(0))
 
 
 def container(html: Column, name: str, class_part: str | None = None) -> Column:
     """Markup from the first matching element to its own end tag; null if there is none."""
 
     def is_start(token: Column) -> Column:
-        if class_part is None:
-            return _opens(token, name)
-        has_class = F.contains(_attribute_value(token, "class"), F.lit(class_part))
-        return _opens(token, name) & F.coalesce(has_class, F.lit(False))
+        opens = _opens(token, name)
+        return opens if class_part is None else opens & _has_class_part(token, class_part)
 
-    def cut(tokens: Column, start: Column) -> Column:
-        rest = F.slice(tokens, start, F.size(tokens))
+    def cut(rest: Column) -> Column:
         zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("taken"), F.lit(False).alias("done"))
 
-        def walk(state: Column, token: Column) -> Column:
-            depth = state["depth"] + _step(token, name)
+        def walk(state: Column, step: Column) -> Column:
+            depth = state["depth"] + step
             return F.when(state["done"], state).otherwise(
                 F.struct(
                     depth.alias("depth"), (state["taken"] + 1).alias("taken"), (depth == 0).alias("done")
                 )
             )
 
-        taken = F.aggregate(rest, zero, walk)["taken"]
+        steps = F.transform(rest, lambda token: _step(token, name))
+        taken = F.aggregate(steps, zero, walk, lambda state: state["taken"])
         return F.array_join(F.slice(rest, F.lit(1), taken), "")
 
     def find(tokens: Column) -> Column:
         start = F.array_position(F.transform(tokens, is_start), True).cast("int")
-        return let(start, lambda at: F.when(at > 0, cut(tokens, at)))
+        return let(
+            start, lambda at: F.when(at > 0, let(F.slice(tokens, at, F.size(tokens)), cut))
+        )
 
-    return let(F.regexp_extract_all(html, F.lit(_between(name)), F.lit(0)), find)
+    found = let(_tokens(html, name), find)
+    return found if class_part is None else F.when(F.contains(html, F.lit(class_part)), found)
 
 
 def container_text(html: Column, name: str, class_part: str | None = None) -> Column:
@@ -150,30 +174,31 @@ def container_text(html: Column, name: str, class_part: str | None = None) -> Co
 
 def inside_nested(html: Column, name: str, outer_class: str, inner_class: str) -> Column:
     """Markup inside ``inner_class`` elements that lie inside ``outer_class`` ones, joined in page order."""
-    zero = F.struct(
-        F.lit(0).alias("depth"), F.lit(0).alias("outer"), F.lit(0).alias("inner"), F.lit("").alias("kept")
-    )
+    zero = F.struct(*[F.lit(0).alias(n) for n in ("depth", "outer", "inner")], F.lit("").alias("kept"))
 
-    def walk(state: Column, token: Column) -> Column:
+    def mark(token: Column) -> Column:
         step = _step(token, name)
-        depth = state["depth"] + step
-        value = _attribute_value(token, "class")
-        outer = (
-            F.when((step == 1) & (state["outer"] == 0) & (value == outer_class), depth)
-            .when((step == -1) & (depth < state["outer"]), 0)
-            .otherwise(state["outer"])
-        )
-        # The outer element must have been open before this token.
-        inner = (
-            F.when((step == 1) & (state["inner"] == 0) & (state["outer"] > 0) & (value == inner_class), depth)
-            .when((step == -1) & (depth < state["inner"]), 0)
-            .otherwise(state["inner"])
+        opens = _opens(token, name)
+        return F.struct(
+            token.alias("token"),
+            step.alias("step"),
+            (opens & _class_is(token, outer_class)).alias("outer"),
+            (opens & _class_is(token, inner_class)).alias("inner"),
         )
-        kept = F.when(inner > 0, F.concat(state["kept"], token)).otherwise(state["kept"])
+
+    def enter(level: Column, starts: Column, depth: Column, step: Column) -> Column:
+        """Depth at which an element was entered; 0 outside of it."""
+        return F.when((level == 0) & starts, depth).when((step == -1) & (depth < level), 0).otherwise(level)
+
+    def walk(state: Column, tag: Column) -> Column:
+        depth = state["depth"] + tag["step"]
+        outer = enter(state["outer"], tag["outer"], depth, tag["step"])
+        # The outer element must have been open before this tag.
+        inner = enter(state["inner"], tag["inner"] & (state["outer"] > 0), depth, tag["step"])
+        kept = F.when(inner > 0, F.concat(state["kept"], tag["token"])).otherwise(state["kept"])
         return F.struct(depth.alias("depth"), outer.alias("outer"), inner.alias("inner"), kept.alias("kept"))
 
-    tokens = F.regexp_extract_all(html, F.lit(_between(name)), F.lit(0))
-    return F.aggregate(tokens, zero, walk)["kept"]
+    return F.aggregate(F.transform(_tokens(html, name), mark), zero, walk, lambda state: state["kept"])
 
 
 def elements(html: Column, name: str, class_part: str | None = None) -> Column:
@@ -184,10 +209,8 @@ def elements(html: Column, name: str, class_part: str | None = None) -> Column:
     found = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
 
     def wanted(token: Column) -> Column:
-        if class_part is None:
-            return _opens(token, name)
-        has_class = F.contains(_attribute_value(token, "class"), F.lit(class_part))
-        return _opens(token, name) & F.coalesce(has_class, F.lit(False))
+        opens = _opens(token, name)
+        return opens if class_part is None else opens & _has_class_part(token, class_part)
 
     return F.filter(found, wanted)
 

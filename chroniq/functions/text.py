@@ -13,6 +13,7 @@ from chroniq import constants as K
 # Every code point that is white space to a Unicode-aware regex, spelled for Java.
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 WORD_CHAR = r"[\p{L}\p{N}_]"
+_MARK = "\u0001"
 _METACHARACTERS = re.compile(r"[\\.^$*+?{}\[\]|()]")
 
 
@@ -21,6 +22,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def captures(text: Column, pattern: str, groups: int) -> Column:
+    """The groups of an anchored pattern as an array, by one run of the regex; null if it fails."""
+    marked = F.regexp_replace(text, pattern, "".join(f"{_MARK}${g}" for g in range(1, groups + 1)))
+    return let(
+        F.split(marked, _MARK),
+        lambda parts: F.when(F.size(parts) == groups + 1, F.slice(parts, F.lit(2), F.lit(groups))),
+    )
+
+
+def literal_map(table: dict[str, object]) -> Column:
+    """A constant text map as one expression node, where a map of literals would be hundreds."""
+    return F.str_to_map(F.lit(" ".join(f"{k}={v}" for k, v in table.items())), F.lit(" "), F.lit("="))
+
+
 def collapse_whitespace(text: Column) -> Column:
     """Runs of white space become one space; none is left at the ends."""
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))

@@ -214,7 +214,7 @@ FROM speeches""",
     "parse_dates_listing": f"WITH {LINES} SELECT doc_id, i, date FROM items",
     "parse_dates_iso": "SELECT event_id, floor(epoch(ts))::BIGINT AS date FROM events",
     "whitespace": f"""WITH padded AS (
-  SELECT doc_id, '  ' || chr(10) || replace(text, ',', chr(9) || ' ') || ' ' || chr(133) AS x FROM documents)
+  SELECT doc_id, chr(160) || ' ' || chr(10) || replace(text, ',', chr(9) || chr(8195)) || ' ' || chr(133) AS x FROM documents)
 SELECT doc_id, {_collapse("x")} AS collapsed, {_strip("x")} AS stripped FROM padded""",
     "words_per_document": rf"""WITH {SPEECHES}, found AS (
   SELECT ord, regexp_extract_all(lower(full_text), '[\p{{L}}\p{{N}}_]{{5,}}') AS ws FROM speeches)

@@ -71,9 +71,9 @@ def scan_ends(parsed: DataFrame) -> DataFrame:
     )
 
 
-def collect_items(parsed_feeds: DataFrame, parsed_listings: DataFrame, tz: str = "UTC") -> DataFrame:
+def collect_items(parsed_feeds: DataFrame, parsed_listings: DataFrame) -> DataFrame:
     """Items of all languages; a feed counts as page 0."""
-    rss = feed_items(parsed_feeds, tz).select(
+    rss = feed_items(parsed_feeds).select(
         "lang", F.lit(0).alias("page"), F.col("pos").cast("int").alias("idx"), "date", "link", "topic"
     )
     listed = before_stop(listing_items(parsed_listings), scan_ends(parsed_listings))
@@ -107,7 +107,7 @@ def plan_ingest(
     candidates_for_listing = fallback_pages(listings, parsed_feeds)
     parsed_listings = stage(parse_listings(candidates_for_listing, site_domain, tz), "listings")
 
-    items = collect_items(parsed_feeds, parsed_listings, tz)
+    items = collect_items(parsed_feeds, parsed_listings)
     latest = latest_dates(parsed_feeds, items)
     unmarked = items.select("lang").distinct()
     unmarked = unmarked.limit(0) if force else unmarked.join(marks.select("lang"), "lang", "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chroniq.functions.dates import parse_rfc_date
-from chroniq.functions.text import strip
+from chroniq.functions.text import let, strip
 from chroniq.schemas import FEEDS
 
 # `_corrupt_record` must come last, and `channel` is an array so that the first one can be taken.
@@ -19,53 +19,85 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEEDS).parquet(path)
 
 
+_NO_ITEMS = "array<struct<pos: bigint, date: bigint, link: string, topic: string>>"
+
+
 def _parse(body: Column) -> Column:
     return F.from_xml(body, _DOCUMENT, _OPTIONS)
 
 
+def _channels(body: Column, document: Column) -> Column:
+    """The document's channels: direct children of the root, else the first at any depth."""
+    nested = F.regexp_extract(body, r"(?s)(<channel(?=[\s/>]).*</channel\s*>)", 1)
+    deep = _parse(F.concat(F.lit("<rss>"), nested, F.lit("</rss>")))["channel"]
+    # The root itself is not searched.
+    root_is_channel = F.rlike(body, F.lit(r"(?s)\A\s*(?:<[?!][^>]*>\s*)*<channel[\s/>]"))
+    return F.coalesce(document["channel"], F.when((nested != "") & ~root_is_channel, deep))
+
+
+def _read_items(raw: Column, tz: str) -> Column:
+    """Items with their place in the feed, those without date or link left out."""
+    items = F.transform(
+        raw,
+        lambda item, pos: F.struct(
+            pos.cast("bigint").alias("pos"),
+            parse_rfc_date(item["pubDate"], tz).alias("date"),
+            item["link"].alias("link"),
+            strip(F.coalesce(item["title"], F.lit(""))).alias("topic"),
+        ),
+    )
+    return F.filter(items, lambda i: (i["date"] != 0) & (i["link"] != ""))
+
+
 def parse_feeds(feeds: DataFrame, tz: str = "UTC") -> DataFrame:
     """Adds ``items``, ``latest`` (date of the first item) and ``error_context`` to each feed.
 
     A feed is usable if ``error_context`` is null: status 200, well-formed, with a channel, with
-    items, and with a readable date in the first item.
+    items, and with a readable date in the first item. Otherwise ``items`` is empty. ``latest``
+    is the first item's date before items are left out.
     """
-    parsed = feeds.withColumn("__doc", _parse(F.col("body")))
-    # Text after the root element is no XML document; the parser would overlook it.
-    broken = F.coalesce(
-        F.col("__doc._corrupt_record").isNotNull() | ~F.rlike("body", F.lit(r">\s*\z")), F.lit(True)
-    )
-    # A channel deeper than the root's children is cut out and parsed on its own.
-    nested = F.regexp_extract("body", r"(?s)(<channel(?=[\s/>]).*</channel\s*>)", 1)
-    inner = F.when(
-        F.col("__doc.channel").isNull() & ~broken & (nested != ""),
-        _parse(F.concat(F.lit("<rss>"), nested, F.lit("</rss>"))),
-    )
-    parsed = parsed.withColumn("__broken", broken).withColumn("__inner", inner)
-    # The root itself is not searched.
-    root_is_channel = F.rlike("body", F.lit(r"(?s)\A\s*(?:<[?!][^>]*>\s*)*<channel[\s/>]"))
-    channels = F.coalesce(F.col("__doc.channel"), F.when(~root_is_channel, F.col("__inner.channel")))
-    parsed = parsed.withColumn("__channel", F.get(channels, F.lit(0)))
-    items = F.coalesce(F.col("__channel.item"), F.array().cast(f"array<{_ITEM}>"))
-    parsed = parsed.withColumn("items", items)
-    latest = parse_rfc_date(F.get(F.col("items"), F.lit(0))["pubDate"], tz)
-    parsed = parsed.withColumn("latest", latest)
-    error = (
-        F.when(F.col("status") != 200, F.concat(F.lit("rss_fetch_failed_"), F.col("status")))
-        .when(F.col("__broken"), "rss_parse_error")
-        .when(F.col("__channel").isNull(), "rss_no_channel")
-        .when(F.size("items") == 0, "rss_no_items")
-        .when(F.col("latest").isNull(), "rss_bad_first_date")
-    )
-    return parsed.withColumn("error_context", error).drop("__doc", "__broken", "__inner", "__channel")
-
-
-def feed_items(parsed: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Items of the usable feeds in feed order, those without date or link left out."""
-    rows = parsed.where("error_context IS NULL").select("lang", F.posexplode("items").alias("pos", "item"))
-    return rows.select(
-        "lang",
-        F.col("pos").cast("bigint").alias("pos"),
-        parse_rfc_date(F.col("item.pubDate"), tz).alias("date"),
-        F.col("item.link").alias("link"),
-        strip(F.coalesce("item.title", F.lit(""))).alias("topic"),
-    ).where("date IS NOT NULL AND date <> 0 AND link <> ''")
+    body = F.col("body")
+
+    def judge(document: Column) -> Column:
+        # Text after the root element is no XML document; the parser would overlook it.
+        well_formed = body.isNotNull() & document["_corrupt_record"].isNull() & F.rlike(body, F.lit(r">\s*\z"))
+        channel = F.when(well_formed, F.get(_channels(body, document), F.lit(0)))
+
+        def read(found: Column) -> Column:
+            raw = found["item"]
+            latest = parse_rfc_date(F.get(raw, F.lit(0))["pubDate"], tz)
+
+            def verdict(first_date: Column) -> Column:
+                error = (
+                    F.when(F.col("status") != 200, F.concat(F.lit("rss_fetch_failed_"), F.col("status")))
+                    .when(~well_formed, "rss_parse_error")
+                    .when(found.isNull(), "rss_no_channel")
+                    .when(F.coalesce(F.size(raw), F.lit(0)) <= 0, "rss_no_items")
+                    .when(first_date.isNull(), "rss_bad_first_date")
+                )
+                return let(
+                    error,
+                    lambda context: F.struct(
+                        F.when(context.isNull(), _read_items(raw, tz))
+                        .otherwise(F.array().cast(_NO_ITEMS))
+                        .alias("items"),
+                        first_date.alias("latest"),
+                        context.alias("error_context"),
+                    ),
+                )
+
+            return let(latest, verdict)
+
+        return let(channel, read)
+
+    # One expression, so that the optimizer has no intermediate column to copy the parse into.
+    parsed = feeds.withColumn("__feed", let(_parse(body), judge))
+    fields = [F.col(f"__feed.{name}") for name in ("items", "latest", "error_context")]
+    return parsed.select(*feeds.columns, *fields)
+
+
+def feed_items(parsed: DataFrame) -> DataFrame:
+    """Items of the usable feeds in feed order."""
+    # With the outer form no filter on the array is inferred, which would parse the feed twice.
+    rows = parsed.select("lang", F.explode_outer("items").alias("item")).where("item IS NOT NULL")
+    return rows.select("lang", "item.pos", "item.date", "item.link", "item.topic")
