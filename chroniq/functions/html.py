@@ -19,8 +19,9 @@ from chroniq.functions.text import collapse_whitespace, let, literal_map, strip
 
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _RAW = r"<(?:script|style)(?=[\s/>]).*?(?:</(?:script|style)\s*>|\z)"
-_TAG_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>?"""
-_TAG = rf"<[/!?]?[a-z]{_TAG_REST}"
+_TAG_REST = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>?"""
+_TAG = rf"<[/!?]?[a-zA-Z]{_TAG_REST}"
+_DROPPED = rf"(?s)<(?:{_COMMENT[1:]}|{_TAG[1:]})"
 _CUT = "\u0000"
 
 
@@ -80,10 +81,13 @@ def _decode_one(part: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Decode each character reference once: ``&amp;lt;`` becomes ``&lt;``."""
-    parts = F.split(text, "&")
-    tail = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _decode_one)
-    decoded = F.concat(F.element_at(parts, 1), F.array_join(tail, ""))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    def decode(value: Column) -> Column:
+        parts = F.split(value, "&")
+        tail = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _decode_one)
+        return F.concat(F.element_at(parts, 1), F.array_join(tail, ""))
+
+    return let(text, lambda value: F.when(F.contains(value, F.lit("&")), decode(value)).otherwise(value))
 
 
 def _token_text(token: Column) -> Column:
@@ -102,9 +106,14 @@ def text_content(html: Column) -> Column:
     tokens = F.regexp_extract_all(html, F.lit(rf"(?is){_COMMENT}|{_RAW}|{_TAG}|[^<]+|<"), F.lit(0))
     careful = F.array_join(F.transform(tokens, _token_text), "")
     # The mark keeps `&am` and `p;` on two sides of a tag apart until entities are decoded.
-    marked = F.regexp_replace(html, rf"(?is){_COMMENT}|{_TAG}", _CUT)
-    quick = F.replace(decode_entities(marked), F.lit(_CUT), F.lit(""))
-    return F.when(F.rlike(html, F.lit(r"(?i)<(?:script|style)")), careful).otherwise(quick)
+    marked = F.regexp_replace(html, _DROPPED, _CUT)
+    decoded = F.replace(decode_entities(marked), F.lit(_CUT), F.lit(""))
+    return (
+        F.when(~F.contains(html, F.lit("<")), decode_entities(html))
+        .when(F.rlike(html, F.lit(r"(?i)<(?:script|style)")), careful)
+        .when(F.contains(html, F.lit("&")), decoded)
+        .otherwise(F.regexp_replace(html, _DROPPED, ""))
+    )
 
 
 def _opens(token: Column, name: str) -> Column:
@@ -202,10 +211,16 @@ def inside_nested(html: Column, name: str, outer_class: str, inner_class: str) -
 
 
 def elements(html: Column, name: str, class_part: str | None = None) -> Column:
-    """All elements ``name`` that do not nest (``a``, ``p``, ``h3``, ``li``), each as markup."""
-    # `p` and `li` also end where the next one starts or a block ends.
-    implied = r"|(?=<(?:p|li)(?=[\s/>])|</?(?:div|ul|ol|h[1-6]|section|article|body)(?=[\s/>]))" if name in ("p", "li") else ""
-    pattern = rf"(?is){_COMMENT}|{_RAW}|<{_element(name)}{_TAG_REST}.*?(?:</{name}\s*>{implied}|\z)"
+    """All elements ``name`` that do not nest (``a``, ``p``, ``h3``, ``li``), each as markup.
+
+    One without an end tag ends where the next of its kind starts; ``p`` and ``li`` also end
+    where a block starts or ends.
+    """
+    ends = rf"</{name}\s*>|<{_element(name)}"
+    if name in ("p", "li"):
+        ends += r"|</?(?:div|ul|ol|h[1-6]|section|article|body)(?=[\s/>])"
+    inner = rf"[^<]*+(?:(?:{_COMMENT}|{_RAW}|(?!{ends})<)[^<]*+)*+"
+    pattern = rf"(?is){_COMMENT}|{_RAW}|<{_element(name)}{_TAG_REST}{inner}(?:</{name}\s*>)?"
     found = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
 
     def wanted(token: Column) -> Column:

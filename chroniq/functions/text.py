@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from chroniq import constants as K
 
 # Every code point that is white space to a Unicode-aware regex, spelled for Java.
-SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
 WORD_CHAR = r"[\p{L}\p{N}_]"
 _MARK = "\u0001"
 _METACHARACTERS = re.compile(r"[\\.^$*+?{}\[\]|()]")

@@ -191,25 +191,25 @@ def append_counts(spark, sf_dir):
 
 @query
 def blocked_pages(spark, sf_dir):
-    return D.table(spark, sf_dir, "pages").select("page_id", text.is_blocked_page(F.col("html")).alias("blocked"))
+    return D.pages(spark, sf_dir).select("page_id", text.is_blocked_page(F.col("html")).alias("blocked"))
 
 
 @query
 def crawl_scan(spark, sf_dir):
-    pages = complete_pages(D.table(spark, sf_dir, "pages"))
+    pages = complete_pages(D.pages(spark, sf_dir))
     return pages.select("url", "status", "seen", F.length("html").alias("html_chars"))
 
 
 @query
 def article_text(spark, sf_dir):
     body = html.container_text(F.col("html"), "article")
-    return D.table(spark, sf_dir, "pages").select("page_id", body.alias("article_text"))
+    return D.pages(spark, sf_dir).select("page_id", body.alias("article_text"))
 
 
 @query
 def page_text(spark, sf_dir):
     whole = text.collapse_whitespace(html.text_content(F.col("html")))
-    return D.table(spark, sf_dir, "pages").select("page_id", whole.alias("page_text"))
+    return D.pages(spark, sf_dir).select("page_id", whole.alias("page_text"))
 
 
 @query
@@ -228,7 +228,7 @@ def newest_articles(spark, sf_dir):
 
 @query
 def listing_links(spark, sf_dir):
-    rows = D.table(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(html.anchors(F.col("html"))).alias("idx", "a"))
+    rows = D.pages(spark, sf_dir).select("page_id", "url", F.posexplode(html.anchors(F.col("html"))).alias("idx", "a"))
     link = urls.normalize_link(F.col("a.href"), F.col("url"), D.SITE)
     return rows.select("page_id", "idx", link.alias("link"), F.col("a.title").alias("title"))
 
@@ -236,19 +236,19 @@ def listing_links(spark, sf_dir):
 @query
 def page_param(spark, sf_dir):
     changed = urls.set_page_param(F.col("url"), F.lit(PAGE))
-    return D.table(spark, sf_dir, "pages").select("page_id", changed.alias("url"))
+    return D.pages(spark, sf_dir).select("page_id", changed.alias("url"))
 
 
 @query
 def normalize_link(spark, sf_dir):
     link = urls.normalize_link(F.col("url"), F.lit(MIRROR), "example.org")
-    return D.table(spark, sf_dir, "pages").select("page_id", link.alias("link"))
+    return D.pages(spark, sf_dir).select("page_id", link.alias("link"))
 
 
 @query
 def listing_url(spark, sf_dir):
     feed = F.when(F.endswith("url", F.lit(".html")), F.regexp_replace("url", "html$", "rss")).otherwise(F.col("url"))
-    return D.table(spark, sf_dir, "pages").select("page_id", urls.listing_url(feed, F.lit(MIRROR)).alias("url"))
+    return D.pages(spark, sf_dir).select("page_id", urls.listing_url(feed, F.lit(MIRROR)).alias("url"))
 
 
 @query
@@ -295,7 +295,7 @@ def parse_dates_iso(spark, sf_dir):
 @query
 def whitespace(spark, sf_dir):
     padded = F.concat(F.lit("  \n"), F.replace("text", F.lit(","), F.lit("\t ")), F.lit(" \u0085"))
-    return D.table(spark, sf_dir, "documents").select(
+    return D.documents(spark, sf_dir).select(
         "doc_id", text.collapse_whitespace(padded).alias("collapsed"), text.strip(padded).alias("stripped")
     )
 

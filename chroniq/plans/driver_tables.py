@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from chroniq import constants as K
 from chroniq.functions.dates import utc_date
+from chroniq.session import spread
 
 SITE = "corpus.example.org"
 ITEMS_PER_PAGE = 10
@@ -50,8 +51,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr(*SPEECH_SELECT)
+    return documents(spark, sf_dir).selectExpr(*SPEECH_SELECT)
 
 
 def escape(text: Column) -> Column:
@@ -102,7 +111,7 @@ def _item_fields(line: Column, i: Column) -> dict[str, Column]:
 
 
 def _feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         "source",
         F.col("lang").alias("doc_lang"),
@@ -219,7 +228,7 @@ def feed_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repair_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawled pages of whole documents: none in German, without an article in Spanish."""
-    rows = table(spark, sf_dir, "documents").where("lang <> 'de'")
+    rows = documents(spark, sf_dir).where("lang <> 'de'")
     css = F.when(F.col("lang") == "es", "text other").otherwise("text article_content")
     return rows.select(
         F.expr(LINK_SQL).alias("url"), _article_html(escape(F.col("text")), css).alias("html"),
