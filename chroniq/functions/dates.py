@@ -17,8 +17,7 @@ _RFC = (
 )
 _GAP = SPACE + "+"
 _CLOCK = rf"{_GAP}-{_GAP}(\d{{1,2}}):(\d{{1,2}})\z"
-_LISTING_UK = rf"\A(\d{{1,2}}){_GAP}(\p{{L}}+){_GAP}(\d{{4}}){_GAP}року{_CLOCK}"
-_LISTING_EN = rf"\A(\d{{1,2}}){_GAP}([A-Za-z]+){_GAP}(\d{{4}}){_CLOCK}"
+_LISTING = rf"\A(\d{{1,2}}){_GAP}(\p{{L}}+){_GAP}(\d{{4}})({_GAP}року)?{_CLOCK}"
 _ISO = r"\A(\d{4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}):(\d{1,2}):(\d{1,2})\.\d{1,6}\z"
 
 
@@ -26,8 +25,8 @@ def _number(part: Column) -> Column:
     return part.try_cast("int")
 
 
-def _epoch(year, month, day, hour, minute, second, zone: str) -> Column:
-    moment = F.try_make_timestamp(year, month, day, hour, minute, second, F.lit(zone))
+def _epoch(year, month, day, hour, minute, second, zone: Column) -> Column:
+    moment = F.try_make_timestamp(year, month, day, hour, minute, second, zone)
     # Second 60 would be taken as the next minute.
     return F.when(second < 60, F.unix_seconds(moment))
 
@@ -54,36 +53,35 @@ def parse_rfc_date(text: Column, tz: str = "UTC") -> Column:
         year = written + F.when(written >= 100, 0).when(written > 68, 1900).otherwise(2000)
         second = F.coalesce(_number(part[5]), F.lit(0))
         fields = (year, month, _number(part[0]), _number(part[3]), _number(part[4]), second)
-        moment = let(
-            F.coalesce(offset(part[6], _number(part[6])), F.lit(None).cast("bigint")),
-            lambda shift: F.when(shift.isNull(), _epoch(*fields, tz)).otherwise(_epoch(*fields, "UTC") - shift),
-        )
+        shift = offset(part[6], _number(part[6]))
+        if tz == "UTC":
+            moment = _epoch(*fields, F.lit(tz)) - F.coalesce(shift, F.lit(0))
+        else:
+            moment = let(
+                F.coalesce(shift, F.lit(None).cast("bigint")),
+                lambda s: _epoch(*fields, F.when(s.isNull(), tz).otherwise("UTC")) - F.coalesce(s, F.lit(0)),
+            )
         return F.when(parts.isNotNull(), moment)
 
     return let(captures(text, _RFC, 7), read).cast("bigint")
 
 
-def _read_listing(text: Column, pattern: str, months: dict[str, int], fold: bool, tz: str) -> Column:
-    def read(parts: Column) -> Column:
-        name = F.lower(parts[1]) if fold else parts[1]
-        month = _number(F.try_element_at(literal_map(months), name))
-        day, year, hour, minute = (_number(parts[k]) for k in (0, 2, 3, 4))
-        return _epoch(year, month, day, hour, minute, F.lit(0), tz)
-
-    return let(captures(text, pattern, 5), read)
-
-
 def parse_listing_date(text: Column, tz: str = "UTC") -> Column:
     """``13 листопада 2023 року - 20:34`` or ``13 November 2023 - 20:34`` -> epoch seconds, else null."""
-    return F.coalesce(
-        _read_listing(text, _LISTING_EN, K.ENGLISH_MONTHS, True, tz),
-        _read_listing(text, _LISTING_UK, K.UKRAINIAN_MONTHS, False, tz),
-    )
+
+    def read(parts: Column) -> Column:
+        month = F.when(
+            parts[3] == "", F.try_element_at(literal_map(K.ENGLISH_MONTHS), F.lower(parts[1]))
+        ).otherwise(F.try_element_at(literal_map(K.UKRAINIAN_MONTHS), parts[1]))
+        day, year, hour, minute = (_number(parts[k]) for k in (0, 2, 4, 5))
+        return _epoch(year, _number(month), day, hour, minute, F.lit(0), F.lit(tz))
+
+    return let(captures(text, _LISTING, 6), read)
 
 
 def parse_iso_date(text: Column, tz: str = "UTC") -> Column:
     """ISO time stamp with a fraction, ``T`` or space between -> epoch seconds, else null."""
-    return let(captures(text, _ISO, 6), lambda parts: _epoch(*[_number(parts[k]) for k in range(6)], tz))
+    return let(captures(text, _ISO, 6), lambda parts: _epoch(*[_number(parts[k]) for k in range(6)], F.lit(tz)))
 
 
 def utc_date(epoch: Column) -> Column:

@@ -15,14 +15,15 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chroniq.functions.text import collapse_whitespace, let, literal_map, strip
+from chroniq.functions.text import captures, collapse_whitespace, let, literal_map, strip
 
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _RAW = r"<(?:script|style)(?=[\s/>]).*?(?:</(?:script|style)\s*>|\z)"
 _TAG_REST = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>?"""
 _TAG = rf"<[/!?]?[a-zA-Z]{_TAG_REST}"
 _DROPPED = rf"(?s)<(?:{_COMMENT[1:]}|{_TAG[1:]})"
-_CUT = "\u0000"
+_CUT = "\u0002"
+_SHIELD = "\u0003"
 
 
 def _element(name: str) -> str:
@@ -36,8 +37,8 @@ def _between(name: str) -> str:
     return rf"(?is)</?{_element(name)}{_TAG_REST}|(?:{other})++|<"
 
 
-def _attribute_value(tag: Column, name: str) -> Column:
-    """Value of an attribute of the tag that starts ``tag``; null if absent."""
+def _raw_attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of the tag that starts ``tag``, entities left in; null if absent."""
     own_tag = F.regexp_extract(tag, rf"(?s)\A<{_TAG_REST}", 0)
     # Quoted values are taken whole, so nothing inside one looks like an attribute.
     pairs = F.regexp_extract_all(
@@ -45,7 +46,7 @@ def _attribute_value(tag: Column, name: str) -> Column:
     )
     pair = F.get(F.filter(pairs, lambda p: F.rlike(p, F.lit(rf"(?i)\A{name}\s*="))), F.lit(0))
     value = F.regexp_replace(pair, r"(?s)\A[^=]*=\s*", "")
-    return decode_entities(F.regexp_replace(value, r"""(?s)\A(["'])(.*)\1\z""", "$2"))
+    return F.regexp_replace(value, r"""(?s)\A(["'])(.*)\1\z""", "$2")
 
 
 _ENTITIES = {name: chr(code) for name, code in name2codepoint.items()}
@@ -53,19 +54,16 @@ _ENTITIES = {name: chr(code) for name, code in name2codepoint.items()}
 
 def _decode_numeric(part: Column) -> Column:
     """``part`` starts with ``#``; null if it is no valid reference."""
+    # Eight digits are more than any valid code has, and still fit a number.
+    pattern = r"(?s)\A#(?:([0-9]{1,8}+)|[xX]([0-9A-Fa-f]{1,8}+))(?![0-9]);?(.*)\z"
 
-    def read(digits: Column, base: int, pattern: str) -> Column:
-        code = F.conv(digits, base, 10).cast("bigint")
+    def read(groups: Column) -> Column:
+        code = F.when(groups[0] != "", groups[0]).otherwise(F.conv(groups[1], 16, 10)).cast("bigint")
         valid = code.between(32, 0xD7FF) | code.between(0xE000, 0x10FFFF) | code.isin(9, 10, 13)
         symbol = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(valid, F.concat(symbol, F.regexp_replace(part, pattern, "")))
+        return F.when(valid, F.concat(symbol, groups[2]))
 
-    digits = F.regexp_extract(part, r"\A#([0-9]{1,7}(?![0-9]))", 1)
-    hexits = F.regexp_extract(part, r"\A#[xX]([0-9A-Fa-f]{1,6}(?![0-9A-Fa-f]))", 1)
-    return F.coalesce(
-        F.when(digits != "", read(digits, 10, r"\A#[0-9]+;?")),
-        F.when(hexits != "", read(hexits, 16, r"\A#[xX][0-9A-Fa-f]+;?")),
-    )
+    return let(captures(part, pattern, 3), read)
 
 
 def _decode_one(part: Column) -> Column:
@@ -90,30 +88,25 @@ def decode_entities(text: Column) -> Column:
     return let(text, lambda value: F.when(F.contains(value, F.lit("&")), decode(value)).otherwise(value))
 
 
-def _token_text(token: Column) -> Column:
-    raw = F.regexp_replace(token, rf"(?is)\A<(?:script|style){_TAG_REST}|</(?:script|style)\s*>\z", "")
+def _marked_token(token: Column) -> Column:
+    """A token with its markup turned into the cut mark, and the ampersands of raw text shielded."""
+    raw = F.regexp_replace(token, rf"(?is)\A<(?:script|style){_TAG_REST}|</(?:script|style)\s*>\z", _CUT)
     return (
-        F.when(~F.startswith(token, F.lit("<")), decode_entities(token))
-        .when(F.startswith(token, F.lit("<!--")), F.lit(""))
-        .when(F.rlike(token, F.lit(rf"(?is)\A{_RAW}")), raw)
-        .when(token == "<", token)
-        .otherwise(F.lit(""))
+        F.when(~F.startswith(token, F.lit("<")) | (token == "<"), token)
+        .when(F.rlike(F.substring(token, 1, 8), F.lit(r"(?i)\A<(?:script|style[\s/>])")), F.replace(raw, F.lit("&"), F.lit(_SHIELD)))
+        .otherwise(F.lit(_CUT))
     )
 
 
 def text_content(html: Column) -> Column:
     """All text of a fragment, with no separator where a tag was."""
     tokens = F.regexp_extract_all(html, F.lit(rf"(?is){_COMMENT}|{_RAW}|{_TAG}|[^<]+|<"), F.lit(0))
-    careful = F.array_join(F.transform(tokens, _token_text), "")
+    careful = F.array_join(F.transform(tokens, _marked_token), "")
     # The mark keeps `&am` and `p;` on two sides of a tag apart until entities are decoded.
-    marked = F.regexp_replace(html, _DROPPED, _CUT)
-    decoded = F.replace(decode_entities(marked), F.lit(_CUT), F.lit(""))
-    return (
-        F.when(~F.contains(html, F.lit("<")), decode_entities(html))
-        .when(F.rlike(html, F.lit(r"(?i)<(?:script|style)")), careful)
-        .when(F.contains(html, F.lit("&")), decoded)
-        .otherwise(F.regexp_replace(html, _DROPPED, ""))
+    marked = F.when(F.rlike(html, F.lit(r"(?i)<(?:script|style)")), careful).otherwise(
+        F.regexp_replace(html, _DROPPED, _CUT)
     )
+    return F.translate(decode_entities(marked), _SHIELD + _CUT, "&")
 
 
 def _opens(token: Column, name: str) -> Column:
@@ -128,12 +121,12 @@ def _step(token: Column, name: str) -> Column:
 
 def _has_class_part(token: Column, class_part: str) -> Column:
     # The cheap test comes first; most tags do not have the name anywhere.
-    inside = F.coalesce(F.contains(_attribute_value(token, "class"), F.lit(class_part)), F.lit(False))
+    inside = F.coalesce(F.contains(_raw_attribute(token, "class"), F.lit(class_part)), F.lit(False))
     return F.contains(token, F.lit(class_part)) & inside
 
 
 def _class_is(token: Column, class_value: str) -> Column:
-    same = F.coalesce(_attribute_value(token, "class") == class_value, F.lit(False))
+    same = F.coalesce(_raw_attribute(token, "class") == class_value, F.lit(False))
     return F.contains(token, F.lit(class_value)) & same
 
 
@@ -235,7 +228,7 @@ def anchors(html: Column) -> Column:
     return F.transform(
         elements(html, "a"),
         lambda a: F.struct(
-            _attribute_value(a, "href").alias("href"),
+            decode_entities(_raw_attribute(a, "href")).alias("href"),
             collapse_whitespace(text_content(a)).alias("title"),
         ),
     )

@@ -64,11 +64,12 @@ def normalize_link(href: Column, base_url: Column, site_domain: str) -> Column:
     root = F.concat(
         F.lower(F.regexp_extract(base_url, _BASE, 1)), F.lit("://"), F.regexp_extract(base_url, _BASE, 2)
     )
-    absolute = F.startswith(href, F.lit("http://")) | F.startswith(href, F.lit("https://"))
+    absolute = F.rlike(href, F.lit(r"\Ahttps?://"))
     own = F.endswith(F.regexp_extract(href, _URL, 2), F.lit(site_domain))
     # An empty query or fragment is dropped when a link is put together again.
     rest = F.regexp_replace(F.regexp_replace(F.regexp_extract(href, _URL, 3), r"#\z", ""), r"\?(?=#|\z)", "")
-    return F.when(~absolute, F.concat(root, href)).when(own, F.concat(root, rest)).otherwise(href)
+    foreign = absolute & ~own
+    return F.when(foreign, href).otherwise(F.concat(root, F.when(absolute, rest).otherwise(href)))
 
 
 def listing_url(url: Column, registered: Column) -> Column:

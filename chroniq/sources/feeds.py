@@ -36,8 +36,8 @@ def _channels(body: Column, document: Column) -> Column:
 
 
 def _read_items(raw: Column, tz: str) -> Column:
-    """Items with their place in the feed, those without date or link left out."""
-    items = F.transform(
+    """Items with their place in the feed."""
+    return F.transform(
         raw,
         lambda item, pos: F.struct(
             pos.cast("bigint").alias("pos"),
@@ -46,7 +46,10 @@ def _read_items(raw: Column, tz: str) -> Column:
             strip(F.coalesce(item["title"], F.lit(""))).alias("topic"),
         ),
     )
-    return F.filter(items, lambda i: (i["date"] != 0) & (i["link"] != ""))
+
+
+def _is_complete(item: Column) -> Column:
+    return (item["date"] != 0) & (item["link"] != "")
 
 
 def parse_feeds(feeds: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -64,29 +67,19 @@ def parse_feeds(feeds: DataFrame, tz: str = "UTC") -> DataFrame:
         channel = F.when(well_formed, F.get(_channels(body, document), F.lit(0)))
 
         def read(found: Column) -> Column:
-            raw = found["item"]
-            latest = parse_rfc_date(F.get(raw, F.lit(0))["pubDate"], tz)
-
-            def verdict(first_date: Column) -> Column:
+            def verdict(items: Column) -> Column:
+                first_date = F.get(items, F.lit(0))["date"]
                 error = (
                     F.when(F.col("status") != 200, F.concat(F.lit("rss_fetch_failed_"), F.col("status")))
                     .when(~well_formed, "rss_parse_error")
                     .when(found.isNull(), "rss_no_channel")
-                    .when(F.coalesce(F.size(raw), F.lit(0)) <= 0, "rss_no_items")
+                    .when(F.coalesce(F.size(items), F.lit(0)) <= 0, "rss_no_items")
                     .when(first_date.isNull(), "rss_bad_first_date")
                 )
-                return let(
-                    error,
-                    lambda context: F.struct(
-                        F.when(context.isNull(), _read_items(raw, tz))
-                        .otherwise(F.array().cast(_NO_ITEMS))
-                        .alias("items"),
-                        first_date.alias("latest"),
-                        context.alias("error_context"),
-                    ),
-                )
+                kept = F.filter(items, lambda i: _is_complete(i) & error.isNull())
+                return F.struct(kept.alias("items"), first_date.alias("latest"), error.alias("error_context"))
 
-            return let(latest, verdict)
+            return let(F.coalesce(_read_items(found["item"], tz), F.array().cast(_NO_ITEMS)), verdict)
 
         return let(channel, read)
 
