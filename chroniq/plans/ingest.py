@@ -49,8 +49,9 @@ def feed_position(page: Column, idx: Column) -> Column:
 
 def fallback_pages(listings: DataFrame, parsed_feeds: DataFrame) -> DataFrame:
     """Listing pages of the languages without a usable feed."""
-    usable = parsed_feeds.where("error_context IS NULL").select("lang")
-    return key_lookup_join(listings, usable, ["lang"], "left_anti")
+    # Decided in an aggregate, which no filter passes: the parse runs once and where it was put.
+    verdicts = parsed_feeds.groupBy("lang").agg(F.bool_or(F.col("error_context").isNull()).alias("usable"))
+    return key_lookup_join(listings, verdicts.where("usable").select("lang"), ["lang"], "left_anti")
 
 
 def scan_ends(parsed: DataFrame) -> DataFrame:
@@ -103,7 +104,10 @@ def plan_ingest(
     Parsed pages and the joined articles are written once to the shared folder, because each
     feeds several results.
     """
-    parsed_feeds = stage(parse_feeds(feeds, tz), "feeds")
+    parsed_feeds = parse_feeds(feeds, tz)
+    # Only the bodies of unusable feeds are kept.
+    body = F.when(F.col("error_context").isNotNull(), F.col("body"))
+    parsed_feeds = stage(parsed_feeds.withColumn("body", body), "feeds")
     candidates_for_listing = fallback_pages(listings, parsed_feeds)
     parsed_listings = stage(parse_listings(candidates_for_listing, site_domain, tz), "listings")
 
