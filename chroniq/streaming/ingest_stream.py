@@ -49,6 +49,10 @@ def start_ingest(
 
 
 def dedup_stream(records: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Records with the repeats of equal date and language left out while within ``delay``."""
-    timed = records.withColumn("event_time", F.timestamp_seconds("date"))
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["date", "lang"])
+    """Records without the repeats of equal date and language that arrive within ``delay``.
+
+    The watermark follows the time of arrival. With the record's own date, old records that
+    arrive late would be dropped although they repeat nothing.
+    """
+    timed = records.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", delay)
+    return timed.dropDuplicatesWithinWatermark(["date", "lang"])
