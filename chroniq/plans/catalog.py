@@ -16,7 +16,7 @@ from chroniq.functions import dates, html, text, urls
 from chroniq.operators import dedup, filters, quality, repair, takewhile, trend, words
 from chroniq.plans import driver_tables as D
 from chroniq.plans import ingest
-from chroniq.session import shared_dir
+from chroniq.session import work_folder
 from chroniq.sinks import exports
 from chroniq.sources import corpus as corpus_source
 from chroniq.sources import feeds as feed_source
@@ -75,16 +75,11 @@ def export_text(spark, sf_dir):
 
 @query
 def jsonl_round_trip(spark, sf_dir):
-    path = f"{shared_dir(spark)}/jsonl-{spark.sparkContext.applicationId}-{_next()}"
+    path = work_folder(spark, "jsonl")
     exports.write_jsonl(D.speeches(spark, sf_dir), path)
     return corpus_source.read_jsonl(spark, path)
 
 
-def _next(counter=[0]) -> int:  # noqa: B006 - one counter per process, on purpose
-    counter[0] += 1
-    return counter[0]
-
-
 # --- corpus: analytics ------------------------------------------------------------------------
 
 
@@ -429,7 +424,7 @@ def stream_dedup(spark, sf_dir):
     source = spark.readStream.schema(D.table(spark, sf_dir, "documents").schema)
     documents = source.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
     unique = dedup_stream(documents.selectExpr(*D.SPEECH_SELECT)).select("date", "lang")
-    folder = f"{shared_dir(spark)}/stream-{spark.sparkContext.applicationId}-{_next()}"
+    folder = work_folder(spark, "stream")
     writer = unique.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
     writer.format("parquet").start(f"{folder}/rows").awaitTermination()
     return spark.read.parquet(f"{folder}/rows")

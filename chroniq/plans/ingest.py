@@ -11,8 +11,8 @@ from chroniq import constants as K
 from chroniq.operators.lookup import key_lookup_join, skew_join
 from chroniq.operators.takewhile import before_stop, latest_marks, page_stops, take_while_newer
 from chroniq.schemas import RECORD_COLUMNS
-from chroniq.session import stage
-from chroniq.sinks.tables import append_rows, published, write_quarantine
+from chroniq.session import stage, work_folder
+from chroniq.sinks.tables import append_rows, published, remove_path, write_quarantine
 from chroniq.sources.articles import article_texts
 from chroniq.sources.feeds import feed_items, parse_feeds
 from chroniq.sources.listings import listing_items, parse_listings
@@ -31,6 +31,7 @@ class IngestPlan:
     marks: DataFrame  # lang, latest: languages that were processed
     failures: DataFrame  # lang, error_context: languages that were not
     rejects: DataFrame  # url, lang, error_context, html
+    folder: str  # staged files that the frames read; to be removed after use
 
 
 @dataclass(frozen=True)
@@ -104,12 +105,13 @@ def plan_ingest(
     Parsed pages and the joined articles are written once to the shared folder, because each
     feeds several results.
     """
+    folder = work_folder(feeds.sparkSession, "ingest")
     parsed_feeds = parse_feeds(feeds, tz)
     # Only the bodies of unusable feeds are kept.
     body = F.when(F.col("error_context").isNotNull(), F.col("body"))
-    parsed_feeds = stage(parsed_feeds.withColumn("body", body), "feeds")
+    parsed_feeds = stage(parsed_feeds.withColumn("body", body), folder, "feeds")
     candidates_for_listing = fallback_pages(listings, parsed_feeds)
-    parsed_listings = stage(parse_listings(candidates_for_listing, site_domain, tz), "listings")
+    parsed_listings = stage(parse_listings(candidates_for_listing, site_domain, tz), folder, "listings")
 
     items = collect_items(parsed_feeds, parsed_listings)
     latest = latest_dates(parsed_feeds, items)
@@ -117,12 +119,12 @@ def plan_ingest(
     unmarked = unmarked.limit(0) if force else unmarked.join(marks.select("lang"), "lang", "left_anti")
     processed = latest.join(unmarked, "lang", "left_anti")
 
-    fresh = stage(items if force else take_while_newer(items, marks), "fresh")
+    fresh = stage(items if force else take_while_newer(items, marks), folder, "fresh")
     texts = article_texts(pages, fresh.select("link"), tag, class_part).withColumnRenamed("url", "link")
     joined = skew_join(fresh, texts.withColumn("crawled", F.lit(True)), ["link"], "left")
     # Only the pages of rejected items are kept whole.
     joined = joined.withColumn("html", F.when(F.col("article_text").isNull(), F.col("html")))
-    joined = stage(joined, "articles")
+    joined = stage(joined, folder, "articles")
 
     # A listing page of which no article could be read ends the scan.
     per_page = joined.where("page > 0").groupBy("lang", "page").agg((F.count("article_text") == 0).alias("empty"))
@@ -143,7 +145,8 @@ def plan_ingest(
     )
     rejected_pages = _rejected_listing_pages(candidates_for_listing, parsed_listings, items, fresh, empty_stops)
     failures = _failures(parsed_feeds, listings, processed, unmarked)
-    return IngestPlan(new_rows, processed, failures, rejected_items.unionByName(rejected_feeds).unionByName(rejected_pages))
+    rejects = rejected_items.unionByName(rejected_feeds).unionByName(rejected_pages)
+    return IngestPlan(new_rows, processed, failures, rejects, folder)
 
 
 def _rejected_listing_pages(
@@ -216,6 +219,13 @@ def run_ingest(
     """
     marks = read_marks(spark, f"{root}/marks", batch_id)
     plan = plan_ingest(feeds, listings, pages, marks, site_domain, force, **options)
+    try:
+        return _commit(spark, plan, root, batch_id)
+    finally:
+        remove_path(spark, plan.folder)
+
+
+def _commit(spark: SparkSession, plan: IngestPlan, root: str, batch_id: int) -> IngestReport:
     processed, failed = plan.marks.count(), plan.failures.count()
     write_quarantine(plan.rejects, f"{root}/quarantine", batch_id)
     if processed == 0:

@@ -60,13 +60,17 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder. Who asks for it removes it when done."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write ``df`` once to a folder on shared storage and read it back.
 
     Cuts the lineage for a frame that feeds several actions. The files outlive any
     executor, unlike cached or locally checkpointed blocks.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
+    path = f"{folder}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -63,25 +63,26 @@ def parse_feeds(feeds: DataFrame, tz: str = "UTC") -> DataFrame:
 
     def judge(document: Column) -> Column:
         # Text after the root element is no XML document; the parser would overlook it.
-        well_formed = body.isNotNull() & document["_corrupt_record"].isNull() & F.rlike(body, F.lit(r">\s*\z"))
+        closed = F.endswith(F.rtrim(F.regexp_replace(F.right(body, F.lit(64)), r"\s", " ")), F.lit(">"))
+        well_formed = F.coalesce(document["_corrupt_record"].isNull() & closed, F.lit(False))
         channel = F.when(well_formed, F.get(_channels(body, document), F.lit(0)))
-
-        def read(found: Column) -> Column:
-            def verdict(items: Column) -> Column:
-                first_date = F.get(items, F.lit(0))["date"]
-                error = (
-                    F.when(F.col("status") != 200, F.concat(F.lit("rss_fetch_failed_"), F.col("status")))
-                    .when(~well_formed, "rss_parse_error")
-                    .when(found.isNull(), "rss_no_channel")
-                    .when(F.coalesce(F.size(items), F.lit(0)) <= 0, "rss_no_items")
-                    .when(first_date.isNull(), "rss_bad_first_date")
-                )
-                kept = F.filter(items, lambda i: _is_complete(i) & error.isNull())
-                return F.struct(kept.alias("items"), first_date.alias("latest"), error.alias("error_context"))
-
-            return let(F.coalesce(_read_items(found["item"], tz), F.array().cast(_NO_ITEMS)), verdict)
-
-        return let(channel, read)
+        return let(F.struct(well_formed.alias("well_formed"), channel.alias("channel")), read)
+
+    def read(found: Column) -> Column:
+        items = _read_items(found["channel"]["item"], tz)
+        return let(F.coalesce(items, F.array().cast(_NO_ITEMS)), lambda items: verdict(found, items))
+
+    def verdict(found: Column, items: Column) -> Column:
+        first_date = F.get(items, F.lit(0))["date"]
+        error = (
+            F.when(F.col("status") != 200, F.concat(F.lit("rss_fetch_failed_"), F.col("status")))
+            .when(~found["well_formed"], "rss_parse_error")
+            .when(found["channel"].isNull(), "rss_no_channel")
+            .when(F.size(items) == 0, "rss_no_items")
+            .when(first_date.isNull(), "rss_bad_first_date")
+        )
+        kept = F.when(error.isNull(), F.filter(items, _is_complete)).otherwise(F.array().cast(_NO_ITEMS))
+        return F.struct(kept.alias("items"), first_date.alias("latest"), error.alias("error_context"))
 
     # One expression, so that the optimizer has no intermediate column to copy the parse into.
     parsed = feeds.withColumn("__feed", let(_parse(body), judge))

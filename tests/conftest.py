@@ -20,7 +20,6 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
-            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chroniq.operators import trend
 from chroniq.plans import maintenance
 from chroniq.schemas import CORPUS, PAGES
-from chroniq.session import shared_dir, stage
+from chroniq.session import shared_dir, stage, work_folder
 from chroniq.sinks import exports, tables
 from chroniq.sources.corpus import path_exists, read_jsonl
 from chroniq.streaming.ingest_stream import dedup_stream
@@ -95,7 +95,7 @@ def test_repair_resumes_from_staged_texts(spark, rows, tmp_path):
 
 
 def test_stage_uses_the_shared_folder(spark):
-    staged = stage(spark.range(3), "x")
+    staged = stage(spark.range(3), work_folder(spark, "test"), "x")
     assert staged.count() == 3
     assert all(shared_dir(spark) in file for file in staged.inputFiles())
 
