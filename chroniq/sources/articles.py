@@ -43,4 +43,6 @@ def article_texts(
     """
     wanted = links.select(F.col("link").alias("url")).where("url IS NOT NULL").distinct()
     crawled = newest_pages(lookup_join(complete_pages(pages), wanted, ["url"], "left_semi"))
-    return crawled.select("url", "html", container_text(F.col("html"), tag, class_part).alias("article_text"))
+    text = container_text(F.col("html"), tag, class_part)
+    # As a generated column the text is computed once, even where a filter on it follows.
+    return crawled.select("url", "html", F.explode_outer(F.array(text)).alias("article_text"))
