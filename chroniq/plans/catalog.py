@@ -22,6 +22,7 @@ from chroniq.sources import corpus as corpus_source
 from chroniq.sources import feeds as feed_source
 from chroniq.sources import listings as listing_source
 from chroniq.sources.articles import article_texts, complete_pages
+from chroniq.sources.registry import with_addresses
 from chroniq.streaming.ingest_stream import dedup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -304,6 +305,12 @@ def words_per_document(spark, sf_dir):
 # --- feeds and listings -----------------------------------------------------------------------
 
 
+@query
+def source_registry(spark, sf_dir):
+    polled = D.feeds(spark, sf_dir).select("lang", "status")
+    return with_addresses(polled, D.registry(spark, sf_dir))
+
+
 @query
 def feed_status(spark, sf_dir):
     parsed = feed_source.parse_feeds(D.feeds(spark, sf_dir))

@@ -219,6 +219,11 @@ SELECT doc_id, {_collapse("x")} AS collapsed, {_strip("x")} AS stripped FROM pad
     "words_per_document": rf"""WITH {SPEECHES}, found AS (
   SELECT ord, regexp_extract_all(lower(full_text), '[\p{{L}}\p{{N}}_]{{5,}}') AS ws FROM speeches)
 SELECT ord, len(ws) AS n_words, ws[1] AS first_word FROM found""",
+    "source_registry": f"""SELECT 'feed-' || doc_id AS lang, CASE WHEN source = 'src0' THEN 500 ELSE 200 END AS status,
+  CASE WHEN source = 'src6' THEN 'https://{D.SITE}/list/' || doc_id || '?all=1'
+    ELSE 'https://{D.SITE}/rss/' || doc_id || '.rss' END AS feed_url,
+  'https://{D.SITE}/list/' || doc_id || CASE WHEN source = 'src6' THEN '?all=1' ELSE '' END AS listing_url
+FROM documents""",
     "feed_status": f"WITH {FEEDS} SELECT lang, latest, error_context FROM verdicts",
     "rss_items": f"""WITH {FEEDS} SELECT lang, i AS pos, date, link, {_strip("line")} AS topic FROM items
 JOIN verdicts v USING (doc_id, lang) WHERE error_context IS NULL AND NOT no_date AND NOT no_link""",

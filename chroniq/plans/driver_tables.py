@@ -147,6 +147,14 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("lang", F.when(source == "src0", 500).otherwise(200).alias("status"), body.alias("body"))
 
 
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lang, feed_url, listing_url``; one source has a listing in place of a feed."""
+    listing = F.concat(F.lit(f"https://{SITE}/list/"), F.col("doc_id"))
+    feed = F.concat(F.lit(f"https://{SITE}/rss/"), F.col("doc_id"), F.lit(".rss"))
+    feed_url = F.when(F.col("source") == "src6", F.concat(listing, F.lit("?all=1"))).otherwise(feed)
+    return _feed_rows(spark, sf_dir).select("lang", feed_url.alias("feed_url"), listing.alias("listing_url"))
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lang, page, url, status, html``: listing pages of ten items for every document."""
 

@@ -16,6 +16,7 @@ from chroniq.sinks.tables import append_rows, published, remove_path, write_quar
 from chroniq.sources.articles import article_texts
 from chroniq.sources.feeds import feed_items, parse_feeds
 from chroniq.sources.listings import listing_items, parse_listings
+from chroniq.sources.registry import with_addresses
 from chroniq.sources.state import read_marks, write_marks
 
 _SAVED_FEED_ERRORS = r"\Arss_(?:fetch_failed_.*|parse_error|no_channel)\z"
@@ -99,9 +100,12 @@ def plan_ingest(
     tz: str = "UTC",
     tag: str = "div",
     class_part: str | None = K.ARTICLE_CLASS,
+    sources: DataFrame | None = None,
 ) -> IngestPlan:
     """What one run adds. ``feeds`` has one poll per language, ``listings`` one crawl per page.
 
+    With ``sources`` (``lang, feed_url, listing_url``) rejected feeds carry their address.
+
     Parsed pages and the joined articles are written once to the shared folder, because each
     feeds several results.
     """
@@ -140,9 +144,12 @@ def plan_ingest(
         F.when(F.col("crawled"), "no_article_content").otherwise("page_not_crawled").alias("error_context"),
         "html",
     )
-    rejected_feeds = parsed_feeds.where(F.rlike("error_context", F.lit(_SAVED_FEED_ERRORS))).select(
-        F.lit(None).cast("string").alias("url"), "lang", "error_context", F.col("body").alias("html")
-    )
+    failed_feeds = parsed_feeds.where(F.rlike("error_context", F.lit(_SAVED_FEED_ERRORS)))
+    if sources is None:
+        failed_feeds = failed_feeds.withColumn("feed_url", F.lit(None).cast("string"))
+    else:
+        failed_feeds = with_addresses(failed_feeds, sources)
+    rejected_feeds = failed_feeds.select(F.col("feed_url").alias("url"), "lang", "error_context", F.col("body").alias("html"))
     rejected_pages = _rejected_listing_pages(candidates_for_listing, parsed_listings, items, fresh, empty_stops)
     failures = _failures(parsed_feeds, listings, processed, unmarked)
     rejects = rejected_items.unionByName(rejected_feeds).unionByName(rejected_pages)
@@ -211,7 +218,7 @@ def run_ingest(
     site_domain: str,
     batch_id: int,
     force: bool = False,
-    **options: str,
+    **options: str | DataFrame,
 ) -> IngestReport:
     """One run: append new rows, then move the marks.
 

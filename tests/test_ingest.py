@@ -8,6 +8,7 @@ from chroniq.schemas import CORPUS, FEEDS, LISTINGS, PAGES
 from chroniq.sinks.tables import published
 from chroniq.sources import feeds as feed_source
 from chroniq.sources import listings as listing_source
+from chroniq.sources.registry import registry, with_addresses
 from chroniq.sources.state import read_marks, seed_marks
 from chroniq.streaming.ingest_stream import feed_stream, start_ingest
 
@@ -176,6 +177,16 @@ def test_same_item_twice_is_kept_twice_and_newest_crawl_wins(spark):
     assert [r.full_text for r in plan.new_rows.collect()] == ["new", "new"]
 
 
+def test_rejected_feed_carries_its_address(spark):
+    known = registry(spark, {"en": ("https://h/en/rss/a.rss", "https://h/en/a"), "uk": ("https://h/uk", "https://h/x")})
+    feeds = [("en", 500, None), ("uk", 200, rss(("http://uk/1", rfc(9)))), ("de", 500, None)]
+    inputs = frames(spark, feeds, pages=[("http://uk/1", article("x"))])
+    plan = ingest.plan_ingest(*inputs, marks(spark, uk=0), SITE, sources=known)
+    assert {(r.lang, r.url) for r in plan.rejects.collect()} == {("en", "https://h/en/rss/a.rss"), ("de", None)}
+    both = {r.lang: r.listing_url for r in with_addresses(inputs[0].select("lang"), known).collect()}
+    assert both == {"en": "https://h/en/a", "uk": "https://h/uk", "de": None}
+
+
 def test_marks_commit_rule(spark):
     none = spark.createDataFrame([], CORPUS)
     some = spark.createDataFrame([(1, 1, "l", "t", "x", "uk")], CORPUS)
