@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chroniq.llm import token_counts
+from chroniq.llm import packing, token_counts
 from chroniq.llm.common import table
 
 
@@ -19,5 +19,9 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer_file("word_bpe_49k.json"), token_counts.fresh_cache(spark))
 
 
-QUERIES = {"op2_token_counts": op2_token_counts}
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+QUERIES = {"op2_token_counts": op2_token_counts, "op4_packing": op4_packing}
 ORACLES: dict[str, str] = {}
