@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chroniq.llm import packing, token_counts
+from chroniq.llm import decontaminate, packing, token_counts
+from chroniq.llm import sql
 from chroniq.llm.common import table
 
 
@@ -23,5 +24,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op4_packing": op4_packing}
-ORACLES: dict[str, str] = {}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    "op2_token_counts": op2_token_counts,
+    "op4_packing": op4_packing,
+    "op9_decontamination": op9_decontamination,
+}
+
+ORACLES = {"op9_decontamination": sql.OP9}
