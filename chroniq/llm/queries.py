@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chroniq.llm import decontaminate, packing, token_counts
+from chroniq.llm import decontaminate, ngram_join, packing, token_counts
 from chroniq.llm import sql
 from chroniq.llm.common import table
 
@@ -15,6 +15,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_copies", "n_links")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, tokenizer_file("word_bpe_49k.json"), token_counts.fresh_cache(spark))
@@ -29,9 +34,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
     "op4_packing": op4_packing,
     "op9_decontamination": op9_decontamination,
 }
 
-ORACLES = {"op9_decontamination": sql.OP9}
+ORACLES = {"op1_ngram_join": sql.OP1, "op9_decontamination": sql.OP9}

@@ -26,3 +26,25 @@ n AS (SELECT r, q, count(*) AS n_found FROM sx JOIN ix USING (g) GROUP BY r, q)
 SELECT doc_id, item_id, len(wanted) AS n_item_shingles, n_found, n_found / len(wanted) AS containment
 FROM n JOIN s USING (r) JOIN i USING (q) WHERE n_found >= 0.8 * len(wanted)
 """
+
+OP1 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {words("text")} AS w FROM documents),
+t AS (
+    SELECT array_to_string(w, ' ') AS k, any_value(w) AS w, count(*) AS copies, min(doc_id) AS least
+    FROM d WHERE len(w) > 0 GROUP BY 1
+),
+s AS (SELECT row_number() OVER (ORDER BY k) AS v, k, copies, least, {shingles("w")} AS held FROM t),
+x AS (SELECT v, unnest(held) AS g FROM s),
+p AS (SELECT a.v AS a, b.v AS b, count(*) AS n FROM x a JOIN x b ON a.g = b.g AND a.v <> b.v GROUP BY 1, 2),
+e AS (
+    SELECT p.a, p.b FROM p JOIN s sa ON sa.v = p.a JOIN s sb ON sb.v = p.b
+    WHERE n >= 0.8 * (len(sa.held) + len(sb.held) - n)
+),
+reach AS (SELECT v AS a, v AS b FROM s UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT reach.a AS v, min(s.least) AS class_id FROM reach JOIN s ON s.v = reach.b GROUP BY 1),
+l AS (SELECT e.a AS v, sum(s.copies) AS links FROM e JOIN s ON s.v = e.b GROUP BY 1)
+SELECT d.doc_id, CASE WHEN s.v IS NULL THEN d.doc_id ELSE c.class_id END AS class_id,
+    coalesce(s.copies, 1) AS n_copies, CAST(coalesce(s.copies - 1, 0) + coalesce(l.links, 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN s ON s.k = array_to_string(d.w, ' ') AND len(d.w) > 0
+LEFT JOIN c ON c.v = s.v LEFT JOIN l ON l.v = s.v
+"""
