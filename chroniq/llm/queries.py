@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chroniq.llm import decontaminate, ngram_join, packing, token_counts
+from chroniq.llm import decontaminate, lm, ngram_join, packing, token_counts
 from chroniq.llm import sql
-from chroniq.llm.common import table
+from chroniq.llm.common import fold, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -33,11 +33,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 5) == 1)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
     "op4_packing": op4_packing,
     "op9_decontamination": op9_decontamination,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLES = {"op1_ngram_join": sql.OP1, "op9_decontamination": sql.OP9}
