@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chroniq.llm import decontaminate, lm, ngram_join, packing, token_counts
+from chroniq.llm import decontaminate, lm, ngram_join, packing, quality, token_counts, toxicity
 from chroniq.llm import sql
 from chroniq.llm.common import fold, table
 
@@ -25,10 +25,22 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer_file("word_bpe_49k.json"), token_counts.fresh_cache(spark))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 5) == 0
+    return toxicity.score_toxicity(docs, toxicity.learn(docs, labels, ~held_out), held_out)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 4) == 2
+    return quality.score_quality(docs, quality.learn(docs, labels, ~held_out), held_out)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,7 +52,9 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scores": op10_lm_scores,
 }
