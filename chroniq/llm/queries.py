@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chroniq.llm import decontaminate, lm, ngram_join, packing, quality, token_counts, toxicity
+from chroniq.llm import (
+    decontaminate,
+    license_scan,
+    lm,
+    mtree,
+    ngram_join,
+    packing,
+    quality,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from chroniq.llm import sql
 from chroniq.llm.common import fold, table
 
@@ -41,6 +52,19 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.learn(docs, labels, ~held_out), held_out)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.drop("blocks")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("words")
+
+
+def op8_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings")).drop("computed")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,8 +79,16 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
+    "op6_license_scan": op6_license_scan,
+    "op7_url_filter": op7_url_filter,
+    "op8_mtree": op8_mtree,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scores": op10_lm_scores,
 }
 
-ORACLES = {"op1_ngram_join": sql.OP1, "op9_decontamination": sql.OP9}
+ORACLES = {
+    "op1_ngram_join": sql.OP1,
+    "op6_license_scan": sql.OP6,
+    "op8_mtree": sql.OP8,
+    "op9_decontamination": sql.OP9,
+}

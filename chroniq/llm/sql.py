@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chroniq.llm.common import LOWER, UPPER, WORD_PATTERN
+from chroniq.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, template_words
 
 
 def words(text: str) -> str:
@@ -48,3 +49,47 @@ SELECT d.doc_id, CASE WHEN s.v IS NULL THEN d.doc_id ELSE c.class_id END AS clas
 FROM d LEFT JOIN s ON s.k = array_to_string(d.w, ' ') AND len(d.w) > 0
 LEFT JOIN c ON c.v = s.v LEFT JOIN l ON l.v = s.v
 """
+
+_PHRASES = ", ".join(f"('{label}', {p.split()})" for label, p in PHRASES.items())
+_TEMPLATES = ", ".join(f"('{label}', {[w.decode() for w in ws]})" for label, ws in template_words(TEMPLATES).items())
+
+OP6 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {words("text")} AS w FROM documents),
+p(label, phrase) AS (VALUES {_PHRASES}),
+c(label, wanted) AS (VALUES {_TEMPLATES}),
+s AS (
+    SELECT r, label, unnest(list_filter(generate_series(0, len(w) - len(phrase)), lambda i: w[i + 1 : i + len(phrase)] = phrase)) AS place
+    FROM d, p WHERE len(w) >= len(phrase) AND list_contains(w, phrase[1])
+),
+b AS (
+    SELECT r, count(*) AS n, min(place) AS first_word, max(place) AS last_word,
+        array_to_string(list_sort(list_distinct(list(label))), ',') AS labels FROM s GROUP BY r
+),
+l AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+lw AS (SELECT r, list_distinct({words("line")}) AS held FROM l),
+m AS (
+    SELECT r, label, len(list_intersect(held, wanted)) / len(wanted) AS share FROM lw, c
+    WHERE len(list_intersect(held, wanted)) >= {THRESHOLD} * len(wanted) - 1e-9
+),
+x AS (SELECT r, label FROM m UNION SELECT r, label FROM s),
+y AS (SELECT r, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels FROM x GROUP BY r),
+z AS (SELECT r, max(share) AS share FROM m GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(b.n, 0) AS n_base, b.first_word, b.last_word, coalesce(b.labels, '') AS base_labels,
+    coalesce(y.labels, '') AS labels, CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(z.share, 0)::DOUBLE END AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN y USING (r) LEFT JOIN z USING (r)
+"""
+
+OP8 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+        CAST(list_sum(list_transform(generate_series(1, len(q.x)), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
