@@ -68,6 +68,14 @@ def text_bytes(column: Column | str = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with more underscores in front if the frame has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def fold(column: Column | str, modulus: int) -> Column:
     """crc32 of the identifier's text, modulo ``modulus``. A null identifier is in fold 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(0))

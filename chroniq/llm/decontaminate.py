@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chroniq.llm.common import WordHashes, scratch, ship, shingle_hashes, text_bytes, words_of
+from chroniq.llm.common import WordHashes, free_name, scratch, ship, shingle_hashes, text_bytes, words_of
 from chroniq.operators.lookup import lookup_join
 from chroniq.session import stage
 
@@ -179,7 +179,8 @@ def decontaminate(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item, with their columns. A row is told by its identifier and its text, so
     rows with a null identifier are judged like others."""
-    row = F.xxhash64(F.col(id_col), F.col(text_col)).alias("__row")
-    found = find_items(docs.select(row, text_col), items, id_col="__row", text_col=text_col, **options)
-    leaks = stage(found.select(F.col("doc_id").alias("__row")).distinct(), scratch(docs.sparkSession, "leaks"), "rows")
-    return lookup_join(docs.withColumn("__row", row), leaks, ["__row"], "left_anti").select(*docs.columns)
+    name = free_name(docs, "__row")
+    row = F.xxhash64(F.col(id_col), F.col(text_col)).alias(name)
+    found = find_items(docs.select(row, text_col), items, id_col=name, text_col=text_col, **options)
+    leaks = stage(found.select(F.col("doc_id").alias(name)).distinct(), scratch(docs.sparkSession, "leaks"), "rows")
+    return lookup_join(docs.withColumn(name, row), leaks, [name], "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chroniq.llm.common import WordHashes, scratch, ship, shingle_hashes, text_bytes, words_of
+from chroniq.llm.common import WordHashes, free_name, scratch, ship, shingle_hashes, text_bytes, words_of
 from chroniq.llm.components import components
 from chroniq.llm.decontaminate import multipliers
 from chroniq.operators.lookup import lookup_join
@@ -324,18 +324,19 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     folder = scratch(spark, "one-of-each")
+    name = free_name(docs, "__row")
     row = F.xxhash64(F.col(id_col), F.col(text_col))
     found = similarity_classes(docs, id_col=id_col, text_col=text_col, **options)
     rows = found.groupBy("row").agg(F.min(id_col).alias("id"), F.first("class_key").alias("class_key"), F.count("*").alias("n"))
     rows = stage(rows.where("class_key IS NOT NULL"), folder, "rows")
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row"))
     heads = rows.groupBy("class_key").agg(first.alias("first")).select(F.col("first.row").alias("row"))
-    losers = rows.join(heads, "row", "left_anti").select(F.col("row").alias("__row"))
-    again = rows.join(heads, "row", "left_semi").where("n > 1").select(F.col("row").alias("__row"))
-    marked = docs.withColumn("__row", row)
-    stay = lookup_join(marked, stage(losers, folder, "losers"), ["__row"], "left_anti")
+    losers = rows.join(heads, "row", "left_anti").select(F.col("row").alias(name))
+    again = rows.join(heads, "row", "left_semi").where("n > 1").select(F.col("row").alias(name))
+    marked = docs.withColumn(name, row)
+    stay = lookup_join(marked, stage(losers, folder, "losers"), [name], "left_anti")
     # Of a row that is there several times, one stays.
     again = stage(again, folder, "again")
-    once = lookup_join(stay, again, ["__row"], "left_anti").select(*docs.columns)
-    several = lookup_join(stay, again, ["__row"], "left_semi").groupBy("__row").agg(*[F.first(c).alias(c) for c in docs.columns])
+    once = lookup_join(stay, again, [name], "left_anti").select(*docs.columns)
+    several = lookup_join(stay, again, [name], "left_semi").groupBy(name).agg(*[F.first(c).alias(c) for c in docs.columns])
     return once.unionByName(several.select(*docs.columns))
