@@ -92,12 +92,15 @@ def encoder(path: str, by_piece: bool, rows: int = 500):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        counts = Counts(path, by_piece)
+        counts, done = Counts(path, by_piece), set()
         for batch in batches:
             for i in range(0, batch.num_rows, rows):
                 part = batch.slice(i, rows)
-                n = counts(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64())], ["content", "n_tokens"])
+                # A row that is there several times comes several times.
+                new = {d: t for d, t in zip(*(c.to_pylist() for c in part.columns), strict=True) if d not in done}
+                done.update(new)
+                n = counts(list(new.values()))
+                yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.binary()), pa.array(n, pa.int64())], ["content", "n_tokens"])
 
     return count
 
@@ -120,7 +123,7 @@ def count_tokens(
     content = text
     if by_piece:  # the tokenizer collapses white space itself, so this changes no tokens
         spaced = F.translate(text, "\t\n\r\f\x0b", "     ")
-        content = F.when(spaced.contains("  "), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
+        content = F.trim(F.when(spaced.contains("  "), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced))
     keyed = docs.select(
         F.col(id_col).alias("__id"),
         F.octet_length(text).cast("bigint").alias(_BYTES),
