@@ -24,6 +24,7 @@ _TAG = rf"<[/!?]?[a-zA-Z]{_TAG_REST}"
 _DROPPED = rf"(?s)<(?:{_COMMENT[1:]}|{_TAG[1:]})"
 _CUT = "\u0002"
 _SHIELD = "\u0003"
+_RUN = 512  # letters that a walk gathers before it moves them on
 
 
 def _element(name: str) -> str:
@@ -175,14 +176,17 @@ def container_text(html: Column, name: str, class_part: str | None = None) -> Co
 
 
 def inside_nested(html: Column, name: str, outer_class: str, inner_class: str) -> Column:
-    """Markup inside ``inner_class`` elements that lie inside ``outer_class`` ones, joined in page order."""
-    zero = F.struct(*[F.lit(0).alias(n) for n in ("depth", "outer", "inner")], F.lit("").alias("kept"))
+    """Markup inside ``inner_class`` elements that lie inside ``outer_class`` ones, joined in page order.
+
+    The walk leaves one letter per token, and the tokens are filtered by these letters at the end. Letters are
+    gathered in short runs, so that a page's length adds no more than its share.
+    """
+    zero = F.struct(*[F.lit(0).alias(n) for n in ("depth", "outer", "inner")], F.lit("").alias("run"), F.lit("").alias("marks"))
 
     def mark(token: Column) -> Column:
         step = _step(token, name)
         opens = _opens(token, name)
         return F.struct(
-            token.alias("token"),
             step.alias("step"),
             (opens & _class_is(token, outer_class)).alias("outer"),
             (opens & _class_is(token, inner_class)).alias("inner"),
@@ -197,10 +201,21 @@ def inside_nested(html: Column, name: str, outer_class: str, inner_class: str) -
         outer = enter(state["outer"], tag["outer"], depth, tag["step"])
         # The outer element must have been open before this tag.
         inner = enter(state["inner"], tag["inner"] & (state["outer"] > 0), depth, tag["step"])
-        kept = F.when(inner > 0, F.concat(state["kept"], tag["token"])).otherwise(state["kept"])
-        return F.struct(depth.alias("depth"), outer.alias("outer"), inner.alias("inner"), kept.alias("kept"))
+        run = F.concat(state["run"], F.when(inner > 0, "1").otherwise("0"))
+        full = F.octet_length(state["run"]) >= _RUN
+        return F.struct(
+            depth.alias("depth"),
+            outer.alias("outer"),
+            inner.alias("inner"),
+            F.when(full, F.substring(run, _RUN + 1, 1)).otherwise(run).alias("run"),
+            F.when(full, F.concat(state["marks"], state["run"])).otherwise(state["marks"]).alias("marks"),
+        )
+
+    def keep(tokens: Column) -> Column:
+        marks = F.aggregate(F.transform(tokens, mark), zero, walk, lambda state: F.concat(state["marks"], state["run"]))
+        return let(F.split(marks, ""), lambda kept: F.array_join(F.filter(tokens, lambda _, i: F.get(kept, i) == "1"), ""))
 
-    return F.aggregate(F.transform(_tokens(html, name), mark), zero, walk, lambda state: state["kept"])
+    return let(_tokens(html, name), keep)
 
 
 def elements(html: Column, name: str, class_part: str | None = None) -> Column:

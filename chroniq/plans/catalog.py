@@ -55,12 +55,12 @@ def language_filter(spark, sf_dir):
 
 @query
 def missing_text(spark, sf_dir):
-    return exports.missing_links(D.speeches(spark, sf_dir))
+    return exports.missing_links(D.speeches_with_gaps(spark, sf_dir))
 
 
 @query
 def missing_counts(spark, sf_dir):
-    return quality.missing_counts(D.speeches(spark, sf_dir))
+    return quality.missing_counts(D.speeches_with_gaps(spark, sf_dir))
 
 
 @query
@@ -155,13 +155,13 @@ def duplicate_members(spark, sf_dir):
 
 @query
 def repair_text(spark, sf_dir):
-    rows = repair.repair_missing(D.speeches(spark, sf_dir), D.repair_pages(spark, sf_dir))
+    rows = repair.repair_missing(D.speeches_with_gaps(spark, sf_dir), D.repair_pages(spark, sf_dir))
     return rows.select("ord", "full_text", "was_missing")
 
 
 @query
 def repair_counts(spark, sf_dir):
-    return repair.repair_counts(repair.repair_missing(D.speeches(spark, sf_dir), D.repair_pages(spark, sf_dir)))
+    return repair.repair_counts(repair.repair_missing(D.speeches_with_gaps(spark, sf_dir), D.repair_pages(spark, sf_dir)))
 
 
 @query
@@ -171,14 +171,14 @@ def patch_text(spark, sf_dir):
 
 @query
 def append_union(spark, sf_dir):
-    new = D.speeches(spark, sf_dir).where("full_text <> ''").withColumn("ord", -F.col("ord") - 1)
+    new = D.speeches(spark, sf_dir).where("lang = 'en'").withColumn("ord", -F.col("ord") - 1)
     return D.speeches(spark, sf_dir).unionByName(new).select("ord", "date", "lang")
 
 
 @query
 def append_counts(spark, sf_dir):
     rows = D.speeches(spark, sf_dir)
-    added = F.count_if(~text.is_missing(F.col("full_text")))
+    added = F.count_if(F.col("lang") == LANG)
     return rows.agg(F.count("*").alias("old_rows"), (F.count("*") + added).alias("new_rows"))
 
 

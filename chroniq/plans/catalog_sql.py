@@ -27,6 +27,8 @@ def _decode(x: str) -> str:
 
 
 SPEECHES = f"speeches AS ({D.SPEECHES_SQL})"
+GAPS = f"""{SPEECHES}, gaps AS (
+  SELECT * REPLACE ({D.GAP_SQL} AS full_text) FROM speeches LEFT JOIN (SELECT doc_id, quality, toxic FROM labels) ON doc_id = ord)"""
 FOREIGN = r"length(regexp_replace(full_text, '[\x20-\x7E]', '', 'g'))"
 FRACTION = f"CASE WHEN length(full_text) > 0 THEN {FOREIGN}::DOUBLE / length(full_text) ELSE 0.0 END"
 MISSING = "(full_text IS NULL OR full_text = '')"
@@ -134,7 +136,7 @@ latest AS (SELECT lang, arg_min(date, pos) AS latest FROM polls GROUP BY 1)"""
 REPAIRED = f"""repaired AS (
   SELECT ord, lang, {MISSING} AS was_missing,
     CASE WHEN {MISSING} AND lang NOT IN ('de', 'es') THEN {_collapse("text || 'inner ' || chr(10) || ' tail'")} ELSE full_text END AS full_text
-  FROM (SELECT s.*, d.text FROM speeches s JOIN documents d ON d.doc_id = s.ord))"""
+  FROM (SELECT s.*, d.text FROM gaps s JOIN documents d ON d.doc_id = s.ord))"""
 
 
 def _markup_free(x: str) -> str:
@@ -144,9 +146,9 @@ def _markup_free(x: str) -> str:
 ORACLES: dict[str, str] = {
     "corpus_scan": f"WITH {SPEECHES} SELECT * FROM speeches",
     "language_filter": f"WITH {SPEECHES} SELECT ord, date, lang, topic FROM speeches WHERE lang = 'fr'",
-    "missing_text": f"WITH {SPEECHES} SELECT ord, link FROM speeches WHERE {MISSING}",
-    "missing_counts": f"""WITH {SPEECHES}
-SELECT count(*) FILTER ({MISSING}) AS missing, count(*) FILTER (NOT {MISSING}) AS present FROM speeches""",
+    "missing_text": f"WITH {GAPS} SELECT ord, link FROM gaps WHERE {MISSING}",
+    "missing_counts": f"""WITH {GAPS}
+SELECT count(*) FILTER ({MISSING}) AS missing, count(*) FILTER (NOT {MISSING}) AS present FROM gaps""",
     "deny_list": f"""WITH {SPEECHES} SELECT ord, link, lang FROM speeches
 WHERE ord NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
     "export_text": f"""WITH {SPEECHES} SELECT ord, 'date: ' || strftime({UTC_DAY}, '%Y-%m-%d') || chr(10) || 'topic: ' || topic
@@ -170,14 +172,14 @@ QUALIFY row_number() OVER (PARTITION BY date, lang ORDER BY ord) = 1""",
     "duplicate_dates": f"WITH {SPEECHES} SELECT date, count(*) AS n FROM speeches GROUP BY 1 HAVING count(*) > 1",
     "duplicate_members": f"""WITH {SPEECHES} SELECT ord, date, lang FROM speeches
 QUALIFY count(*) OVER (PARTITION BY date) > 1""",
-    "repair_text": f"WITH {SPEECHES}, {REPAIRED} SELECT ord, full_text, was_missing FROM repaired",
-    "repair_counts": f"""WITH {SPEECHES}, {REPAIRED} SELECT count(*) FILTER (was_missing) AS missing,
+    "repair_text": f"WITH {GAPS}, {REPAIRED} SELECT ord, full_text, was_missing FROM repaired",
+    "repair_counts": f"""WITH {GAPS}, {REPAIRED} SELECT count(*) FILTER (was_missing) AS missing,
   count(*) FILTER (was_missing AND NOT {MISSING}) AS fixed, count(*) FILTER ({MISSING}) AS remaining FROM repaired""",
     "patch_text": f"""WITH {SPEECHES} SELECT ord, CASE WHEN item_id IS NOT NULL THEN b.text ELSE full_text END AS full_text
 FROM speeches LEFT JOIN benchmark b ON item_id = ord""",
     "append_union": f"""WITH {SPEECHES} SELECT ord, date, lang FROM speeches
-UNION ALL SELECT -ord - 1, date, lang FROM speeches WHERE full_text <> ''""",
-    "append_counts": f"""WITH {SPEECHES} SELECT count(*) AS old_rows, count(*) + count(*) FILTER (NOT {MISSING}) AS new_rows
+UNION ALL SELECT -ord - 1, date, lang FROM speeches WHERE lang = 'en'""",
+    "append_counts": f"""WITH {SPEECHES} SELECT count(*) AS old_rows, count(*) + count(*) FILTER (lang = '{LANG}') AS new_rows
 FROM speeches""",
     "blocked_pages": """SELECT page_id, contains(substr(html, 1, 500), 'Access Denied')
   OR contains(html, 'sec-if-cpt-container') AS blocked FROM pages""",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from chroniq import constants as K
 from chroniq.functions.dates import utc_date
-from chroniq.session import spread
+from chroniq.operators.lookup import lookup_join
 
 SITE = "corpus.example.org"
 ITEMS_PER_PAGE = 10
@@ -30,13 +30,16 @@ SPEECH_COLUMNS = {
     "ord": "doc_id",
     "date": DATE_SQL,
     "link": LINK_SQL,
-    "topic": "substr(text, 1, 60)",
-    "full_text": "CASE WHEN n_chars < 250 THEN '' WHEN n_chars < 300 THEN NULL ELSE text END",
+    "topic": "split_part(text, chr(10), 1)",
+    "full_text": "text",
     "lang": "lang",
 }
 SPEECH_SELECT = [f"{expression} AS {name}" for name, expression in SPEECH_COLUMNS.items()]
 SPEECHES_SQL = f"SELECT {', '.join(SPEECH_SELECT)} FROM documents"
 
+# For repairs: documents labelled as bad lost their text, some to an empty one.
+GAP_SQL = "CASE WHEN quality = 0 THEN CASE WHEN toxic = 0 THEN '' END ELSE full_text END"
+
 # Line 0 is the newest; some items are dated later than their place says.
 ITEM_DATE_SQL = """base - i * 3600 + CASE WHEN substr(line, 1, 1) IN ('A', 'E', 'I', 'O', 'U') THEN 9000 ELSE 0 END"""
 MARK_SQL = "base - 20 * 3600"
@@ -52,17 +55,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).selectExpr(*SPEECH_SELECT)
 
 
+def speeches_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ord"), "quality", "toxic")
+    rows = lookup_join(speeches(spark, sf_dir), labels, ["ord"], "left")
+    return rows.withColumn("full_text", F.expr(GAP_SQL)).select(*SPEECH_COLUMNS)
+
+
 def escape(text: Column) -> Column:
     for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(raw), F.lit(entity))

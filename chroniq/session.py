@@ -33,17 +33,6 @@ def build_session(app_name: str = "chroniq", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a scan that has too few tasks for them, such as one file of one row group.
-
-    A large input has many more tasks than cores, and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(2 * cores, key)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
