@@ -23,6 +23,7 @@ from chroniq.sources import feeds as feed_source
 from chroniq.sources import listings as listing_source
 from chroniq.sources.articles import article_texts, complete_pages
 from chroniq.sources.registry import with_addresses
+from chroniq.sources.state import marks_to_commit
 from chroniq.streaming.ingest_stream import dedup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,7 +376,7 @@ def latest_mark(spark, sf_dir):
 def commit_state(spark, sf_dir):
     polls = D.polls(spark, sf_dir)
     fresh = takewhile.take_while_newer(polls, D.poll_marks(spark, sf_dir))
-    return ingest.marks_to_commit(fresh, takewhile.latest_marks(polls))
+    return marks_to_commit(fresh, takewhile.latest_marks(polls))
 
 
 @query
@@ -405,7 +406,7 @@ def ingest_new_rows(spark, sf_dir):
 @query
 def ingest_marks(spark, sf_dir):
     plan = _plan(spark, sf_dir)
-    return ingest.marks_to_commit(plan.new_rows, plan.marks)
+    return marks_to_commit(plan.new_rows, plan.marks)
 
 
 @query

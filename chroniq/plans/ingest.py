@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chroniq import constants as K
-from chroniq.operators.lookup import key_lookup_join, skew_join
+from chroniq.operators.lookup import key_lookup_join, lookup_join, skew_join
 from chroniq.operators.takewhile import before_stop, latest_marks, page_stops, take_while_newer
-from chroniq.schemas import RECORD_COLUMNS
+from chroniq.schemas import QUARANTINE, RECORD_COLUMNS
 from chroniq.session import stage, work_folder
-from chroniq.sinks.tables import append_rows, published, remove_path, write_quarantine
+from chroniq.sinks.commits import check_new, last_commit
+from chroniq.sinks.tables import AppendReport, append_rows, published, remove_path, write_quarantine
 from chroniq.sources.articles import article_texts
 from chroniq.sources.feeds import feed_items, parse_feeds
 from chroniq.sources.listings import listing_items, parse_listings
 from chroniq.sources.registry import with_addresses
-from chroniq.sources.state import read_marks, write_marks
+from chroniq.sources.state import marks_to_commit, read_marks
 
 _SAVED_FEED_ERRORS = r"\Arss_(?:fetch_failed_.*|parse_error|no_channel)\z"
 
@@ -31,7 +35,7 @@ class IngestPlan:
     new_rows: DataFrame  # lang, page, idx and the record columns
     marks: DataFrame  # lang, latest: languages that were processed
     failures: DataFrame  # lang, error_context: languages that were not
-    rejects: DataFrame  # url, lang, error_context, html
+    rejects: DataFrame  # url, lang, error_context, html, and date and topic of an item
     folder: str  # staged files that the frames read; to be removed after use
 
 
@@ -143,6 +147,8 @@ def plan_ingest(
         "lang",
         F.when(F.col("crawled"), "no_article_content").otherwise("page_not_crawled").alias("error_context"),
         "html",
+        "date",
+        "topic",
     )
     failed_feeds = parsed_feeds.where(F.rlike("error_context", F.lit(_SAVED_FEED_ERRORS)))
     if sources is None:
@@ -152,7 +158,7 @@ def plan_ingest(
     rejected_feeds = failed_feeds.select(F.col("feed_url").alias("url"), "lang", "error_context", F.col("body").alias("html"))
     rejected_pages = _rejected_listing_pages(candidates_for_listing, parsed_listings, items, fresh, empty_stops)
     failures = _failures(parsed_feeds, listings, processed, unmarked)
-    rejects = rejected_items.unionByName(rejected_feeds).unionByName(rejected_pages)
+    rejects = rejected_items.unionByName(rejected_feeds.unionByName(rejected_pages), allowMissingColumns=True)
     return IngestPlan(new_rows, processed, failures, rejects, folder)
 
 
@@ -185,28 +191,31 @@ def _failures(
     return reasons.select("lang", context.alias("error_context"))
 
 
-def marks_to_commit(new_rows: DataFrame, processed: DataFrame) -> DataFrame:
-    """Marks to write: those of every processed language if there is any new row, else none."""
-    any_new = new_rows.agg((F.count("*") > 0).alias("any")).scalar()
-    return processed.where(any_new)
-
-
 def strict_marks(processed: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Marks held below the oldest failed item of ``rejects(lang, date)``, so that it is tried again."""
-    oldest = rejects.groupBy("lang").agg(F.min("date").alias("oldest"))
+    """Marks held below the oldest failed item of ``rejects(lang, date)``, so that it is tried again.
+
+    Rejects without a date are no items.
+    """
+    oldest = rejects.where("date IS NOT NULL").groupBy("lang").agg(F.min("date").alias("oldest"))
     held = key_lookup_join(processed, oldest, ["lang"], "left")
     return held.select("lang", F.least("latest", F.col("oldest") - 1).alias("latest"))
 
 
-def number_rows(new_rows: DataFrame, last_ord: int) -> DataFrame:
-    """Give new rows their place in the corpus: after all others, by language and feed order.
+def number_rows(new_rows: DataFrame, last_ord: int, folder: str) -> DataFrame:
+    """Give new rows their place in the corpus: after all others, by language and feed order, without gaps.
 
-    The frame is range-partitioned and sorted by a unique key, so these numbers depend on the
-    key order alone, and no task sees more than its range.
+    Only the keys, which are unique, are sorted; the numbers are attached to the rows by them.
     """
-    ordered = new_rows.orderBy("lang", "page", "idx")
-    numbered = ordered.withColumn("ord", F.lit(last_ord + 1) + F.monotonically_increasing_id())
-    return numbered.select("ord", *RECORD_COLUMNS)
+    keys = ["lang", "page", "idx"]
+    placed = new_rows.select(*keys).orderBy(*keys).select(*keys, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"))
+    placed = stage(placed, folder, "keys")
+    # One row per task of the sort.
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("part", "first", before.alias("before"))
+    number = (F.lit(last_ord + 1) + F.col("before") + F.col("place") - F.col("first")).alias("ord")
+    numbers = placed.join(F.broadcast(starts), "part").select(*keys, number)
+    return lookup_join(new_rows, numbers, keys, "inner").select("ord", *RECORD_COLUMNS)
 
 
 def run_ingest(
@@ -216,39 +225,70 @@ def run_ingest(
     pages: DataFrame,
     root: str,
     site_domain: str,
-    batch_id: int,
+    batch_id: int | None = None,
     force: bool = False,
+    strict: bool = False,
+    source: str = "batch",
     **options: str | DataFrame,
 ) -> IngestReport:
-    """One run: append new rows, then move the marks.
+    """One run: new rows and the marks they lead to are committed together.
 
-    A crash between the two leaves the old marks, and the same batch run again replaces its rows.
+    Without a ``batch_id`` every call is a run of its own. With one, a batch of ``source`` that was committed is refused
+    with :class:`BatchCommitted`, and nothing is lost or doubled. A crash before the commit leaves rows and marks
+    as they were. With ``strict``, marks stay below the oldest item whose article could not be read.
     """
-    marks = read_marks(spark, f"{root}/marks", batch_id)
-    plan = plan_ingest(feeds, listings, pages, marks, site_domain, force, **options)
+    check_new(spark, root, source, batch_id)
+    plan = plan_ingest(feeds, listings, pages, read_marks(spark, root), site_domain, force, **options)
     try:
-        return _commit(spark, plan, root, batch_id)
+        return _commit(spark, plan, root, source, batch_id, strict)
     finally:
         remove_path(spark, plan.folder)
 
 
-def _commit(spark: SparkSession, plan: IngestPlan, root: str, batch_id: int) -> IngestReport:
+def _commit(
+    spark: SparkSession, plan: IngestPlan, root: str, source: str, batch_id: int | None, strict: bool
+) -> IngestReport:
     processed, failed = plan.marks.count(), plan.failures.count()
-    write_quarantine(plan.rejects, f"{root}/quarantine", batch_id)
+    run = uuid.uuid4().hex if batch_id is None else f"{source}-{batch_id}"
+    write_quarantine(plan.rejects, f"{root}/quarantine", run)
     if processed == 0:
         raise IngestError("no language could be processed")
-    last_ord = published(spark, root, batch_id).agg(F.max("ord").alias("o")).first()["o"]
-    rows = number_rows(plan.new_rows, -1 if last_ord is None else last_ord)
-    report = append_rows(rows, root, batch_id)
-    committed = report.new_rows > report.old_rows
-    if committed:
-        write_marks(plan.marks, f"{root}/marks", batch_id)
-    return IngestReport(report.old_rows, report.new_rows, processed, failed, committed)
+    rows = number_rows(plan.new_rows, last_commit(spark, root).max_ord, plan.folder)
+    marks = strict_marks(plan.marks, plan.rejects) if strict else plan.marks
+    report = append_rows(rows, root, source, batch_id, marks)
+    return IngestReport(report.old_rows, report.new_rows, processed, failed, report.new_rows > report.old_rows)
+
+
+def replay_rejected(
+    spark: SparkSession, root: str, pages: DataFrame, tag: str = "div", class_part: str | None = K.ARTICLE_CLASS
+) -> AppendReport:
+    """Append quarantined items whose article can be read by now, and that the corpus does not have. Marks stay."""
+    saved = spark.read.schema(QUARANTINE).parquet(f"{root}/quarantine").where("date IS NOT NULL AND url IS NOT NULL")
+    items = saved.groupBy("lang", F.col("url").alias("link"), "date").agg(F.max("topic").alias("topic"))
+    items = skew_join(items, published(spark, root).select("lang", "link", "date"), ["lang", "link", "date"], "left_anti")
+    folder = work_folder(spark, "replay")
+    try:
+        items = stage(items, folder, "items")
+        texts = article_texts(pages, items.select("link"), tag, class_part).where("article_text IS NOT NULL")
+        found = skew_join(items, texts.select(F.col("url").alias("link"), F.col("article_text").alias("full_text")), ["link"], "inner")
+        found = stage(found, folder, "found")
+        # Within a language by date and link, newest first, as in a feed.
+        keyed = found.select("lang", (-F.col("date")).alias("page"), F.col("link").alias("idx"), *[c for c in RECORD_COLUMNS if c != "lang"])
+        return append_rows(number_rows(keyed, last_commit(spark, root).max_ord, folder), root, "replay")
+    finally:
+        remove_path(spark, folder)
 
 
-def backfill(
-    feeds: DataFrame, listings: DataFrame, pages: DataFrame, site_domain: str, **options: str
-) -> DataFrame:
-    """All items whatever the marks, for export; no mark is read or written."""
-    marks = feeds.sparkSession.createDataFrame([], "lang STRING, high_water BIGINT")
-    return plan_ingest(feeds, listings, pages, marks, site_domain, True, **options).new_rows
+@contextmanager
+def backfill(feeds: DataFrame, listings: DataFrame, pages: DataFrame, site_domain: str, **options: str) -> Iterator[DataFrame]:
+    """All items whatever the marks, for export inside the ``with`` block; no mark is read or written.
+
+    The staged files that the frame reads are removed at the end of the block.
+    """
+    spark = feeds.sparkSession
+    marks = spark.createDataFrame([], "lang STRING, high_water BIGINT")
+    plan = plan_ingest(feeds, listings, pages, marks, site_domain, True, **options)
+    try:
+        yield plan.new_rows
+    finally:
+        remove_path(spark, plan.folder)

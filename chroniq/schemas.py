@@ -19,13 +19,11 @@ CORPUS = _schema("ord BIGINT, date BIGINT, link STRING, topic STRING, full_text
 RECORD_COLUMNS = ["date", "link", "topic", "full_text", "lang"]
 
 FEEDS = _schema("lang STRING, status INT, body STRING")
-FEED_ITEMS = _schema("lang STRING, pos BIGINT, title STRING, link STRING, pub_date STRING")
 LISTINGS = _schema("lang STRING, page INT, url STRING, status INT, html STRING")
-LISTING_ITEMS = _schema("lang STRING, page INT, idx INT, date BIGINT, link STRING, title STRING")
 PAGES = _schema("url STRING, html STRING, status INT, seen BIGINT")
 INGEST_STATE = _schema("lang STRING, high_water BIGINT")
 SOURCES = _schema("lang STRING, feed_url STRING, listing_url STRING")
-TERMS = _schema("label STRING, pattern STRING")
-PATCHES = _schema("link STRING, full_text STRING")
-DENY = _schema("link STRING")
-QUARANTINE = _schema("url STRING, lang STRING, error_context STRING, ts TIMESTAMP, html STRING")
+QUARANTINE = _schema("url STRING, lang STRING, error_context STRING, ts TIMESTAMP, html STRING, date BIGINT, topic STRING")
+COMMITS = _schema(
+    "seq BIGINT, source STRING, source_batch BIGINT, kind STRING, version BIGINT, rows BIGINT, total_rows BIGINT, max_ord BIGINT, at TIMESTAMP"
+)

@@ -1,20 +1,22 @@
-"""The published corpus: versioned, appended to by batch, rewritten as a new version.
+"""The published corpus: appended to by runs, rewritten as a new version, partitioned by language.
 
-``<root>/data/version=V/batch_id=N`` holds rows, ``<root>/commits`` one row per finished version.
-A path that is being read is never overwritten, and a repeated batch replaces its own rows only.
+``<root>/data/version=V/commit=N/lang=L`` holds rows and ``<root>/commits`` the log that makes them visible. A path that is being
+read is never overwritten. Null and empty language codes are read back as null.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chroniq.schemas import CORPUS, QUARANTINE
-from chroniq.sources.corpus import empty_corpus, path_exists, read_corpus
-
-REWRITE_BATCH = -1
+from chroniq.sinks.commits import Commit, check_new, commit, last_commit
+from chroniq.sources.corpus import empty_corpus
+from chroniq.sources.state import marks_to_commit, write_marks
 
 
 @dataclass(frozen=True)
@@ -24,36 +26,51 @@ class AppendReport:
 
 
 def current_version(spark: SparkSession, root: str) -> int:
-    commits = f"{root}/commits"
-    if not path_exists(spark, commits):
-        return 0
-    return spark.read.parquet(commits).agg(F.max("version").alias("v")).first()["v"]
+    return last_commit(spark, root).version
 
 
 def version_path(root: str, version: int) -> str:
     return f"{root}/data/version={version}"
 
 
-def published(spark: SparkSession, root: str, before_batch: int | None = None) -> DataFrame:
-    """The corpus as last published; ``before_batch`` leaves out that batch and later ones."""
-    path = version_path(root, current_version(spark, root))
-    if not path_exists(spark, path):
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The corpus as last committed. A filter on ``lang`` or a commit's number prunes folders."""
+    last = last_commit(spark, root)
+    if last.total_rows == 0:
         return empty_corpus(spark)
-    if before_batch is None:
-        return read_corpus(spark, path)
-    rows = spark.read.schema(CORPUS).parquet(path)
-    return rows.where(F.col("batch_id") < before_batch).select(*CORPUS.names)
+    rows = spark.read.schema(T.StructType([*CORPUS.fields, T.StructField("commit", T.LongType())]))
+    return rows.parquet(version_path(root, last.version)).where(F.col("commit") <= last.seq).select(*CORPUS.names)
+
+
+def _write(rows: DataFrame, path: str) -> DataFrame:
+    """Write rows by language and give back what was written, without the texts."""
+    rows.select(*CORPUS.names).write.mode("overwrite").partitionBy("lang").parquet(path)
+    return rows.sparkSession.read.schema("ord bigint").parquet(path)
+
 
+def append_rows(
+    rows: DataFrame, root: str, source: str = "batch", source_batch: int | None = None, marks: DataFrame | None = None
+) -> AppendReport:
+    """Add rows, and with them ``marks``, as one commit; no duplicates are looked for.
 
-def append_rows(rows: DataFrame, root: str, batch_id: int) -> AppendReport:
-    """Add a batch; no duplicates are looked for. Nothing is written for zero rows."""
+    Nothing is committed for zero rows. With a ``source_batch`` the batch is refused if the source's batch of that number, or a
+    later one, was committed; without one every call is a run of its own. Old counts come from the log.
+    """
     spark = rows.sparkSession
-    old = published(spark, root, batch_id).count()
-    if rows.isEmpty():
-        return AppendReport(old, old)
-    target = f"{version_path(root, current_version(spark, root))}/batch_id={batch_id}"
-    rows.select(*CORPUS.names).write.mode("overwrite").parquet(target)
-    return AppendReport(old, old + read_corpus(spark, target).count())
+    check_new(spark, root, source, source_batch)
+    last = last_commit(spark, root)
+    seq = last.seq + 1
+    path = f"{version_path(root, last.version)}/commit={seq}"
+    written = _write(rows, path)
+    found = written.agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
+    if found.n == 0:
+        remove_path(spark, path)
+        return AppendReport(last.total_rows, last.total_rows)
+    if marks is not None:
+        write_marks(marks_to_commit(written, marks), root, seq)
+    entry = Commit(seq, last.version, last.total_rows + found.n, max(last.max_ord, found.top))
+    commit(spark, root, "append", entry, found.n, source, source_batch)
+    return AppendReport(last.total_rows, entry.total_rows)
 
 
 def publish(rows: DataFrame, root: str, files_per_language: int | None = None) -> int:
@@ -63,21 +80,29 @@ def publish(rows: DataFrame, root: str, files_per_language: int | None = None) -
     per language, so that a common language is no single task.
     """
     spark = rows.sparkSession
-    version = current_version(spark, root) + 1
+    last = last_commit(spark, root)
+    seq, version = last.seq + 1, last.version + 1
     out = rows.select(*CORPUS.names)
     if files_per_language:
         part = F.pmod(F.xxhash64("ord"), F.lit(files_per_language))
         out = out.withColumn("__part", part).repartition("lang", "__part").drop("__part")
-    out.write.mode("overwrite").parquet(f"{version_path(root, version)}/batch_id={REWRITE_BATCH}")
-    commit = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
-    commit.coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    found = _write(out, f"{version_path(root, version)}/commit={seq}").agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
+    commit(spark, root, "rewrite", Commit(seq, version, found.n, max(last.max_ord, found.top or -1)), found.n)
     return version
 
 
-def write_quarantine(rejects: DataFrame, path: str, batch_id: int) -> None:
-    """Rejected pages with the reason, one folder per batch."""
+def seed_marks(spark: SparkSession, root: str, marks: dict[str, int]) -> None:
+    """First marks of new languages, as a commit of their own."""
+    last = last_commit(spark, root)
+    write_marks(spark.createDataFrame(list(marks.items()), "lang STRING, latest BIGINT"), root, last.seq + 1)
+    commit(spark, root, "seed", replace(last, seq=last.seq + 1), 0)
+
+
+def write_quarantine(rejects: DataFrame, path: str, run: str) -> None:
+    """Rejected pages and items with the reason, one folder per run; a run that is tried again replaces its own."""
     stamped = rejects.withColumn("ts", F.current_timestamp()).select(*QUARANTINE.names)
-    stamped.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    name = re.sub(r"[^A-Za-z0-9_.-]", "_", run)
+    stamped.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={name}")
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

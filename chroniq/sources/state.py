@@ -1,4 +1,4 @@
-"""High-water marks: an append-only log of one mark per language and batch."""
+"""High-water marks: one per language and commit, the newest committed one holds."""
 
 from __future__ import annotations
 
@@ -6,26 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chroniq.schemas import INGEST_STATE
+from chroniq.sinks.commits import last_commit
 from chroniq.sources.corpus import path_exists
 
 
-def read_marks(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
-    """Current marks, or those that held before a batch, so that a repeated batch sees the same."""
+def read_marks(spark: SparkSession, root: str) -> DataFrame:
+    """Current marks of a corpus."""
+    path = f"{root}/marks"
     if not path_exists(spark, path):
         return spark.createDataFrame([], INGEST_STATE)
-    log = spark.read.schema("lang STRING, high_water BIGINT, batch_id BIGINT").parquet(path)
-    if before_batch is not None:
-        log = log.where(F.col("batch_id") < before_batch)
-    return log.groupBy("lang").agg(F.max_by("high_water", "batch_id").alias("high_water"))
+    log = spark.read.schema("lang STRING, high_water BIGINT, commit BIGINT").parquet(path)
+    log = log.where(F.col("commit") <= last_commit(spark, root).seq)
+    return log.groupBy("lang").agg(F.max_by("high_water", "commit").alias("high_water"))
 
 
-def write_marks(marks: DataFrame, path: str, batch_id: int) -> None:
-    """Write a batch's marks. A repeated batch replaces its own marks."""
-    target = f"{path.rstrip('/')}/batch_id={batch_id}"
-    marks.select("lang", F.col("latest").alias("high_water")).write.mode("overwrite").parquet(target)
+def marks_to_commit(new_rows: DataFrame, processed: DataFrame) -> DataFrame:
+    """Marks to write: those of every processed language if there is any new row, else none."""
+    any_new = new_rows.agg((F.count("*") > 0).alias("any")).scalar()
+    return processed.where(any_new)
 
 
-def seed_marks(spark: SparkSession, path: str, marks: dict[str, int]) -> None:
-    """First marks of new languages, as batch -1."""
-    rows = spark.createDataFrame(list(marks.items()), "lang STRING, latest BIGINT")
-    write_marks(rows, path, -1)
+def write_marks(marks: DataFrame, root: str, seq: int) -> None:
+    """Write marks under a commit's number; they hold once the commit is in the log."""
+    marks.select("lang", F.col("latest").alias("high_water")).write.mode("overwrite").parquet(f"{root}/marks/commit={seq}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chroniq.plans.ingest import IngestError, run_ingest
 from chroniq.schemas import FEEDS
+from chroniq.sinks.commits import BatchCommitted
 
 
 def feed_stream(spark: SparkSession, path: str, polls_per_batch: int = 1) -> DataFrame:
@@ -23,22 +25,28 @@ def start_ingest(
     root: str,
     site_domain: str,
     checkpoint: str,
+    skip_failed_batches: bool = False,
     **options: str,
 ) -> StreamingQuery:
     """Run the batch ingest on every micro-batch until the input is used up.
 
-    ``crawl`` gives the listings and pages as of now. Rows and marks are kept per batch, so a
-    batch that is run again after a failure replaces what it wrote before. A batch in which no
-    language can be processed changes nothing but the quarantine.
+    ``crawl`` gives the listings and pages as of now. A batch is known by the stream's own id, which lies in the checkpoint, and its
+    number: one that comes again after it was committed is passed over, and a stream with a new checkpoint is another source. A batch
+    in which no language can be processed fails the stream, unless ``skip_failed_batches``; it changes nothing but the quarantine.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        stream = spark.read.text(f"{checkpoint}/metadata").first().value
         listings, pages = crawl(spark)
         try:
-            run_ingest(spark, batch, listings, pages, root, site_domain, batch_id, **options)
-        except IngestError:
+            source = f"stream {json.loads(stream)['id']}"
+            run_ingest(spark, batch, listings, pages, root, site_domain, batch_id, source=source, **options)
+        except BatchCommitted:
             pass
+        except IngestError:
+            if not skip_failed_batches:
+                raise
 
     return (
         feeds.writeStream.foreachBatch(ingest)

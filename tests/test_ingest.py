@@ -1,15 +1,18 @@
 """The ingest run, batch and streamed, on small fixtures."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from chroniq.plans import ingest
 from chroniq.schemas import CORPUS, FEEDS, LISTINGS, PAGES
-from chroniq.sinks.tables import published
+from chroniq.sinks.commits import BatchCommitted, log
+from chroniq.sinks.tables import publish, published, seed_marks
 from chroniq.sources import feeds as feed_source
 from chroniq.sources import listings as listing_source
 from chroniq.sources.registry import registry, with_addresses
-from chroniq.sources.state import read_marks, seed_marks
+from chroniq.sources.state import marks_to_commit, read_marks
 from chroniq.streaming.ingest_stream import feed_stream, start_ingest
 
 SITE = "site.example"
@@ -119,8 +122,8 @@ def test_take_while_stops_at_first_old_item(spark):
     plan = ingest.plan_ingest(*frames(spark, [("en", 200, body)], pages=pages), marks(spark, en=epoch(5)), SITE)
     assert links(plan) == {("en", "http://l/9"), ("en", "http://l/7")}
     assert [tuple(r) for r in plan.marks.collect()] == [("en", epoch(9))]
-    forced = ingest.backfill(*frames(spark, [("en", 200, body)], pages=pages), SITE)
-    assert forced.count() == 4
+    with ingest.backfill(*frames(spark, [("en", 200, body)], pages=pages), SITE) as forced:
+        assert forced.count() == 4
 
 
 def test_fallback_and_page_stops(spark):
@@ -191,8 +194,8 @@ def test_marks_commit_rule(spark):
     none = spark.createDataFrame([], CORPUS)
     some = spark.createDataFrame([(1, 1, "l", "t", "x", "uk")], CORPUS)
     processed = spark.createDataFrame([("en", 5), ("uk", 7)], "lang string, latest bigint")
-    assert ingest.marks_to_commit(none, processed).count() == 0
-    assert ingest.marks_to_commit(some, processed).count() == 2
+    assert marks_to_commit(none, processed).count() == 0
+    assert marks_to_commit(some, processed).count() == 2
 
 
 def test_strict_marks(spark):
@@ -203,7 +206,7 @@ def test_strict_marks(spark):
 
 def test_runs_are_incremental_and_repeatable(spark, tmp_path):
     root = str(tmp_path / "corpus")
-    seed_marks(spark, f"{root}/marks", {"en": epoch(5), "uk": epoch(5)})
+    seed_marks(spark, root, {"en": epoch(5), "uk": epoch(5)})
     feed = lambda lang, *days: (lang, 200, rss(*[(f"http://{lang}/{d}", rfc(d)) for d in days]))
     pages = [(f"http://{lang}/{d}", article(f"{lang}{d}")) for lang in ("en", "uk") for d in range(5, 12)]
 
@@ -213,7 +216,7 @@ def test_runs_are_incremental_and_repeatable(spark, tmp_path):
     first = run(0, feed("en", 7, 6, 5), feed("uk", 5))
     assert (first.old_rows, first.new_rows, first.committed) == (0, 2, True)
     # both marks are written though only one language had new rows
-    assert {tuple(r) for r in read_marks(spark, f"{root}/marks").collect()} == {("en", epoch(7)), ("uk", epoch(5))}
+    assert {tuple(r) for r in read_marks(spark, root).collect()} == {("en", epoch(7)), ("uk", epoch(5))}
 
     again = run(1, feed("en", 7, 6, 5), feed("uk", 5))
     assert (again.old_rows, again.new_rows, again.committed) == (2, 2, False)
@@ -221,27 +224,28 @@ def test_runs_are_incremental_and_repeatable(spark, tmp_path):
     second = run(2, feed("en", 8, 7), feed("uk", 9, 6, 5))
     assert (second.old_rows, second.new_rows) == (2, 5)
     before = [tuple(r) for r in published(spark, root).orderBy("ord").collect()]
-    # the batch is run again, as after a crash between the rows and the marks
-    repeated = run(2, feed("en", 8, 7), feed("uk", 9, 6, 5))
-    assert (repeated.old_rows, repeated.new_rows) == (2, 5)
+    # the batch comes again, and earlier ones do
+    for batch in (2, 0):
+        with pytest.raises(BatchCommitted):
+            run(batch, feed("en", 11, 10, 9))
     after = [tuple(r) for r in published(spark, root).orderBy("ord").collect()]
     assert before == after
     assert [r[2] for r in after] == ["http://en/7", "http://en/6", "http://en/8", "http://uk/9", "http://uk/6"]
 
     with pytest.raises(ingest.IngestError):
         run(3, ("en", 500, None), ("uk", 500, None))
-    assert {tuple(r) for r in read_marks(spark, f"{root}/marks").collect()} == {("en", epoch(8)), ("uk", epoch(9))}
+    assert {tuple(r) for r in read_marks(spark, root).collect()} == {("en", epoch(8)), ("uk", epoch(9))}
 
 
 def test_failed_language_keeps_its_mark(spark, tmp_path):
     root = str(tmp_path / "corpus")
-    seed_marks(spark, f"{root}/marks", {"en": 1, "uk": 1})
+    seed_marks(spark, root, {"en": 1, "uk": 1})
     feeds = [("en", 500, None), ("uk", 200, rss(("http://uk/9", rfc(9))))]
     report = ingest.run_ingest(
         spark, *frames(spark, feeds, pages=[("http://uk/9", article("x"))]), root, SITE, 0
     )
     assert (report.processed, report.failed, report.committed) == (1, 1, True)
-    assert {tuple(r) for r in read_marks(spark, f"{root}/marks").collect()} == {("en", 1), ("uk", epoch(9))}
+    assert {tuple(r) for r in read_marks(spark, root).collect()} == {("en", 1), ("uk", epoch(9))}
     saved = spark.read.parquet(f"{root}/quarantine")
     assert {(r.lang, r.error_context) for r in saved.collect()} == {("en", "rss_fetch_failed_500")}
 
@@ -252,7 +256,7 @@ def test_stream_equals_batch(spark, tmp_path):
     _, lists, crawled = frames(spark, [("en", 200, "")], pages=pages)
     roots = {kind: str(tmp_path / kind) for kind in ("batch", "stream")}
     for root in roots.values():
-        seed_marks(spark, f"{root}/marks", {"en": epoch(6)})
+        seed_marks(spark, root, {"en": epoch(6)})
     polled = str(tmp_path / "polls")
     for n, days in enumerate(polls):
         frame = spark.createDataFrame([("en", 200, rss(*[(f"http://en/{d}", rfc(d)) for d in days]))], FEEDS)
@@ -267,7 +271,7 @@ def test_stream_equals_batch(spark, tmp_path):
         for kind in ("batch", "stream")
     )
     assert len(batch) == 6 and batch == streamed
-    assert read_marks(spark, f"{roots['stream']}/marks").first().high_water == epoch(12)
+    assert read_marks(spark, roots['stream']).first().high_water == epoch(12)
 
 
 def test_rerun_adds_nothing(spark, sf_dir, tmp_path):
@@ -275,7 +279,7 @@ def test_rerun_adds_nothing(spark, sf_dir, tmp_path):
 
     root = str(tmp_path / "corpus")
     marks_now = {r.lang: r.high_water for r in D.feed_marks(spark, sf_dir).collect()}
-    seed_marks(spark, f"{root}/marks", marks_now)
+    seed_marks(spark, root, marks_now)
     inputs = (D.feeds(spark, sf_dir), D.listings(spark, sf_dir), D.article_pages(spark, sf_dir))
     first = ingest.run_ingest(spark, *inputs, root, D.SITE, 0)
     assert first.new_rows > 0
@@ -283,6 +287,97 @@ def test_rerun_adds_nothing(spark, sf_dir, tmp_path):
     assert rows.select("ord").distinct().count() == rows.count() == first.new_rows
     # Feeds are not in date order, so a first item may be older than those behind it.
     sorted_feeds = rows.groupBy("lang").agg(F.max("date").alias("top"))
-    settled = sorted_feeds.join(read_marks(spark, f"{root}/marks"), "lang").where("top <= high_water").select("lang")
-    plan = ingest.plan_ingest(*inputs, read_marks(spark, f"{root}/marks"), D.SITE)
+    settled = sorted_feeds.join(read_marks(spark, root), "lang").where("top <= high_water").select("lang")
+    plan = ingest.plan_ingest(*inputs, read_marks(spark, root), D.SITE)
     assert plan.new_rows.join(settled, "lang", "left_semi").count() == 0
+
+
+def test_a_run_needs_no_number_and_keeps_all_rows(spark, tmp_path):
+    root = str(tmp_path / "corpus")
+    seed_marks(spark, root, {"en": epoch(5)})
+    pages = [(f"http://en/{d}", article(f"en{d}")) for d in range(5, 15)]
+    run = lambda *days, **o: ingest.run_ingest(
+        spark, *frames(spark, [("en", 200, rss(*[(f"http://en/{d}", rfc(d)) for d in days]))], pages=pages), root, SITE, **o
+    )
+    run(7, 6)
+    run(9, 8, 7)
+    run(10, 9)
+    publish(published(spark, root), root)
+    run(11, 10)
+    with pytest.raises(BatchCommitted):
+        for _ in range(2):  # a rewrite does not make a batch new
+            run(12, 11, batch_id=4)
+            publish(published(spark, root), root)
+    rows = published(spark, root).orderBy("ord").collect()
+    assert [(r.ord, r.link) for r in rows] == [(i, f"http://en/{d}") for i, d in enumerate([7, 6, 9, 8, 10, 11, 12])]
+    assert [(r.kind, r.rows, r.total_rows) for r in log(spark, root).orderBy("seq").collect()] == [
+        ("seed", 0, 0), ("append", 2, 2), ("append", 2, 4), ("append", 1, 5), ("rewrite", 5, 5), ("append", 1, 6), ("append", 1, 7), ("rewrite", 7, 7),
+    ]
+
+
+def test_an_attempt_that_was_not_committed_is_invisible(spark, tmp_path):
+    root = str(tmp_path / "corpus")
+    seed_marks(spark, root, {"en": epoch(5)})
+    inputs = frames(spark, [("en", 200, rss(("http://en/7", rfc(7))))], pages=[("http://en/7", article("seven"))])
+    spark.createDataFrame([(99, 1, "l", "t", "x", "en")], CORPUS).write.partitionBy("lang").parquet(f"{root}/data/version=0/commit=1")
+    spark.createDataFrame([("en", epoch(30))], "lang string, high_water bigint").write.parquet(f"{root}/marks/commit=1")
+    assert published(spark, root).count() == 0
+    ingest.run_ingest(spark, *inputs, root, SITE)
+    assert [r.link for r in published(spark, root).collect()] == ["http://en/7"]
+    assert read_marks(spark, root).first().high_water == epoch(7)
+
+
+def test_new_checkpoint_and_batches_share_a_root(spark, tmp_path):
+    root, polled = str(tmp_path / "corpus"), str(tmp_path / "polls")
+    seed_marks(spark, root, {"en": epoch(5)})
+    pages = [(f"http://en/{d}", article(f"en{d}")) for d in range(5, 15)]
+    _, lists, crawled = frames(spark, [("en", 200, "")], pages=pages)
+
+    def stream(days, checkpoint):
+        feed = spark.createDataFrame([("en", 200, rss(*[(f"http://en/{d}", rfc(d)) for d in days]))], FEEDS)
+        feed.coalesce(1).write.mode("overwrite").parquet(f"{polled}/{checkpoint}")
+        start_ingest(feed_stream(spark, f"{polled}/{checkpoint}"), lambda s: (lists, crawled), root, SITE, str(tmp_path / checkpoint)).awaitTermination()
+
+    stream((7, 6), "one")
+    ingest.run_ingest(spark, *frames(spark, [("en", 200, rss(("http://en/8", rfc(8)), ("http://en/7", rfc(7))))], pages=pages), root, SITE, 0)
+    stream((9, 8), "two")
+    assert sorted(r.link for r in published(spark, root).collect()) == [f"http://en/{d}" for d in (6, 7, 8, 9)]
+
+
+def test_stream_fails_if_all_languages_fail(spark, tmp_path):
+    root, polled = str(tmp_path / "corpus"), str(tmp_path / "polls")
+    seed_marks(spark, root, {"en": epoch(5)})
+    _, lists, crawled = frames(spark, [("en", 500, None)])
+    spark.createDataFrame([("en", 500, None)], FEEDS).write.parquet(polled)
+    query = start_ingest(feed_stream(spark, polled), lambda s: (lists, crawled), root, SITE, str(tmp_path / "c"))
+    with pytest.raises(Exception, match="no language"):
+        query.awaitTermination()
+    query = start_ingest(feed_stream(spark, polled), lambda s: (lists, crawled), root, SITE, str(tmp_path / "d"), skip_failed_batches=True)
+    query.awaitTermination()
+    assert published(spark, root).count() == 0
+
+
+def test_strict_run_and_replay(spark, tmp_path):
+    feeds = [("en", 200, rss(*[(f"http://en/{d}", rfc(d)) for d in (9, 8, 7)]))]
+    some = [(f"http://en/{d}", article(f"en{d}")) for d in (9, 7)]
+    for strict, mark in ((False, epoch(9)), (True, epoch(8) - 1)):
+        root = str(tmp_path / f"corpus-{strict}")
+        seed_marks(spark, root, {"en": epoch(5)})
+        ingest.run_ingest(spark, *frames(spark, feeds, pages=some), root, SITE, strict=strict)
+        assert read_marks(spark, root).first().high_water == mark
+    root = str(tmp_path / "corpus-False")
+    _, _, later = frames(spark, feeds, pages=[("http://en/8", article("at last")), ("http://en/9", article("again"))])
+    for expected in ((2, 3), (3, 3)):
+        report = ingest.replay_rejected(spark, root, later)
+        assert (report.old_rows, report.new_rows) == expected
+    assert published(spark, root).where("link = 'http://en/8'").first().full_text == "at last"
+
+
+def test_one_language_is_read_alone(spark, tmp_path):
+    root = str(tmp_path / "corpus")
+    from chroniq.sinks.tables import append_rows
+
+    append_rows(spark.createDataFrame([(i, 1, "l", "t", "x", lang) for i, lang in enumerate(["en", "uk", "en"])], CORPUS), root)
+    rows = published(spark, root).where("lang = 'en'")
+    assert rows.count() == 2
+    assert re.search(r"PartitionFilters: \[[^\]]*lang#\d+ = en", rows._jdf.queryExecution().executedPlan().toString())

@@ -11,6 +11,7 @@ from chroniq.plans import maintenance
 from chroniq.schemas import CORPUS, PAGES
 from chroniq.session import shared_dir, stage, work_folder
 from chroniq.sinks import exports, tables
+from chroniq.sinks.commits import BatchCommitted
 from chroniq.sources.corpus import path_exists, read_jsonl
 from chroniq.streaming.ingest_stream import dedup_stream
 
@@ -59,18 +60,21 @@ def test_text_csv_json_and_links(spark, rows, tmp_path):
 
 def test_append_and_publish(spark, rows, tmp_path):
     root = str(tmp_path / "corpus")
-    assert tables.append_rows(rows, root, 0) == tables.AppendReport(0, 4)
-    assert tables.append_rows(rows.limit(0), root, 1) == tables.AppendReport(4, 4)
-    assert not path_exists(spark, f"{root}/data/version=0/batch_id=1")
-    assert tables.append_rows(rows, root, 1) == tables.AppendReport(4, 8)
+    assert tables.append_rows(rows, root) == tables.AppendReport(0, 4)
+    assert tables.append_rows(rows.limit(0), root) == tables.AppendReport(4, 4)
+    assert not path_exists(spark, f"{root}/data/version=0/commit=1")
+    assert tables.append_rows(rows, root, "s", 1) == tables.AppendReport(4, 8)
     assert tables.publish(tables.published(spark, root).where("ord < 2"), root, files_per_language=2) == 1
     assert tables.published(spark, root).count() == 4
-    assert tables.append_rows(rows, root, 2) == tables.AppendReport(4, 8)
+    with pytest.raises(BatchCommitted):
+        tables.append_rows(rows, root, "s", 1)
+    assert tables.append_rows(rows, root, "s", 2) == tables.AppendReport(4, 8)
+    assert tables.append_rows(rows, root, "t", 1) == tables.AppendReport(8, 12)
 
 
 def test_cleanup_and_patch(spark, rows, tmp_path):
     root = str(tmp_path / "corpus")
-    tables.append_rows(rows, root, 0)
+    tables.append_rows(rows, root)
     assert maintenance.run_cleanup(spark, root) == (True, 1)
     assert sorted(r.ord for r in tables.published(spark, root).collect()) == [0, 1, 3]
     assert maintenance.run_cleanup(spark, root) == (False, 2)
@@ -81,7 +85,7 @@ def test_cleanup_and_patch(spark, rows, tmp_path):
 
 def test_repair_resumes_from_staged_texts(spark, rows, tmp_path):
     root, staged = str(tmp_path / "corpus"), str(tmp_path / "stage")
-    tables.append_rows(rows, root, 0)
+    tables.append_rows(rows, root)
     # An earlier run ended after it had staged row 1.
     spark.createDataFrame([(1, "staged")], "ord bigint, new_text string").write.parquet(staged)
     page = '<div class="article_content">{}</div>'
