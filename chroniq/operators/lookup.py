@@ -1,7 +1,7 @@
 """Joins against lookup tables, safe for hot keys and for lookups of any size.
 
 A side is broadcast only after its size has been measured. Beyond the bound the join is
-shuffled, and the keys that hold a large share of the rows are spread over several tasks.
+shuffled, and keys that are counted to hold more rows than a task's share are spread over several tasks.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 MAX_LOOKUP_ROWS = 10_000
 HOT_SHARE = 0.005  # share of all rows from which a key counts as hot
-SALTS = 64
+SALTS = 4096  # tasks that one key is given at most
 
 _HASH = "__key_hash"
 _SALT = "__salt"
@@ -46,27 +46,46 @@ def small_table(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame | N
     For narrow rows, such as one mark per language. At most ``max_rows + 1`` rows are fetched.
     """
     rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > MAX_BROADCAST_BYTES:
         return None
     return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salts: int = SALTS) -> DataFrame:
-    """Shuffled equi-join in which hot keys of ``left`` are spread over ``salts`` tasks.
+def hot_keys(left: DataFrame, on: list[str], salts: int) -> dict[int, int]:
+    """Hashes of the keys with more rows than their share of the tasks, and the number of tasks each is given.
 
-    Frequent keys come from a one-pass summary that never misses a key above the share and
-    returns at most ``1 / HOT_SHARE`` of them; one too many only costs a few copies on the right.
-    Rows of ``right`` are repeated for hot keys only. Works for ``inner``, ``left``,
-    ``left_semi`` and ``left_anti``: every copy sees all right rows of its key.
+    A one-pass summary names every key above ``HOT_SHARE`` and may name others; one narrow aggregate then counts these exactly,
+    so a unique key is never taken for a hot one.
     """
     key_hash = F.xxhash64(*on)
-    hot = left.select(key_hash.alias(_HASH)).stat.freqItems([_HASH], HOT_SHARE).first()[0] or []
+    named = left.select(key_hash.alias(_HASH)).stat.freqItems([_HASH], HOT_SHARE).first()[0] or []
+    if not named:
+        return {}
+    # At most 1 / HOT_SHARE groups, and one for all other rows.
+    group = F.when(key_hash.isin([int(h) for h in named]), key_hash).alias(_HASH)
+    counts = {r[0]: r[1] for r in left.groupBy(group).count().collect()}
+    total = sum(counts.values())
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = {h: -(-n * tasks // total) for h, n in counts.items() if h is not None and n > HOT_SHARE * total}
+    return {h: min(salts, n) for h, n in shares.items() if n > 1}
+
+
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salts: int = SALTS) -> DataFrame:
+    """Shuffled equi-join in which each hot key of ``left`` is spread over as many tasks as its rows ask for.
+
+    Rows of ``right`` are repeated for hot keys only. Works for ``inner``, ``left``, ``left_semi`` and ``left_anti``: every copy
+    sees all right rows of its key.
+    """
+    hot = hot_keys(left, on, salts)
     if not hot:
         return left.join(right, on, how)
-    is_hot = key_hash.isin([int(h) for h in hot])
-    # The salt depends on the input partition alone, so a task that runs again salts alike.
-    spread = left.withColumn(_SALT, F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    key_hash = F.xxhash64(*on)
+    tasks = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair]), key_hash), F.lit(1))
+    # The salt depends on the row and its input partition alone, so a task that runs again salts alike.
+    plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salt = F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), tasks)
+    spread = left.withColumn(_SALT, salt)
+    copies = F.sequence(F.lit(0).cast("bigint"), (tasks - 1).cast("bigint"))
     return spread.join(right.withColumn(_SALT, F.explode(copies)), [*on, _SALT], how).drop(_SALT)
 
 

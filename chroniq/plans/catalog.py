@@ -15,15 +15,15 @@ from chroniq import constants as K
 from chroniq.functions import dates, html, text, urls
 from chroniq.operators import dedup, filters, quality, repair, takewhile, trend, words
 from chroniq.plans import driver_tables as D
-from chroniq.plans import ingest
+from chroniq.plans import ingest, maintenance
 from chroniq.session import work_folder
-from chroniq.sinks import exports
+from chroniq.sinks import exports, tables
 from chroniq.sources import corpus as corpus_source
 from chroniq.sources import feeds as feed_source
 from chroniq.sources import listings as listing_source
 from chroniq.sources.articles import article_texts, complete_pages
 from chroniq.sources.registry import with_addresses
-from chroniq.sources.state import marks_to_commit
+from chroniq.sources.state import marks_to_commit, read_marks
 from chroniq.streaming.ingest_stream import dedup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,6 +183,86 @@ def append_counts(spark, sf_dir):
     return rows.agg(F.count("*").alias("old_rows"), (F.count("*") + added).alias("new_rows"))
 
 
+# --- corpus: written and read back ------------------------------------------------------------
+
+SECOND = 1_000_000_000  # what the second batch adds to the row numbers
+
+
+def _two_batches(spark: SparkSession, sf_dir: str) -> tuple[str, tables.AppendReport]:
+    """A corpus of all records, and those of one language once more as a second batch."""
+    root = work_folder(spark, "corpus")
+    rows = D.speeches(spark, sf_dir)
+    tables.append_rows(rows, root)
+    more = filters.by_language(rows, LANG).withColumn("ord", F.col("ord") + SECOND)
+    return root, tables.append_rows(more, root)
+
+
+@query
+def append_published(spark, sf_dir):
+    root, _ = _two_batches(spark, sf_dir)
+    return tables.published(spark, root)
+
+
+@query
+def append_report(spark, sf_dir):
+    _, report = _two_batches(spark, sf_dir)
+    return spark.createDataFrame([(report.old_rows, report.new_rows)], "old_rows bigint, new_rows bigint")
+
+
+@query
+def published_language(spark, sf_dir):
+    root, _ = _two_batches(spark, sf_dir)
+    return filters.by_language(tables.published(spark, root), "fr")
+
+
+@query
+def cleanup_published(spark, sf_dir):
+    root, _ = _two_batches(spark, sf_dir)
+    maintenance.run_cleanup(spark, root, files_per_language=4)
+    return tables.published(spark, root)
+
+
+@query
+def patch_published(spark, sf_dir):
+    root = work_folder(spark, "corpus")
+    tables.append_rows(D.speeches(spark, sf_dir), root)
+    maintenance.run_patch(spark, root, D.patches(spark, sf_dir))
+    return tables.published(spark, root).select("ord", "full_text")
+
+
+@query
+def repair_published(spark, sf_dir):
+    """Repaired in two runs, the first of which ended after staging a part of the texts."""
+    root, staged = work_folder(spark, "corpus"), f"{work_folder(spark, 'repair')}/texts"
+    tables.append_rows(D.speeches_with_gaps(spark, sf_dir), root)
+    pages = D.repair_pages(spark, sf_dir)
+    maintenance.stage_repairs(tables.published(spark, root).where("lang = 'fr'"), pages, staged)
+    maintenance.run_repair(spark, root, pages, staged)
+    return tables.published(spark, root).select("ord", "full_text")
+
+
+@query
+def jsonl_with_language(spark, sf_dir):
+    path = work_folder(spark, "jsonl")
+    exports.write_jsonl(filters.by_language(D.speeches(spark, sf_dir), "fr"), path)
+    return corpus_source.read_jsonl(spark, path, "de")
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    path = work_folder(spark, "csv")
+    report = term_trend(spark, sf_dir)
+    exports.write_csv(report, path, "month")
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+@query
+def url_list(spark, sf_dir):
+    path = work_folder(spark, "links")
+    exports.write_missing_links(D.speeches_with_gaps(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("link"))
+
+
 # --- pages ------------------------------------------------------------------------------------
 
 
@@ -424,6 +504,38 @@ def backfill(spark, sf_dir):
     return _plan(spark, sf_dir, force=True).new_rows.select("lang", "page", "idx", "link")
 
 
+@query
+def ingest_published(spark, sf_dir):
+    return tables.published(spark, _ingested(spark, sf_dir)).select("date", "link", "topic", "full_text", "lang")
+
+
+@query
+def marks_written(spark, sf_dir):
+    return read_marks(spark, _ingested(spark, sf_dir))
+
+
+@query
+def ingest_marks_strict(spark, sf_dir):
+    return read_marks(spark, _ingested(spark, sf_dir, strict=True))
+
+
+@query
+def usable_articles(spark, sf_dir):
+    """Addresses of which the newest crawl is a block page, over an older good one."""
+    pages = D.article_pages(spark, sf_dir)
+    blocked = pages.where("seen = 1").withColumns({"seen": F.lit(2).cast("bigint"), "html": F.lit("<html>Access Denied</html>")})
+    texts = article_texts(pages.unionByName(blocked), D.items(spark, sf_dir).select("link"))
+    return texts.select("url", "article_text")
+
+
+def _ingested(spark: SparkSession, sf_dir: str, strict: bool = False) -> str:
+    root = work_folder(spark, "ingested")
+    tables.seed_marks(spark, root, D.feed_marks(spark, sf_dir))
+    inputs = D.feeds(spark, sf_dir), D.listings(spark, sf_dir), D.article_pages(spark, sf_dir)
+    ingest.run_ingest(spark, *inputs, root, D.SITE, strict=strict)
+    return root
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ way: where the engine builds a feed or a page and parses it again, the SQL start
 from __future__ import annotations
 
 from chroniq.plans import driver_tables as D
-from chroniq.plans.catalog import LANG, MIRROR, PAGE, TERMS
+from chroniq.plans.catalog import LANG, MIRROR, PAGE, SECOND, TERMS
 
 SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
@@ -143,6 +143,17 @@ def _markup_free(x: str) -> str:
     return rf"regexp_replace(regexp_replace({x}, '(?s)<!--.*?-->', '', 'g'), '<[/!]?[a-zA-Z][^>]*>?', '', 'g')"
 
 
+TWICE = f"""{SPEECHES}, twice AS (
+  SELECT * FROM speeches UNION ALL SELECT * REPLACE (ord + {SECOND} AS ord) FROM speeches WHERE lang = '{LANG}')"""
+
+
+def _written_marks(latest: str) -> str:
+    return f"""WITH {_ingest()}, held AS (
+  SELECT lang, min(date) AS oldest FROM reached WHERE article IS NULL OR not_crawled GROUP BY 1)
+SELECT 'feed-' || m.doc_id AS lang, coalesce({latest}, high_water) AS high_water
+FROM marks m LEFT JOIN processed p USING (doc_id) LEFT JOIN held h ON h.lang = p.lang"""
+
+
 ORACLES: dict[str, str] = {
     "corpus_scan": f"WITH {SPEECHES} SELECT * FROM speeches",
     "language_filter": f"WITH {SPEECHES} SELECT ord, date, lang, topic FROM speeches WHERE lang = 'fr'",
@@ -266,4 +277,18 @@ SELECT lang, CASE WHEN doc_id IN (SELECT doc_id FROM unmarked) THEN 'no_saved_ma
 FROM verdicts WHERE doc_id NOT IN (SELECT doc_id FROM processed)""",
     "backfill": f"WITH {_ingest(force=True)} SELECT lang, page::INT AS page, idx::INT AS idx, link FROM new_rows",
     "stream_dedup": f"WITH {SPEECHES} SELECT DISTINCT date, lang FROM speeches",
+    "append_published": f"WITH {TWICE} SELECT * FROM twice",
+    "append_report": f"""WITH {TWICE} SELECT (SELECT count(*) FROM speeches) AS old_rows, count(*) AS new_rows FROM twice""",
+    "published_language": f"WITH {TWICE} SELECT * FROM twice WHERE lang = 'fr'",
+    "cleanup_published": f"""WITH {TWICE} SELECT * FROM twice
+QUALIFY row_number() OVER (PARTITION BY date, lang ORDER BY ord) = 1""",
+    "repair_published": f"WITH {GAPS}, {REPAIRED} SELECT ord, full_text FROM repaired",
+    "jsonl_with_language": f"WITH {SPEECHES} SELECT date, link, topic, full_text, 'de' AS lang FROM speeches WHERE lang = 'fr'",
+    "csv_round_trip": _trend("month", "%y-%m"),
+    "url_list": f"WITH {GAPS} SELECT link FROM gaps WHERE {MISSING}",
+    "ingest_published": f"WITH {_ingest()} SELECT date, link, topic, full_text, lang FROM new_rows",
+    "marks_written": _written_marks("p.latest"),
+    "ingest_marks_strict": _written_marks("CASE WHEN p.latest IS NOT NULL THEN least(p.latest, coalesce(oldest - 1, p.latest)) END"),
 }
+ORACLES["patch_published"] = ORACLES["patch_text"]
+ORACLES["usable_articles"] = ORACLES["newest_articles"]

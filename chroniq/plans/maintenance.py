@@ -12,7 +12,8 @@ from chroniq.operators.dedup import dedup_first, has_repeats
 from chroniq.operators.filters import missing_text
 from chroniq.operators.lookup import skew_join
 from chroniq.operators.repair import patch_text
-from chroniq.sinks.tables import publish, published, remove_path
+from chroniq.session import remove_path
+from chroniq.sinks.tables import publish, published
 from chroniq.sources.articles import article_texts
 from chroniq.sources.corpus import path_exists
 
@@ -33,8 +34,8 @@ def run_cleanup(spark: SparkSession, root: str, files_per_language: int | None =
     return repeated, publish(rows, root, files_per_language)
 
 
-def run_patch(spark: SparkSession, root: str, patches: DataFrame) -> int:
-    return publish(patch_text(published(spark, root), patches), root)
+def run_patch(spark: SparkSession, root: str, patches: DataFrame, newest: str | None = None) -> int:
+    return publish(patch_text(published(spark, root), patches, newest), root)
 
 
 def working_corpus(corpus: DataFrame, stage_path: str) -> DataFrame:
@@ -59,13 +60,18 @@ def run_repair(
     """
     corpus = published(spark, root)
     missing = missing_text(corpus).count()
-    gaps = missing_text(working_corpus(corpus, stage_path)).select("ord", "link")
-    texts = article_texts(pages, gaps, **article).select(F.col("url").alias("link"), "article_text")
-    found = skew_join(gaps, texts, ["link"], "inner").where("article_text <> ''")
-    found.select("ord", F.col("article_text").alias("new_text")).write.mode("append").parquet(stage_path)
+    stage_repairs(working_corpus(corpus, stage_path), pages, stage_path, **article)
 
     repaired = working_corpus(corpus, stage_path)
     remaining = missing_text(repaired).count()
     version = publish(repaired, root) if remaining < missing else None
     remove_path(spark, stage_path)
     return RepairReport(missing, missing - remaining, remaining, version)
+
+
+def stage_repairs(corpus: DataFrame, pages: DataFrame, stage_path: str, **article: str) -> None:
+    """Add the texts found for the corpus's missing ones to the staged repairs."""
+    gaps = missing_text(corpus).select("ord", "link")
+    texts = article_texts(pages, gaps, **article).select(F.col("url").alias("link"), "article_text")
+    found = skew_join(gaps, texts, ["link"], "inner").where("article_text <> ''")
+    found.select("ord", F.col("article_text").alias("new_text")).write.mode("append").parquet(stage_path)

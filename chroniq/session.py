@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -50,8 +52,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder. Who asks for it removes it when done."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder name under the shared folder.
+
+    Who asks for it may remove it when done. What lazily returned frames still read is removed when the driver ends.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove_quietly, spark, folder)
+    return folder
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _remove_quietly(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the gateway may be gone
+        remove_path(spark, folder)
 
 
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chroniq.schemas import CORPUS, QUARANTINE
+from chroniq.session import remove_path
 from chroniq.sinks.commits import Commit, check_new, commit, last_commit
 from chroniq.sources.corpus import empty_corpus
 from chroniq.sources.state import marks_to_commit, write_marks
@@ -91,10 +92,12 @@ def publish(rows: DataFrame, root: str, files_per_language: int | None = None) -
     return version
 
 
-def seed_marks(spark: SparkSession, root: str, marks: dict[str, int]) -> None:
-    """First marks of new languages, as a commit of their own."""
+def seed_marks(spark: SparkSession, root: str, marks: dict[str, int] | DataFrame) -> None:
+    """First marks of new languages, as a commit of their own: a dict, or a frame ``lang, high_water``."""
     last = last_commit(spark, root)
-    write_marks(spark.createDataFrame(list(marks.items()), "lang STRING, latest BIGINT"), root, last.seq + 1)
+    if isinstance(marks, dict):
+        marks = spark.createDataFrame(list(marks.items()), "lang STRING, high_water BIGINT")
+    write_marks(marks.withColumnRenamed("high_water", "latest"), root, last.seq + 1)
     commit(spark, root, "seed", replace(last, seq=last.seq + 1), 0)
 
 
@@ -104,7 +107,3 @@ def write_quarantine(rejects: DataFrame, path: str, run: str) -> None:
     name = re.sub(r"[^A-Za-z0-9_.-]", "_", run)
     stamped.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={name}")
 
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

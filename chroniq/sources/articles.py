@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chroniq import constants as K
 from chroniq.functions.html import container_text
+from chroniq.functions.text import is_blocked_page
 from chroniq.operators.lookup import lookup_join
 from chroniq.schemas import PAGES
+from chroniq.session import stage, work_folder
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -27,22 +29,38 @@ def complete_pages(pages: DataFrame) -> DataFrame:
     return pages.select(*columns)
 
 
-def newest_pages(pages: DataFrame) -> DataFrame:
-    """One crawl per address: the one seen last. Crawls are reduced before the shuffle."""
-    newest = F.max_by(F.struct("html", "status", "seen"), F.struct("seen", "html"))
-    return pages.groupBy("url").agg(newest.alias("p")).select("url", "p.html", "p.status", "p.seen")
+def newest_pages(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``url, html``: of each address in ``wanted(url)`` the crawl seen last. A block page counts only if there is no other.
+
+    The crawl is chosen by narrow columns; then the HTML of the chosen ones alone is fetched, and moved at most once.
+    """
+    crawled = complete_pages(pages)
+    # Usable crawls rank above all block pages; `seen` is a time far below 2**61.
+    rank = F.shiftleft((~F.coalesce(is_blocked_page(F.col("html")), F.lit(False))).cast("bigint"), 61) + F.col("seen")
+    told = crawled.select("url", "html", rank.alias("__rank"), F.xxhash64("html").alias("__page"))
+    asked = lookup_join(told.select("url", "__rank", "__page"), wanted, ["url"], "left_semi")
+    asked = stage(asked, work_folder(pages.sparkSession, "crawls"), "narrow")
+    best = asked.groupBy("url").agg(F.max("__rank").alias("__rank"))
+    # Of different pages seen at one time, one is taken by its hash.
+    chosen = asked.join(best, ["url", "__rank"]).groupBy("url", "__rank").agg(F.max("__page").alias("__page"))
+    copies = asked.groupBy("url", "__rank", "__page").agg(F.count("*").alias("__n"))
+    chosen = stage(chosen.join(copies, ["url", "__rank", "__page"]), work_folder(pages.sparkSession, "crawls"), "chosen")
+    key = ["url", "__rank", "__page"]
+    once = lookup_join(told, chosen.where("__n = 1").select(*key), key, "left_semi").select("url", "html")
+    again = lookup_join(told, chosen.where("__n > 1").select(*key), key, "left_semi")
+    first = F.row_number().over(Window.partitionBy("url").orderBy("__page"))
+    return once.unionByName(again.withColumn("__k", first).where("__k = 1").select("url", "html"))
 
 
 def article_texts(
     pages: DataFrame, links: DataFrame, tag: str = "div", class_part: str | None = K.ARTICLE_CLASS
 ) -> DataFrame:
-    """``url, html, article_text`` for the wanted ``links``; text is null where there is no article.
+    """``url, html, article_text`` for the wanted ``links``; text is null where there is no article, else ``html`` is.
 
-    Pages nobody asked for are dropped before anything is parsed or shuffled, and each address is
-    parsed once, however many items link to it.
+    Pages nobody asked for are not parsed, and each address is parsed once, however many items link to it.
     """
     wanted = links.select(F.col("link").alias("url")).where("url IS NOT NULL").distinct()
-    crawled = newest_pages(lookup_join(complete_pages(pages), wanted, ["url"], "left_semi"))
     text = container_text(F.col("html"), tag, class_part)
     # As a generated column the text is computed once, even where a filter on it follows.
-    return crawled.select("url", "html", F.explode_outer(F.array(text)).alias("article_text"))
+    parsed = newest_pages(pages, wanted).select("url", "html", F.explode_outer(F.array(text)).alias("article_text"))
+    return parsed.select("url", F.when(F.col("article_text").isNull(), F.col("html")).alias("html"), "article_text")

@@ -180,6 +180,16 @@ def test_same_item_twice_is_kept_twice_and_newest_crawl_wins(spark):
     assert [r.full_text for r in plan.new_rows.collect()] == ["new", "new"]
 
 
+def test_a_block_page_never_hides_an_older_good_crawl(spark):
+    feeds, lists, _ = frames(spark, [("en", 200, rss(("http://l/1", rfc(9)), ("http://l/2", rfc(8))))])
+    denied = "<html>Access Denied</html>"
+    rows = [("http://l/1", article("old"), 200, 0), ("http://l/1", article("good"), 200, 5), ("http://l/1", denied, 200, 9)]
+    rows += [("http://l/2", denied, 200, 1), ("http://l/2", denied, 200, 1), ("http://l/3", article("unasked"), 200, 1)]
+    plan = ingest.plan_ingest(feeds, lists, spark.createDataFrame(rows, PAGES), marks(spark, en=0), SITE)
+    assert [(r.link, r.full_text) for r in plan.new_rows.collect()] == [("http://l/1", "good")]
+    assert [(r.url, r.error_context, r.html, r.date) for r in plan.rejects.collect()] == [("http://l/2", "no_article_content", denied, epoch(8))]
+
+
 def test_rejected_feed_carries_its_address(spark):
     known = registry(spark, {"en": ("https://h/en/rss/a.rss", "https://h/en/a"), "uk": ("https://h/uk", "https://h/x")})
     feeds = [("en", 500, None), ("uk", 200, rss(("http://uk/1", rfc(9)))), ("de", 500, None)]

@@ -54,6 +54,39 @@ def test_hot_key_is_spread(skewed, spark):
     assert "__salt" in plan
 
 
+def test_unique_keys_are_not_salted(spark):
+    left = spark.range(0, 3000, 1, 6).select(F.col("id").alias("k"))
+    assert lookup.hot_keys(left, ["k"], 64) == {}
+    assert "__salt" not in lookup.skew_join(left, left, ["k"], "inner")._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_hot_key_in_one_partition_is_split(spark):
+    left = spark.range(0, 4000, 1, 4).select("id", F.when(F.col("id") < 1500, 7).otherwise(F.col("id")).alias("k")).coalesce(1)
+    (tasks,) = lookup.hot_keys(left, ["k"], 64).values()
+    assert tasks == 2  # 1,500 of 4,000 rows at four tasks
+    joined = lookup.skew_join(left, spark.range(8).select(F.col("id").alias("k")), ["k"], "inner", salts=64)
+    assert joined.count() == 1500
+    spread = left.where("k = 7").select(F.pmod(F.xxhash64("id", "k") + F.spark_partition_id(), F.lit(tasks)).alias("s"))
+    assert min(r["count"] for r in spread.groupBy("s").count().collect()) > 600
+
+
+def test_several_patches_of_a_link(spark):
+    rows = corpus(spark, [(1, "en", "a"), (2, "en", "b")])
+    patches = spark.createDataFrame([("http://l/0", "one", 1), ("http://l/0", None, 3), ("http://l/0", "two", 2)], "link string, full_text string, at int")
+    with pytest.raises(ValueError):
+        repair.patch_text(rows, patches)
+    assert sorted(values(repair.patch_text(rows, patches, "at"), "ord", "full_text")) == [(0, None), (1, "b")]
+
+
+def test_dedup_in_slices_never_shuffles_text(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id AS ord", "id % 700 AS date", "'l' AS link", "'t' AS topic", "'x' AS full_text", "'en' AS lang")
+    rows.write.parquet(str(tmp_path / "c"))
+    once = dedup.dedup_first(spark.read.parquet(str(tmp_path / "c")), max_losers=500)
+    assert once.count() == 700
+    text = once._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin") == 5 and "SortMergeJoin" not in text and "hashpartitioning" not in text
+
+
 def test_small_table(spark):
     assert lookup.small_table(spark.range(5), 5).count() == 5
     assert lookup.small_table(spark.range(6), 5) is None
