@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import shutil
 import tempfile
 from pathlib import Path
@@ -12,8 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chroniq.session import work_folder
-from chroniq.sinks.tables import remove_path
+from chroniq.session import remove_path, work_folder
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -48,14 +45,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     A lazily returned frame may read it any time until then.
     """
-    folder = work_folder(spark, name)
-    atexit.register(_discard, spark, folder)
-    return folder
-
-
-def _discard(spark: SparkSession, folder: str) -> None:
-    with contextlib.suppress(Exception):  # the gateway may be gone, and then the folder's owner cleans up
-        remove_path(spark, folder)
+    return work_folder(spark, name)
 
 
 def discard(spark: SparkSession, folder: str) -> None:
