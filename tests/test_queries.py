@@ -4,7 +4,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as driver
-from chroniq.operators import dedup, words
+from chroniq.operators import dedup, lookup, words
 from chroniq.plans import driver_tables as D
 from chroniq.plans.catalog import QUERIES
 from chroniq.plans.catalog_sql import ORACLES
@@ -53,6 +53,20 @@ def test_top_words_never_sorts_all_words(spark, sf_dir):
         assert "SortAggregate" not in text
 
 
+@pytest.mark.parametrize("name", ["corpus_scan", "language_filter", "term_trend", "top_words", "page_text", "rss_items", "listing_items", "element_audit"])
+def test_scans_are_not_dealt_anew(spark, sf_dir, name):
+    text = plan(driver.queries()[name](spark, sf_dir))
+    assert "REPARTITION" not in text and "RoundRobin" not in text
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_article_html_is_chosen_by_narrow_columns(spark, sf_dir, monkeypatch, bound):
+    if bound is not None:
+        monkeypatch.setattr(lookup.lookup_join, "__defaults__", (bound,))
+    text = plan(driver.queries()["newest_articles"](spark, sf_dir))
+    assert "SortAggregate" not in text
+
+
 def test_feed_is_parsed_once(spark, sf_dir):
     for name in ("rss_items", "feed_status"):
         # one parse of the body, one of a nested channel
