@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chroniq.llm.common import scratch, ship
-from chroniq.llm.ngram_join import dealt, runs
+from chroniq.llm.ngram_join import runs
 from chroniq.session import stage
 
 PIVOTS = 256  # cells, at most; their pivots are a sample of as many rows
+CELL_ROWS = 2048  # rows for which there is a cell, until there are as many cells as may be
 TREE_ROWS = 4096  # rows of a tree
 PAGE = 64  # entries of a node
 ROOTS = 4096  # roots looked at in one pass
@@ -236,9 +237,10 @@ def top_k(
     folder = scratch(spark, "mtree")
     rows = stage(whole_vectors(vectors, id_col, vector_col, scale), folder, "vectors")
     length = F.aggregate("vector", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
-    m = rows.agg(F.max(length)).first()[0] or 0
+    sizes = rows.agg(F.max(length).alias("m"), F.count("*").alias("n")).first()
+    m, cells = sizes.m or 0, min(PIVOTS, -(-sizes.n // CELL_ROWS))
 
-    pivots = [list(r.vector) for r in rows.orderBy(F.xxhash64("vec_id", "vector")).limit(PIVOTS).collect()]
+    pivots = [list(r.vector) for r in rows.orderBy(F.xxhash64("vec_id", "vector")).limit(cells).collect()]
 
     def celler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_size = {n: np.array([p for p in pivots if len(p) == n], np.int64) for n in {len(p) for p in pivots}}
@@ -256,7 +258,9 @@ def top_k(
     trees = celled.join(F.broadcast(slices), "cell").select(
         F.concat_ws("/", "cell", F.pmod(F.xxhash64("vec_id", "vector"), F.col("slices"))).alias("tree"), "vec_id", "vector"
     )
-    index = stage(dealt(trees, ["tree", "vec_id"]).mapInArrow(builder(m), NODES), folder, "index")
+    # A tree's rows must meet in one task, so they are dealt by the tree alone.
+    together = trees.repartition("tree").sortWithinPartitions("tree", "vec_id")
+    index = stage(together.mapInArrow(builder(m), NODES), folder, "index")
 
     queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     queries = queries.select(F.col("vec_id").alias("query_id"), F.lit(None).cast("bigint").alias("least"), "vector", F.lit(None).cast("string").alias("home"))

@@ -159,6 +159,21 @@ def test_top_k_equals_brute_force(spark):
     assert mtree.top_k(df.limit(0)).count() == 0
 
 
+def test_trees_are_whole_over_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "CELL_ROWS", 300)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(0, 0.4, 6).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        assert sorted(tuple(r) for r in mtree.top_k(df).drop("computed").collect()) == brute_top(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_routing_in_several_passes(spark, monkeypatch):
     monkeypatch.setattr(mtree, "TREE_ROWS", 40)
     monkeypatch.setattr(mtree, "ROOTS", 3)
