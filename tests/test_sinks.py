@@ -1,6 +1,8 @@
 """Sinks and maintenance runs: what is written is read back."""
 
 import json
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -112,3 +114,22 @@ def test_dedup_stream(spark, rows, tmp_path):
     writer.format("parquet").start(str(tmp_path / "out")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("date", "lang").collect()
     assert sorted(tuple(r) for r in got) == sorted({(r.date, r.lang) for r in rows.select(F.col("date"), "lang").collect()})
+
+
+@pytest.mark.parametrize("stop", [True, False])
+def test_shared_folder_is_empty_after_the_driver_ends(tmp_path, sf_dir, stop):
+    shared = tmp_path / "shared"
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).parents[1])!r})
+from chroniq.plans.catalog import QUERIES
+from chroniq.session import build_session
+spark = build_session("t", master="local[2]", **{{"spark.checkpoint.dir": {str(shared)!r}, "spark.ui.enabled": "false"}})
+for name in ("jsonl_round_trip", "dedup_first", "append_published", "newest_articles"):
+    QUERIES[name](spark, {sf_dir!r}).count()
+import os
+assert any(files for _, _, files in os.walk({str(shared)!r}))
+{"spark.stop()" if stop else ""}
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=300)
+    assert not [f for f in shared.rglob("*") if f.is_file()]
