@@ -84,7 +84,7 @@ class Machine:
 
 
 def fit(
-    chosen: dict[int, int], rows: np.ndarray, terms: np.ndarray, labels: np.ndarray, rounds: int = 150, rate: float = 0.05, ridge: float = 1e-4,
+    chosen: dict[int, int], rows: np.ndarray, terms: np.ndarray, labels: np.ndarray, rounds: int = 400, rate: float = 0.05, ridge: float = 1e-4,
     ridge_factors: float = 1e-3, n_factors: int = FACTORS,
 ) -> Machine:
     """Weights that minimise the log loss and the ridge penalty, by Adam over all documents at once."""
