@@ -9,6 +9,10 @@ come last, as they take part in no overlap. With ``a`` words needed of a templat
 * positional filter: the words from the matching places on suffice on both sides for ``a``;
 * what is left is counted exactly.
 
+Notices are wrapped at any width, so a scan may also look across line ends: at each run of lines that have words, and in it at all
+windows of twice as many words as the template has. The run as a whole goes through the same filters, and only the templates that it
+meets are looked for in its windows.
+
 The templates and the counts of their words are the only things that are broadcast; both are bounded by the templates.
 """
 
@@ -69,12 +73,14 @@ def line_counter(vocabulary: frozenset[bytes]):
 class Index:
     """Templates by the words of their prefixes."""
 
-    def __init__(self, templates: dict[str, list[bytes]], lines: dict[bytes, int], threshold: float) -> None:
+    def __init__(self, templates: dict[str, list[bytes]], lines: dict[bytes, int], threshold: float, windows: dict[str, int] | None = None) -> None:
         vocabulary = {w for words in templates.values() for w in words}
         self.rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (lines.get(w, 0), w)))}
         self.vocabulary = frozenset(vocabulary)
         self.sets = {label: frozenset(words) for label, words in templates.items()}
         self.need = {label: max(1, ceil(threshold * len(words) - 1e-9)) for label, words in templates.items()}
+        #: Words of a window by label: twice those of the notice, repeated ones included.
+        self.windows = windows or {label: 2 * len(words) for label, words in templates.items()}
         self.postings: dict[bytes, list[tuple[str, int]]] = {}
         for label, words in templates.items():
             for i, w in enumerate(sorted(words, key=self.rank.__getitem__)[: len(words) - self.need[label] + 1]):
@@ -103,6 +109,48 @@ class Index:
                     found.append((label, both / len(wanted)))
         return found
 
+    def wrapped(self, run: list[bytes]) -> list[tuple[str, float, int]]:
+        """Templates that a window of a run's words meets: the highest containment, and where its first window begins."""
+        found = []
+        for label, _ in self.matches(run):
+            wanted, span = self.sets[label], self.windows[label]
+            places = [i for i, w in enumerate(run) if w in wanted]
+            held: Counter[bytes] = Counter()
+            most, at, left = 0, 0, 0
+            for i in places:
+                held[run[i]] += 1
+                while places[left] <= i - span:
+                    w = run[places[left]]
+                    held[w] -= 1
+                    if not held[w]:
+                        del held[w]
+                    left += 1
+                if len(held) > most:
+                    most, at = len(held), places[left]
+            if most >= self.need[label]:
+                found.append((label, most / len(wanted), at))
+        return found
+
+
+def wrapped_blocks(lines: list[list[bytes]], index: Index, blocks: list[dict]) -> Iterator[dict]:
+    """Notices that stand across line ends: those that hold more of a template than each line of their run does."""
+    single = {(x["block"], x["label"]): x["containment"] for x in blocks}
+    b = 0
+    while b < len(lines):
+        end = b
+        while end < len(lines) and lines[end]:
+            end += 1
+        if end - b > 1:
+            run = [w for line in lines[b:end] for w in line]
+            for label, containment, at in index.wrapped(run):
+                if containment > max(single.get((i, label), 0.0) for i in range(b, end)):
+                    first = b
+                    while at >= len(lines[first]):
+                        at -= len(lines[first])
+                        first += 1
+                    yield {"block": first, "label": label, "containment": containment}
+        b = end + 1
+
 
 def phrase_starts(words: list[bytes], phrases: dict[str, bytes]) -> list[tuple[int, str]]:
     """Places (from 0) at which the words of a phrase stand one after another."""
@@ -116,7 +164,7 @@ def phrase_starts(words: list[bytes], phrases: dict[str, bytes]) -> list[tuple[i
     return out
 
 
-def scanner(index: Index, phrases: dict[str, bytes]):
+def scanner(index: Index, phrases: dict[str, bytes], wrapped: bool):
     """(id, text) to result rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,11 +174,14 @@ def scanner(index: Index, phrases: dict[str, bytes]):
         for batch in batches:
             out = []
             for text in batch.column(1):
-                words, blocks = [], []
+                words, lines, blocks = [], [], []
                 for b, line in enumerate(text.as_py().translate(KEEP_LINES).split(b"\n")):
                     own = line.split()
                     words += own
+                    lines.append(own)
                     blocks += [{"block": b, "label": label, "containment": c} for label, c in index.matches(own)]
+                if wrapped:
+                    blocks += wrapped_blocks(lines, index, blocks.copy())
                 base = phrase_starts(words, phrases)
                 labels = {label for _, label in base}
                 starts = [at for at, _ in base]
@@ -152,10 +203,13 @@ def scan_licenses(
     threshold: float = THRESHOLD,
     id_col: str = "doc_id",
     text_col: str = "text",
+    wrapped: bool = False,
 ) -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks)`` for each row of ``docs``.
 
-    ``blocks`` lists every line (from 0) with a template it meets. ``score`` is 1 if a phrase stands in the text, else the highest
+    ``blocks`` lists every line (from 0) with a template it meets. With ``wrapped`` it also lists, by the line in which they begin,
+    notices across line ends: for each run of lines that have words and each template the best window, if it holds more of the
+    template than each single line of the run. ``labels`` are those of phrases and blocks. ``score`` is 1 if a phrase stands in the text, else the highest
     containment of a match, else 0.
 
     A null text is empty: no words, no labels (empty strings), places null, score 0. A null identifier stays null; repeated rows give
@@ -170,7 +224,8 @@ def scan_licenses(
     vocabulary = frozenset(w for words in wanted.values() for w in words)
     counted = texts.mapInArrow(line_counter(vocabulary), "word binary, lines bigint").groupBy("word").agg(F.sum("lines").alias("lines"))
     lines = {bytes(r.word): r.lines for r in counted.collect()}  # at most one row per word of the templates
-    index = Index(wanted, lines, threshold)
+    notices = TEMPLATES if templates is None else templates
+    index = Index(wanted, lines, threshold, {label: 2 * len(words_of(notices[label].encode())) for label in wanted})
     spaced = {label: f" {p} ".encode() for label, p in (PHRASES if phrases is None else phrases).items()}
-    result = texts.mapInArrow(scanner(index, spaced), RESULT.format(id=id_type))
+    result = texts.mapInArrow(scanner(index, spaced, wrapped), RESULT.format(id=id_type))
     return result.withColumnRenamed("doc_id", id_col)

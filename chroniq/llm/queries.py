@@ -53,7 +53,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), wrapped=True)
     return found.drop("blocks")
 
 

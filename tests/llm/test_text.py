@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chroniq.llm import license_scan, lm, packing, token_counts
+from chroniq.llm import queries as Q
 from chroniq.llm.common import fold
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -251,6 +252,48 @@ def test_license_scan_equals_brute_force(spark):
     assert license_scan.scan_licenses(documents(spark, [])).count() == 0
 
 
+BSD_HEADER = "Copyright 1999\n\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that\n"
+MPL_HEADER = "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy\n"
+
+
+def brute_wrapped(text):
+    *base, labels, score = brute_licenses(text)
+    labels, shares = set(filter(None, labels.split(","))), [score]
+    lines = [words_of(line) for line in (text or "").split("\n")]
+    runs = [[]]
+    for line in lines:
+        runs = [*runs[:-1], runs[-1] + line] if line else [*runs, []]
+    for run in runs:
+        for label, t in license_scan.TEMPLATES.items():
+            wanted, span = set(words_of(t)), 2 * len(words_of(t))
+            share = max((len(wanted & set(run[i : i + span])) / len(wanted) for i in range(len(run))), default=0)
+            if share >= 0.8 - 1e-12:
+                labels.add(label)
+                shares.append(share)
+    return *base, ",".join(sorted(labels)), max(shares)
+
+
+def test_wrapped_notices(spark):
+    apart = "This work is licensed under\n\nthe GNU General Public License, version 3"
+    far = "Released early\n" + prose(1, 30) + "\nunder the\n" + prose(2, 30) + "\nMIT License"
+    rows = [(1, BSD_HEADER), (2, MPL_HEADER), (3, apart), (4, far), (5, "x\n" + "\n".join(license_scan.TEMPLATES["cc-by-nc-4.0"].split()))]
+    for label, t in license_scan.TEMPLATES.items():
+        for width in (1, 2, 3, 5, 8):
+            w = t.split()
+            rows.append((len(rows) + 10, prose(len(rows), 9) + "\n" + "\n".join(" ".join(w[i : i + width]) for i in range(0, len(w), width)) + "\n" + prose(0, 9)))
+    got = license_scan.scan_licenses(documents(spark, rows), wrapped=True)
+    found = {r.doc_id: r for r in got.collect()}
+    assert [found[i].labels for i in (1, 2, 4, 5)] == ["bsd", "mpl-2.0", "", "cc-by,cc-by-nc-4.0"] and found[1].blocks[0].block == 2
+    for i, t in rows:
+        assert tuple(found[i])[1:-1] == brute_wrapped(t)
+
+
+def test_registered_license_scan_finds_wrapped_notices(spark, tmp_path):
+    documents(spark, [(1, BSD_HEADER), (2, MPL_HEADER)], clash=False).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.labels, r.score) for r in Q.op6_license_scan(spark, str(tmp_path)).collect()}
+    assert got == {1: ("bsd", 1.0), 2: ("mpl-2.0", 1.0)}
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.dictionaries(st.sampled_from("uvwxyz"), st.sets(st.sampled_from("abcdefgh"), min_size=1), min_size=1),
