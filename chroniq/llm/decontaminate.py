@@ -5,8 +5,9 @@ and a document is cut into overlapping windows of twice the largest size in the
 that stands in a document then lies whole inside a window, and its similarity with that window is at least 0.19 at a
 containment of 0.8, whatever the document's length. A window is a candidate for an item if one of their 64 minimum
 hashes agrees, which misses such an item with probability below 2e-6; items in up to four scattered parts are still
-found with probability 0.998. Every candidate is verified by the exact share of the item's
-shingles that the whole document holds.
+found with probability 0.998. An item whose distinct shingles are too few for that in its window, as it is very short or repeats
+itself, is looked up by its shingles themselves, so none is missed. Every candidate is verified by the exact share of
+the item's shingles that the whole document holds.
 
 Documents are read once for each part of the items and never shuffled. A part holds a bounded number of
 bytes, and only one part is broadcast in a pass.
@@ -15,6 +16,7 @@ bytes, and only one part is broadcast in a pass.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ BLOCK = 8  # shingles whose minimum is shared by all windows
 HASHES = 64
 PART_BYTES = 16 * 1024 * 1024
 GROUP_SHINGLES = 300_000
+MISS = 2e-6  # probability from which on an item is not left to the minimum hashes
 
 
 def multipliers(n: int, seed: int = 20) -> np.ndarray:
@@ -36,20 +39,36 @@ def multipliers(n: int, seed: int = 20) -> np.ndarray:
 
 
 class Items:
-    """One part of the items: shingle sets, and the minimum hashes by which windows find them."""
+    """One part of the items: shingle sets, and the minimum hashes or the shingles by which documents find them."""
 
-    def __init__(self, ids: list, texts: list[bytes], size: int, hashes: int) -> None:
+    def __init__(self, ids: list, texts: list[bytes], size: int, hashes: int, threshold: float) -> None:
         memo = WordHashes()
         runs = [shingle_hashes(words_of(t), memo, size) for t in texts]
         at = [i for i, r in enumerate(runs) if len(r)]
         self.ids = [ids[i] for i in at]
         self.sets = [np.unique(runs[i]) for i in at]
         #: A level stands for a partition of sizes: windows of 2**level blocks hold items of up to half that length.
-        self.levels = sorted({max(1, (len(runs[i]) - 1).bit_length() - 2) for i in at})
+        levels = [max(1, (len(runs[i]) - 1).bit_length() - 2) for i in at]
+        need = [min(len(s), max(1, ceil(threshold * len(s)))) for s in self.sets]
+        few = [
+            (1 - n / ((BLOCK << level) + len(s) - n)) ** hashes >= MISS
+            for s, n, level in zip(self.sets, need, levels, strict=True)
+        ]
+        # A document that holds enough of an item's shingles holds one of any len - need + 1 of them.
+        keys = [(s[: len(s) - n + 1], i) for i, (s, n, f) in enumerate(zip(self.sets, need, few, strict=True)) if f]
+        looked_up = np.concatenate([k for k, _ in keys]) if keys else np.zeros(0, np.uint64)
+        items = np.repeat(np.array([i for _, i in keys], np.int32), np.array([len(k) for k, _ in keys], np.int64))
+        by_key = np.argsort(looked_up, kind="stable")
+        self.keys, self.key_items = looked_up[by_key], items[by_key]
+        self.key_present = np.zeros(1 << min(23, max(16, 4 + len(keys).bit_length())), bool)
+        self.key_present[self.keys & np.uint64(len(self.key_present) - 1)] = True
+        hashed = [i for i, f in enumerate(few) if not f]
+        self.levels = sorted({levels[i] for i in hashed})
         self.factors = multipliers(hashes)
-        minima = np.array([[(s * a).min() for a in self.factors] for s in self.sets], np.uint64).reshape(-1, hashes)
-        self.order = np.argsort(minima, axis=0, kind="stable")
-        self.values = np.take_along_axis(minima, self.order, axis=0)
+        minima = np.array([[(self.sets[i] * a).min() for a in self.factors] for i in hashed], np.uint64).reshape(-1, hashes)
+        order = np.argsort(minima, axis=0, kind="stable")
+        self.values = np.take_along_axis(minima, order, axis=0)
+        self.order = np.array(hashed, np.int64)[order]
         self.bits = min(20, max(16, 8 + len(at).bit_length()))
         self.present = np.zeros((hashes, 1 << self.bits), bool)
         mask = np.uint64((1 << self.bits) - 1)
@@ -57,7 +76,25 @@ class Items:
             self.present[k, minima[:, k] & mask] = True
 
     def candidates(self, docs: list[np.ndarray]) -> set[tuple[int, int]]:
-        """(document's index, item's index) of documents with a window that shares a minimum hash with an item."""
+        """(document's index, item's index) of documents with a window that shares a minimum hash with an item, or with
+        a shingle by which an item is looked up."""
+        return self.by_shingles(docs) | (self.by_windows(docs) if self.levels else set())
+
+    def by_shingles(self, docs: list[np.ndarray]) -> set[tuple[int, int]]:
+        found = set()
+        if not len(self.keys):
+            return found
+        x = np.concatenate(docs)
+        doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        hits = np.flatnonzero(self.key_present[x & np.uint64(len(self.key_present) - 1)])
+        lo = np.searchsorted(self.keys, x[hits], "left")
+        hi = np.searchsorted(self.keys, x[hits], "right")
+        seen = np.unique(np.stack([doc[hits], lo, hi], 1)[hi > lo], axis=0)
+        for d, i, j in seen.tolist():
+            found.update((d, int(item)) for item in self.key_items[i:j])
+        return found
+
+    def by_windows(self, docs: list[np.ndarray]) -> set[tuple[int, int]]:
         lengths = np.array([-(-len(d) // BLOCK) for d in docs])
         last = np.cumsum(lengths) - 1
         first = last - lengths + 1
@@ -159,7 +196,7 @@ def find_items(
     found = None
     for p in range(max(1, parts)):
         rows = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts))) == p).collect()
-        part = Items([r.item_id for r in rows], [bytes(r.text) for r in rows], size, hashes)
+        part = Items([r.item_id for r in rows], [bytes(r.text) for r in rows], size, hashes, threshold)
         item_ids = spark.createDataFrame([(i, v) for i, v in enumerate(part.ids)], f"item int, item_id {items.schema[item_id_col].dataType.simpleString()}")
         schema = f"doc_id {id_type}, item int, n_item_shingles bigint, n_found bigint"
         if part.ids:

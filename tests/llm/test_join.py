@@ -145,6 +145,28 @@ def test_items_equal_brute_force(spark, monkeypatch, part_bytes):
     assert all(r.containment == r.n_found / r.n_item_shingles for r in got)
 
 
+def test_items_of_few_shingles_in_long_texts(spark):
+    items = [
+        (1, "same " * 300), (2, "a rather short item here"), (3, "only four words there"), (4, "red green blue " * 90),
+        (5, prose(950, 6)), (6, prose(951, 7)), (7, prose(952, 60) + " tail" * 240), (8, prose(953, 25)),
+    ]
+    rows = [(i, f"{prose(1000 + i, 3000)} {items[i % 8][1]} {prose(2000 + i, 3000)}") for i in range(48)]
+    rows += [(90, items[2][1]), (91, "same " * 4), (92, "red green blue red green blue red"), (93, prose(952, 45) + " tail" * 9)]
+    # Alone, an item is looked for in the windows of its own size only.
+    for few in (items, [items[0], items[3]]):
+        got = decontaminate.find_items(documents(spark, rows), spark.createDataFrame(few, "item_id bigint, text string")).collect()
+        expected = brute_items(rows, few)
+        assert len({name for name, *_ in expected}) >= 12
+        assert sorted(((r.doc_id, r.item_id, r.n_item_shingles, r.n_found) for r in got), key=repr) == expected
+
+
+def test_no_five_word_item_is_missed(spark):
+    items = [(i, f"a rather short item {i}") for i in range(3000)]
+    rows = [(i, f"{prose(i, 40)} {item} {prose(9000 + i, 40)}") for i, item in items]
+    got = decontaminate.find_items(documents(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i) for i, _ in items]
+
+
 def test_decontaminate_drops_rows_not_identifiers(spark):
     docs = documents(spark, contaminated())
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
