@@ -2,12 +2,16 @@
 
 Each source is a queue of tokens. Deficit round-robin serves the queues window by window: a queue's
 share of a window is its target times the window's length, plus what rounding owed it before. That schedule has
-a closed form. After ``e`` tokens of output, the queues ``0..q`` together have given ``floor(e * W_q / W)`` tokens, with
-``W_q`` the sum of their weights; the remainder of that division is the deficit that is carried on. So no task has to
-wait for another: the tokens that queue ``q`` gives to a window follow from the window's number alone, and the
+a closed form. The queues are the leaves of a binary tree. Of ``g`` tokens that a node gives, its left child gives ``floor(g * A / W)``,
+with ``A`` and ``W`` the weights of the child and the node, and its right child the others; the remainder of that division is the
+deficit that is carried on. Both grow with ``g`` token by token, however small a weight is. So no task has to
+wait for another: the tokens that a queue gives to a window follow from the window's number alone, and the
 deficits go across windows and partitions without being handed over. A queue that runs dry ends
 a phase, and the others go on with their weights.
 
+The driver holds the queues of large sources and of those with a target of their own. All other sources are below one queue of it, in a
+tree whose nodes are the beginnings of the hashes of their names; the weights on the way to a source are joined to its documents.
+
 Documents are encoded once. Every task keeps a running sum for each queue, and only the sums of the tasks
 are shuffled, so a source may hold any share of all tokens and no text or token is shuffled.
 """
@@ -19,6 +23,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +38,7 @@ from chroniq.session import stage
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NO_SOURCE = "\x00null"  # the queue of rows whose source is null
 REST = "\x00rest"
-MIN_SHARE = 1 / 1024  # sources below this share of all tokens are served from one queue
+MIN_SHARE = 1 / 1024  # sources below this share of all tokens are have their queues in a tree below one of the driver's
 
 PIECES = (
     "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -122,6 +127,22 @@ def mul_div(a: np.ndarray, b: int, c: int) -> np.ndarray:
     return guess + rest // np.int64(c)
 
 
+def divided(weights: list[int], g: int) -> list[int]:
+    """What each queue gives of ``g`` tokens."""
+    sums = [0, *accumulate(weights)]
+    out = [0] * len(weights)
+    todo = [(0, len(weights), g)]
+    while todo:
+        lo, hi, n = todo.pop()
+        if hi - lo == 1:
+            out[lo] = n
+        elif n:
+            mid = (lo + hi) // 2
+            left = n * (sums[mid] - sums[lo]) // (sums[hi] - sums[lo])
+            todo += [(lo, mid, left), (mid, hi, n - left)]
+    return out
+
+
 @dataclass(frozen=True)
 class Schedule:
     """How many tokens each queue has given after ``e`` tokens of output."""
@@ -144,40 +165,53 @@ class Schedule:
         given, phases, at = [0] * len(names), [], 0
         while any(left):
             w = [v if rest else 0 for v, rest in zip(wanted, left, strict=True)]
-            span = min(rest * sum(w) // v for v, rest in zip(w, left, strict=True) if v)
-            dry = [i for i, v in enumerate(w) if v and left[i] * sum(w) < v]
-            if dry:  # too little left of a queue for its share of one token
-                w = [1 if i == dry[0] else 0 for i in range(len(w))]
-                span = left[dry[0]]
+            # The last token at which no queue has given more than it has left; there one has given all.
+            low, high = 1, sum(left)
+            while low < high:
+                mid = (low + high + 1) // 2
+                fits = all(n <= rest for n, rest in zip(divided(w, mid), left, strict=True))
+                low, high = (mid, high) if fits else (low, mid - 1)
             phases.append((at, tuple(given), tuple(w)))
-            taken, total = 0, sum(w)
-            for i in range(len(w)):
-                upto = span * sum(w[: i + 1]) // total
-                given[i] += upto - taken
-                left[i] -= upto - taken
-                taken = upto
-            at += span
+            for i, n in enumerate(divided(w, low)):
+                given[i] += n
+                left[i] -= n
+            at += low
         return cls(names, tuple(sizes[n] for n in names), length, tuple(phases))
 
-    def upto(self, queue: int, e: np.ndarray) -> np.ndarray:
-        """Tokens that the queues ``0..queue`` have given after ``e`` tokens of output."""
-        out = np.zeros(len(e), np.int64)
-        if queue < 0:
-            return out
+    def placed(self, queue: int, e: np.ndarray, path: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens that the queues before a queue, and the queue itself, have given after ``e`` tokens of output.
+
+        ``path`` leads to a source below the queue: the weight of the node, then for each step the weight of the next node,
+        negative if it is the right one.
+        """
+        before, own = np.zeros(len(e), np.int64), np.zeros(len(e), np.int64)
         starts = np.array([p[0] for p in self.phases], np.int64)
         which = np.searchsorted(starts, e, side="right") - 1
         for i in np.unique(which):
             start, given, w = self.phases[i]
             at = which == i
-            out[at] = sum(given[: queue + 1]) + mul_div(e[at] - start, sum(w[: queue + 1]), sum(w))
-        return out
-
-    def given(self, queue: int, window: np.ndarray) -> np.ndarray:
+            g, passed, lo, hi = e[at] - start, sum(given[:queue]), 0, len(w)
+            while hi - lo > 1:
+                mid = (lo + hi) // 2
+                left = mul_div(g, sum(w[lo:mid]), max(1, sum(w[lo:hi])))
+                if queue < mid:
+                    g, hi = left, mid
+                else:
+                    passed, g, lo = passed + left, g - left, mid
+            before[at], own[at] = passed, given[queue] + g
+        for whole, part in zip(map(abs, path), path[1:], strict=False):
+            if part < 0:
+                left = mul_div(own, whole + part, whole)
+                before, own = before + left, own - left
+            else:
+                own = mul_div(own, part, whole)
+        return before, own
+
+    def given(self, queue: int, window: np.ndarray, path: tuple[int, ...] = ()) -> np.ndarray:
         """Tokens that a queue has given when the windows ``0..window`` are full."""
-        e = np.minimum((window + 1) * self.length, self.total)
-        return self.upto(queue, e) - self.upto(queue - 1, e)
+        return self.placed(queue, np.minimum((window + 1) * self.length, self.total), path)[1]
 
-    def pieces(self, queue: int, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    def pieces(self, queue: int, first: np.ndarray, last: np.ndarray, path: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
         """Cut token ranges ``[first, last)`` of a queue: (range's index, start in queue, length, window, offset)."""
         low, high = np.zeros(len(first), np.int64), np.full(len(first), -(-self.total // self.length) - 1, np.int64)
         ends = []
@@ -185,24 +219,22 @@ class Schedule:
             lo, hi = low.copy(), high.copy()
             while (lo < hi).any():
                 mid = (lo + hi) // 2
-                done = self.given(queue, mid) > target
+                done = self.given(queue, mid, path) > target
                 lo, hi = np.where(done, lo, np.minimum(mid + 1, hi)), np.where(done, mid, hi)
             ends.append(lo)
         n = ends[1] - ends[0] + 1
         row = np.repeat(np.arange(len(first)), n)
         window = ends[0][row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        opens = self.given(queue, window - 1) * (window > 0)
-        closes = self.given(queue, window)
+        (passed0, opens), (passed1, closes) = (self.placed(queue, np.minimum(w * self.length, self.total), path) for w in (window, window + 1))
         start = np.maximum(first[row], opens)
         size = np.minimum(last[row], closes) - start
-        e0, e1 = window * self.length, np.minimum((window + 1) * self.length, self.total)
-        offset = self.upto(queue - 1, e1) - self.upto(queue - 1, e0) + start - opens
+        offset = passed1 - passed0 + start - opens
         keep = size > 0
         return row[keep], start[keep], size[keep], window[keep], offset[keep]
 
 
 def cutter(schedule: Schedule, with_ids: bool):
-    """(id, queue, first token in queue, tokens, ids, source) to pieces."""
+    """(id, queue, first token in queue, tokens, ids, source, path below the queue) to pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -212,9 +244,12 @@ def cutter(schedule: Schedule, with_ids: bool):
                 first = part.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
                 tokens = part.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
                 cuts = []
-                for q in np.unique(queue):
-                    rows = np.flatnonzero(queue == q)
-                    row, *rest = schedule.pieces(int(q), first[rows], first[rows] + tokens[rows])
+                queues = defaultdict(list)
+                for r, key in enumerate(zip(queue.tolist(), map(tuple, part.column(6).to_pylist()), strict=True)):
+                    queues[key].append(r)
+                for (q, path), rows in queues.items():
+                    rows = np.array(rows)
+                    row, *rest = schedule.pieces(q, first[rows], first[rows] + tokens[rows], path)
                     cuts.append((rows[row], *rest))
                 row, start, size, window, offset = (np.concatenate(c) for c in zip(*cuts, strict=True))
                 start -= first[row]
@@ -237,6 +272,26 @@ def cutter(schedule: Schedule, with_ids: bool):
     return run
 
 
+def paths_below(sources: DataFrame, folder: str) -> DataFrame:
+    """``(source, leaf, path)`` of the sources, by their tokens ``n``, in the tree of the hashes of their names.
+
+    Only two sources of the same hash would share a leaf. Steps at which a node has one child are left out.
+    """
+    sources = sources.withColumn("leaf", F.xxhash64("source"))
+    steps = sources.select("source", "leaf", "n", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("depth"))
+    # The first bits of the hash; of none, and of all, there is no shift.
+    node = F.when(F.col("depth") == 0, F.lit(0).cast("bigint")).otherwise(F.expr("shiftrightunsigned(leaf, 64 - depth)"))
+    steps = steps.withColumn("node", node)
+    nodes = stage(steps.groupBy("depth", "node").agg(F.sum("n").alias("weight")), folder, "nodes")
+    steps = lookup_join(steps, nodes, ["depth", "node"], "inner")
+    right = (F.col("depth") > 0) & (F.col("node").bitwiseAND(1) == 1)
+    step = F.struct("depth", F.when(right, -F.col("weight")).otherwise(F.col("weight")).alias("weight"))
+    found = steps.groupBy("source", "leaf").agg(F.array_sort(F.collect_list(step)).alias("steps"))  # 65 for each source
+    weights = F.transform("steps", lambda x: x["weight"])
+    path = F.filter(weights, lambda x, i: (i == 0) | (F.abs(x) != F.abs(F.get(weights, i - 1))))
+    return stage(found.select("source", "leaf", path.alias("path")), folder, "paths")
+
+
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -256,8 +311,8 @@ def pack(
 
     A null text is empty (its document is the end token alone); a null source is a source of its own; a null identifier
     stays null; repeated rows are packed as often as they are there; an empty table gives no pieces;
-    other columns are not looked at. Sources below 1/1024 of all tokens share one queue, which takes the sum of their
-    weights; so there are at most 1,024 queues, however many sources there are.
+    other columns are not looked at. Every source has its own target, however small it is and however many there are. Sources that
+    ``weights`` does not name come after the others; small ones among them by their shares of all tokens.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -272,30 +327,34 @@ def pack(
     by_task = stage(encoded.groupBy("source", "part").agg(F.sum("doc_tokens").alias("n")), folder, "sums")
     total = by_task.agg(F.sum("n")).first()[0] or 0
     by_source = by_task.groupBy("source").agg(F.sum("n").alias("n"))
-    large = {r.source: r.n for r in by_source.where(F.col("n") >= total * MIN_SHARE).collect()}  # at most 1,024
+    least = total * max(MIN_SHARE, 1 / length)
+    named = F.col("source").isin(list(weights or {}))
+    large = {r.source: r.n for r in by_source.where((F.col("n") >= least) | named).collect()}  # at most 1,024 and those named
     rest = total - sum(large.values())
-    home = REST
-    if rest and rest < total * MIN_SHARE and large:  # too small for a queue: it rides on the smallest one
-        home = min(large, key=lambda s: (large[s], s))
-    sizes = dict(large)
-    if rest:
-        sizes[home] = sizes.get(home, 0) + rest
-    if weights is not None and rest:
-        small = by_source.where(F.col("n") < total * MIN_SHARE).where(F.col("source").isin(list(weights))).collect()
-        weights = weights | {home: weights.get(home, 0) + sum(weights[r.source] for r in small)}
+    if weights is None and 0 < rest < least and large:  # too small for a queue of its own: one more source goes below it
+        rest += large.pop(min(large, key=lambda s: (large[s], s)))
+    sizes = large | ({REST: rest} if rest else {})
     schedule = Schedule.plan(sizes, length, weights)
 
     number = {name: i for i, name in enumerate(schedule.names)}
-    queue = F.lit(number.get(home, 0))
+    queue = F.lit(number.get(REST, 0))
     if large:
         ids = F.create_map(*[F.lit(x) for s in large for x in (s, number[s])])
         queue = F.coalesce(F.try_element_at(ids, F.col("source")), queue)
+    no_path = F.array().cast("array<bigint>")
+    by_task = by_task.withColumn("queue", queue)
+    if rest:
+        small = by_source.where(~F.col("source").isin(list(large)))
+        by_task = by_task.join(paths_below(small, folder), "source", "left")
+        by_task = by_task.withColumns({"leaf": F.coalesce("leaf", F.lit(0)), "path": F.coalesce("path", no_path)})
+    else:
+        by_task = by_task.withColumns({"leaf": F.lit(0).cast("bigint"), "path": no_path})
     # Where a task's tokens of a source begin in the queue: sums of the tasks before it, in the order (part, source).
-    order = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
-    bases = by_task.withColumn("queue", queue).withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0))).drop("n")
+    order = Window.partitionBy("queue", "leaf").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
+    bases = by_task.withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0))).drop("n", "leaf")
     bases = stage(bases, folder, "bases")
     placed = lookup_join(encoded, bases, ["source", "part"], "inner")
     null_source = F.when(F.col("source") != NO_SOURCE, F.col("source"))
     return placed.select(
-        "doc_id", "queue", (F.col("base") + F.col("before")).alias("first"), "doc_tokens", "ids", null_source.alias("source")
+        "doc_id", "queue", (F.col("base") + F.col("before")).alias("first"), "doc_tokens", "ids", null_source.alias("source"), "path"
     ).mapInArrow(cutter(schedule, with_ids), PIECES.format(id=id_type, ids=", ids array<bigint>" if with_ids else ""))

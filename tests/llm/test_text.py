@@ -130,6 +130,42 @@ def test_packing_of_many_small_sources_and_of_nothing(spark):
     assert packing.pack(docs.limit(0), BYTE_BPE).count() == 0
 
 
+def by_window(pieces):
+    got = defaultdict(Counter)
+    for p in pieces:
+        got[p.sequence_id][p.source] += p.length
+    return got
+
+
+def test_packing_holds_small_sources_to_their_targets(spark):
+    rows = [(i, prose(i, 60)) for i in range(120)]
+    docs = documents(spark, rows, clash=False).withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 40))
+    pieces = packing.pack(docs.repartition(3), BYTE_BPE, length=32, with_ids=True).collect()
+    check_pieces(pieces, rows, 32)
+    total, so_far, got = Counter(), Counter(), by_window(pieces)
+    for p in pieces:
+        total[p.source] += p.length
+    for window in sorted(got)[:-1]:
+        so_far.update(got[window])
+        assert all(abs(so_far[s] - 32 * (window + 1) * n / total.total()) < 4 for s, n in total.items())
+
+
+def test_packing_gives_a_rare_source_its_weight(spark):
+    rows = [(i, prose(i, 300)) for i in range(200)] + [(1000, "rare words")]
+    docs = documents(spark, rows, clash=False).withColumn("source", F.when(F.col("doc_id") == 1000, "rare").otherwise("big"))
+    pieces = packing.pack(docs, BYTE_BPE, length=8, weights={"big": 0.5, "rare": 0.5}, with_ids=True).collect()
+    check_pieces(pieces, rows, 8)
+    assert by_window(pieces)[0] == {"rare": min(4, next(p.doc_tokens for p in pieces if p.source == "rare")), "big": 4}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.sampled_from("abcdef"), st.integers(1, 5000), min_size=1), st.one_of(st.none(), st.dictionaries(st.sampled_from("abcdef"), st.floats(0, 9))))
+def test_no_queue_takes_tokens_back(sizes, weights):
+    schedule = packing.Schedule.plan(sizes, 7, weights)
+    windows = np.arange(-(-schedule.total // 7))
+    assert all((np.diff(schedule.given(q, windows)) >= 0).all() for q in range(len(sizes)))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 10**13), min_size=1, max_size=20), st.integers(0, 10**14), st.integers(1, 10**14))
 def test_mul_div(a, b, c):
