@@ -1,8 +1,8 @@
-"""Similarity join of texts on the Jaccard similarity of their word shingles, by an LSH forest of MinHash signatures.
+"""Similarity join of texts on the Jaccard similarity of their word shingles, by fixed bands of MinHash signatures.
 
-1. Every text gets ``trees`` signatures of ``depth`` minimum hashes. A tree is the trie of the texts' signatures, held as rows
-   sorted by prefix. Matched prefixes are shortened from ``depth`` on until a pair at the similarity threshold shares a
-   prefix in one of the trees with the target recall; all longer matches lie inside these.
+1. Every text gets ``trees`` bands of minimum hashes, each with one label. Their length is the longest up to ``depth`` at which a pair at
+   the similarity threshold shares a band with the target recall. It follows from the parameters, not from the data; all
+   longer matches lie inside these.
 2. Texts under the same prefix are compared by all their minimum hashes, and those that may be similar are tied together. A large
    node of a trie is cut into blocks, and each pair of blocks is a task's work of its own.
 3. Each group of tied texts is verified exactly: shingle sets are intersected for all pairs of the group, again by
