@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chroniq.llm import (
     decontaminate,
+    hard_negatives,
     license_scan,
     lm,
     mtree,
     ngram_join,
     packing,
     quality,
+    simhash,
+    token_alignment,
     token_counts,
     toxicity,
     url_filter,
@@ -73,6 +77,21 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 5) == 1)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return token_alignment.align(table(spark, sf_dir, "documents"), *files).documents()
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved)).drop("scored")
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
@@ -84,6 +103,9 @@ QUERIES = {
     "op8_mtree": op8_mtree,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scores": op10_lm_scores,
+    "op11_simhash": op11_simhash,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
@@ -91,4 +113,5 @@ ORACLES = {
     "op6_license_scan": sql.OP6,
     "op8_mtree": sql.OP8,
     "op9_decontamination": sql.OP9,
+    "op13_hard_negatives": sql.OP13,
 }

@@ -93,3 +93,27 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 ) WHERE rank <= 5
 """
+
+OP13 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+    SELECT q.vec_id AS anchor_id, c.vec_id AS vec_id, q.label = c.label AS same,
+        CAST(list_sum(list_transform(generate_series(1, len(q.x)), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
+),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE same
+    ) WHERE n <= 5
+)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS n
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    WHERE 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+) WHERE n <= 3
+"""
