@@ -4,18 +4,19 @@ Pages are tag soup, so XML functions cannot read them. One regular expression cu
 into tokens; comments, and the raw text inside ``script`` and ``style``, are whole tokens,
 so markup-like text in them is never taken for a tag.
 
-Limits: a container closed only by the end of its parent runs on to the end of the page, and
-an entity name without ``;`` stays as it is.
+An element is closed by its own end tag or by that of an element around it; void elements have none.
+Names of the older character references are known without ``;`` in text, as browsers read them.
 """
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from collections.abc import Callable
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chroniq.functions.text import captures, collapse_whitespace, let, literal_map, strip
+from chroniq.functions.text import captures, collapse_whitespace, keep_by_walk, let, literal_map, strip
 
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _RAW = r"<(?:script|style)(?=[\s/>]).*?(?:</(?:script|style)\s*>|\z)"
@@ -67,7 +68,18 @@ def _decode_numeric(part: Column) -> Column:
     return let(captures(part, pattern, 3), read)
 
 
-def _decode_one(part: Column) -> Column:
+#: The names that HTML knows without ``;``, the longest first.
+_LEGACY = {name: html5[name] for name in sorted(html5, key=lambda n: (-len(n), n)) if not name.endswith(";")}
+
+
+def _decode_legacy(part: Column, attribute: bool) -> Column:
+    """``part`` starts with a name that needs no ``;``; null if it does not. In an attribute ``&copy=1`` is no reference."""
+    ahead = "(?![0-9A-Za-z=])" if attribute else ""
+    name = F.regexp_extract(part, rf"\A({'|'.join(_LEGACY)}){ahead}", 1)
+    return F.when(name != "", F.concat(F.try_element_at(literal_map(_LEGACY), name), F.substr(part, F.length(name) + 1)))
+
+
+def _decode_one(part: Column, attribute: bool = False) -> Column:
     """``part`` is what follows one ampersand."""
     name = F.substring_index(part, ";", 1)
     named = F.when(
@@ -75,15 +87,15 @@ def _decode_one(part: Column) -> Column:
         F.concat(F.try_element_at(literal_map(_ENTITIES), name), F.substr(part, F.length(name) + 2)),
     )
     numeric = F.when(F.startswith(part, F.lit("#")), _decode_numeric(part))
-    return F.coalesce(named, numeric, F.concat(F.lit("&"), part))
+    return F.coalesce(named, numeric, _decode_legacy(part, attribute), F.concat(F.lit("&"), part))
 
 
-def decode_entities(text: Column) -> Column:
+def decode_entities(text: Column, attribute: bool = False) -> Column:
     """Decode each character reference once: ``&amp;lt;`` becomes ``&lt;``."""
 
     def decode(value: Column) -> Column:
         parts = F.split(value, "&")
-        tail = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _decode_one)
+        tail = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda part: _decode_one(part, attribute))
         return F.concat(F.element_at(parts, 1), F.array_join(tail, ""))
 
     return let(text, lambda value: F.when(F.contains(value, F.lit("&")), decode(value)).otherwise(value))
@@ -135,8 +147,88 @@ def _tokens(html: Column, name: str) -> Column:
     return F.regexp_extract_all(html, F.lit(_between(name)), F.lit(0))
 
 
+#: Elements without content and without an end tag.
+VOID = "area base br col embed hr img input link meta param source track wbr".split()
+#: Start tags that end an open paragraph.
+BLOCKS = (
+    "address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
+    "main menu nav ol p pre section table ul"
+).split()
+#: A start tag that ends an open element of one of these names.
+SIBLINGS = {"li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "td": ["td", "th"], "th": ["td", "th"], "tr": ["tr", "td", "th"], "option": ["option"]}
+
+
+def _tag_name(token: Column) -> Column:
+    """Lower-case name of a start or end tag; empty for anything else."""
+    return F.lower(F.regexp_extract(token, r"\A</?([a-zA-Z][^\s/>]*)", 1))
+
+
+def _before(stack: Column, name: Column) -> Column:
+    """The stack without the last element of that name and all that is in it; the whole stack if there is none."""
+    place = F.array_position(F.reverse(stack), name).cast("int")
+    return F.when(place > 0, F.slice(stack, F.lit(1), F.size(stack) - place)).otherwise(stack)
+
+
+def _closed_by(stack: Column, name: Column) -> Column:
+    """The stack without what a start tag closes."""
+    top = F.coalesce(F.element_at(F.concat(F.array(F.lit("")), stack), -1), F.lit(""))
+    closes = (top == "p") & name.isin(*BLOCKS)
+    for after, ended in SIBLINGS.items():
+        closes = closes | ((name == after) & top.isin(*ended))
+    return F.when(closes, F.slice(stack, F.lit(1), F.size(stack) - 1)).otherwise(stack)
+
+
+def _walked_container(html: Column, is_start: Callable[[Column], Column]) -> Column:
+    """The first matching element, found by a walk with the stack of open elements; null if there is none."""
+    tokens = F.regexp_extract_all(html, F.lit(rf"(?is){_COMMENT}|{_RAW}|{_TAG}|[^<]+|<"), F.lit(0))
+
+    def step(state: Column, token: Column) -> Column:
+        return let(_tag_name(token), lambda name: move(state, token, name))
+
+    def move(state: Column, token: Column, name: Column) -> Column:
+        ends = F.startswith(token, F.lit("</"))
+        raw = name.isin("script", "style")  # a whole element in one token
+        tag = (name != "") & ~raw
+        left = F.when(~tag, state["stack"]).when(ends, _before(state["stack"], name)).otherwise(_closed_by(state["stack"], name))
+
+        def after(left: Column) -> Column:
+            opens = tag & ~ends & ~name.isin(*VOID)
+            begins = (state["level"] == 0) & opens & is_start(token)
+            over = (state["level"] > 0) & (F.size(left) < state["level"])
+            level = F.when(begins, F.size(left) + 1).when(over, F.lit(-1)).otherwise(state["level"])
+            at = F.struct(F.when(opens, F.concat(left, F.array(name))).otherwise(left).alias("stack"), level.alias("level"))
+            return F.struct(at.alias("at"), (begins | ((state["level"] > 0) & ~over)).alias("kept"))
+
+        return let(left, after)
+
+    start = {"stack": F.array().cast("array<string>"), "level": F.lit(0)}
+    return let(keep_by_walk(tokens, start, step), lambda kept: F.when(F.size(kept) > 0, F.array_join(kept, "")))
+
+
+def _has_stray_end(fragment: Column) -> Column:
+    """Whether a fragment closes something that it does not open."""
+    tags = F.regexp_replace(fragment, rf"(?is){_COMMENT}|{_RAW}", "")
+    ends = F.regexp_extract_all(tags, F.lit(r"</([a-zA-Z][^\s/>]*)"), F.lit(1))
+    starts = F.regexp_extract_all(tags, F.lit(r"<([a-zA-Z][^\s/>]*)"), F.lit(1))
+
+    def stray(ends: Column, starts: Column) -> Column:
+        def unopened(name: Column) -> Column:
+            more = F.size(F.filter(ends, lambda e: e == name)) > F.size(F.filter(starts, lambda x: x == name))
+            lowered = F.lower(tags)
+            return more | (F.position(F.concat(F.lit("</"), name), lowered) < F.position(F.concat(F.lit("<"), name), lowered))
+
+        return F.exists(F.array_distinct(ends), unopened)
+
+    lower = lambda names: F.transform(names, F.lower)
+    return let(lower(ends), lambda e: let(lower(starts), lambda s: stray(e, s)))
+
+
 def container(html: Column, name: str, class_part: str | None = None) -> Column:
-    """Markup from the first matching element to its own end tag; null if there is none."""
+    """Markup of the first matching element; null if there is none.
+
+    Where the element has its own end tag and closes nothing that it does not open, counting its own name's tags finds the end. All
+    other pages are walked with the stack of open elements, in which an end tag closes what it encloses.
+    """
 
     def is_start(token: Column) -> Column:
         opens = _opens(token, name)
@@ -154,16 +246,17 @@ def container(html: Column, name: str, class_part: str | None = None) -> Column:
             )
 
         steps = F.transform(rest, lambda token: _step(token, name))
-        taken = F.aggregate(steps, zero, walk, lambda state: state["taken"])
+        taken = F.aggregate(steps, zero, walk, lambda state: F.when(state["done"], state["taken"]))
         return F.array_join(F.slice(rest, F.lit(1), taken), "")
 
     def find(tokens: Column) -> Column:
         start = F.array_position(F.transform(tokens, is_start), True).cast("int")
-        return let(
-            start, lambda at: F.when(at > 0, let(F.slice(tokens, at, F.size(tokens)), cut))
-        )
+        # Null: no such element. Empty: one that is to be walked for.
+        closed = lambda at: let(F.slice(tokens, at, F.size(tokens)), cut)
+        sound = lambda found: F.when(found.isNotNull() & ~_has_stray_end(found), found).otherwise("")
+        return let(start, lambda at: F.when(at > 0, let(closed(at), sound)))
 
-    found = let(_tokens(html, name), find)
+    found = let(let(_tokens(html, name), find), lambda f: F.when(f == "", _walked_container(html, is_start)).otherwise(f))
     return found if class_part is None else F.when(F.contains(html, F.lit(class_part)), found)
 
 
@@ -243,7 +336,7 @@ def anchors(html: Column) -> Column:
     return F.transform(
         elements(html, "a"),
         lambda a: F.struct(
-            decode_entities(_raw_attribute(a, "href")).alias("href"),
+            decode_entities(_raw_attribute(a, "href"), attribute=True).alias("href"),
             collapse_whitespace(text_content(a)).alias("title"),
         ),
     )

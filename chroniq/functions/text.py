@@ -22,6 +22,32 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def keep_by_walk(
+    items: Column, start: dict[str, Column], step: Callable[[Column, Column], Column], run: int = 512
+) -> Column:
+    """The items that a walk with a state keeps, in their order.
+
+    ``step(state, item)`` gives ``STRUCT<at, kept>``: the next state, and whether the item is kept. The walk leaves one letter per item, and the items
+    are filtered by these letters at the end. Letters are gathered in short runs, so that a long list adds no more than its share.
+    """
+    zero = F.struct(F.struct(*[v.alias(k) for k, v in start.items()]).alias("at"), F.lit("").alias("run"), F.lit("").alias("marks"))
+
+    def walk(state: Column, item: Column) -> Column:
+        return let(step(state["at"], item), lambda moved: noted(state, moved))
+
+    def noted(state: Column, moved: Column) -> Column:
+        letters = F.concat(state["run"], F.when(moved["kept"], "1").otherwise("0"))
+        full = F.octet_length(state["run"]) >= run
+        return F.struct(
+            moved["at"].alias("at"),
+            F.when(full, F.substring(letters, run + 1, 1)).otherwise(letters).alias("run"),
+            F.when(full, F.concat(state["marks"], state["run"])).otherwise(state["marks"]).alias("marks"),
+        )
+
+    marks = F.aggregate(items, zero, walk, lambda state: F.concat(state["marks"], state["run"]))
+    return let(F.split(marks, ""), lambda kept: F.filter(items, lambda _, i: F.get(kept, i) == "1"))
+
+
 def captures(text: Column, pattern: str, groups: int) -> Column:
     """The groups of an anchored pattern as an array, by one run of the regex; null if it fails."""
     marked = F.regexp_replace(text, pattern, "".join(f"{_MARK}${g}" for g in range(1, groups + 1)))

@@ -297,6 +297,12 @@ def nested_article_text(spark, sf_dir):
     )
 
 
+@query
+def soup_article_text(spark, sf_dir):
+    body = html.container_text(F.col("html"), "div", K.ARTICLE_CLASS)
+    return D.soup_pages(spark, sf_dir).select("url", body.alias("article_text"))
+
+
 @query
 def newest_articles(spark, sf_dir):
     pages = article_texts(D.article_pages(spark, sf_dir), D.items(spark, sf_dir).select("link"))
@@ -403,6 +409,16 @@ def rss_items(spark, sf_dir):
     return feed_source.feed_items(feed_source.parse_feeds(D.feeds(spark, sf_dir)))
 
 
+@query
+def rss_first_children(spark, sf_dir):
+    return feed_source.feed_items(feed_source.parse_feeds(D.odd_feeds(spark, sf_dir)))
+
+
+@query
+def rss_odd_status(spark, sf_dir):
+    return feed_source.parse_feeds(D.odd_feeds(spark, sf_dir)).select("lang", "latest", "error_context")
+
+
 @query
 def listing_items(spark, sf_dir):
     return listing_source.listing_items(listing_source.parse_listings(D.listings(spark, sf_dir), D.SITE))

@@ -205,6 +205,8 @@ FROM speeches""",
   CASE WHEN {D.NO_ARTICLE_SQL} THEN NULL WHEN seen = 0 THEN 'oldinner tail'
     ELSE {ARTICLE} END AS article_text
 FROM lines, (VALUES (0::BIGINT), (1::BIGINT)) v(seen) WHERE NOT ({D.NOT_CRAWLED_SQL}) AND (seen = 1 OR {D.CRAWLED_TWICE_SQL})""",
+    "soup_article_text": f"""WITH {LINES} SELECT 'https://{D.SITE}/soup/' || doc_id || '/' || i AS url,
+  {_collapse("line || CASE i % 3 WHEN 0 THEN ' inner' WHEN 1 THEN ' two' ELSE ' © 2020 ¬it; &a</div>b' END")} AS article_text FROM lines""",
     "newest_articles": f"""WITH {LINES} SELECT link AS url, {ARTICLE} AS article_text FROM items
 WHERE link <> '' AND NOT ({D.NOT_CRAWLED_SQL})""",
     "listing_links": rf"""WITH found AS (
@@ -240,6 +242,10 @@ FROM documents""",
     "feed_status": f"WITH {FEEDS} SELECT lang, latest, error_context FROM verdicts",
     "rss_items": f"""WITH {FEEDS} SELECT lang, i AS pos, date, link, {_strip("line")} AS topic FROM items
 JOIN verdicts v USING (doc_id, lang) WHERE error_context IS NULL AND NOT no_date AND NOT no_link""",
+    "rss_first_children": f"""WITH {LINES} SELECT lang, i AS pos, base - i * 3600 AS date, 'https://{D.SITE}/doc/' || doc_id || '/' || i AS link,
+  CASE WHEN doc_id % 5 = 4 THEN '' ELSE {_strip("line")} END AS topic FROM lines WHERE doc_id % 5 <> 2""",
+    "rss_odd_status": f"""WITH {LINES} SELECT lang, CASE WHEN doc_id % 5 <> 2 THEN base END AS latest,
+  CASE WHEN doc_id % 5 = 2 THEN 'rss_parse_error' END AS error_context FROM lines WHERE i = 0""",
     "listing_items": f"""WITH {FEEDS} SELECT lang, page::INT AS page, idx::INT AS idx, date, link, {_collapse("line")} AS topic
 FROM listed""",
     "page_stops": f"WITH {FEEDS} SELECT lang, stop_page::INT AS stop_page FROM stops",

@@ -156,6 +156,44 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("lang", F.when(source == "src0", 500).otherwise(200).alias("status"), body.alias("body"))
 
 
+def odd_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lang, status, body``: a feed per document, odd in one of five ways: repeated children, markup in titles, a second root
+    element, names in upper case beside the right ones, and empty first titles."""
+
+    def item(line: Column, i: Column) -> Column:
+        title, link = escape(line), F.concat(F.lit(f"https://{SITE}/doc/"), F.col("doc_id"), F.lit("/"), i)
+        plain = F.concat(F.lit("<title>"), title, F.lit("</title><link>"), link, F.lit("</link>"))
+        kind = F.col("doc_id") % 5
+        fields = (
+            F.when(kind == 0, F.concat(plain, F.lit("<title>second</title><link>second</link>")))
+            .when(kind == 1, F.concat(F.lit("<title>"), title, F.lit(" <b>bold</b> tail</title><link>"), link, F.lit("<i/></link>")))
+            .when(kind == 3, F.concat(F.lit("<TITLE>upper</TITLE><Link>upper</Link>"), plain))
+            .when(kind == 4, F.concat(F.lit("<title/>"), plain))
+            .otherwise(plain)
+        )
+        date = rfc_text(F.col("base") - i * HOUR)
+        own = F.concat(F.lit("<item>"), fields, F.lit("<pubDate>"), date, F.lit("</pubDate></item>"))
+        return F.when(kind == 3, F.concat(F.lit("<ITEM><title>upper</title></ITEM>"), own)).otherwise(own)
+
+    items = F.array_join(F.transform("lines", item), "")
+    behind = F.when(F.col("doc_id") % 5 == 2, "<rss><channel></channel></rss>").otherwise("<!-- end -->")
+    body = F.concat(F.lit("<rss><channel>"), items, F.lit("</channel></rss>"), behind)
+    return _feed_rows(spark, sf_dir).select("lang", F.lit(200).alias("status"), body.alias("body"))
+
+
+def soup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``url, html``: pages of the lines whose article is closed by an element around it, holds void and unclosed elements, or is
+    never closed, and that have character references without ``;``."""
+    text, kind = escape(F.col("line")), F.col("i") % 3
+    body = (
+        F.when(kind == 0, F.concat(F.lit('<section><div class="article_content">'), text, F.lit("<div> inner</section><p>after</p><div>more</div>")))
+        .when(kind == 1, F.concat(F.lit('<ul><li><div class="a article_content"><p>'), text, F.lit("<br><img src='x'><p> two</i></div>behind<li>next</ul>after")))
+        .otherwise(F.concat(F.lit('<article><span><div class="article_content"><b>'), text, F.lit(" &copy 2020 &notit; &amp<script>a</div>b</script></article></div>after")))
+    )
+    url = F.concat(F.lit(f"https://{SITE}/soup/"), F.col("doc_id"), F.lit("/"), F.col("i"))
+    return lines(spark, sf_dir).select(url.alias("url"), F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("html"))
+
+
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lang, feed_url, listing_url``; one source has a listing in place of a feed."""
     listing = F.concat(F.lit(f"https://{SITE}/list/"), F.col("doc_id"))

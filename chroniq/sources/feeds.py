@@ -6,14 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chroniq.functions.dates import parse_rfc_date
-from chroniq.functions.text import let, strip
+from chroniq.functions.text import keep_by_walk, let, strip
 from chroniq.schemas import FEEDS
 
-# `_corrupt_record` must come last, and `channel` is an array so that the first one can be taken.
-_ITEM = "struct<title: string, link: string, pubDate: string>"
+# Every child is kept, so that the first can be taken. `_corrupt_record` must come last.
+_ITEM = "struct<title: array<string>, link: array<string>, pubDate: array<string>>"
 _DOCUMENT = f"channel array<struct<item: array<{_ITEM}>>>, _corrupt_record string"
 _OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 
+_FIELDS = ["title", "link", "pubDate"]
+_NAMES = "|".join(["channel", "item", *_FIELDS])
+_CDATA = r"<!\[CDATA\[(?:[^\]]++|\](?!\]>))*+\]\]>"
+_ASIDE = r"<!--.*?-->|<\?.*?\?>"
+_TAG = r"""</?[A-Za-z_:](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+#: Names in another case, and fields with more in them than text: the parser reads these otherwise than they are meant.
+_OTHER_CASE = rf"</?(?i:{_NAMES})(?=[\s/>])(?<![</](?:{_NAMES}))"
+_MIXED = rf"<(?:{'|'.join(_FIELDS)})(?:\s[^>]*+)?(?<!/)>(?:[^<]++|{_CDATA})*+<(?!/)"
+_ODD = rf"(?s){_OTHER_CASE}|{_MIXED}"
+_PROLOG = rf"\A(?:\s++|{_ASIDE}|<!DOCTYPE(?:[^\[>]*+(?:\[.*?\]\s*+)?)>)*+"
+
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEEDS).parquet(path)
@@ -26,6 +37,50 @@ def _parse(body: Column) -> Column:
     return F.from_xml(body, _DOCUMENT, _OPTIONS)
 
 
+def _own_texts(body: Column) -> Column:
+    """The document with names of other case renamed, and fields cut down to the text before their first child."""
+    tokens = F.regexp_extract_all(body, F.lit(rf"(?s){_CDATA}|{_ASIDE}|{_TAG}|[^<]++|<"), F.lit(0))
+    renamed = F.transform(tokens, lambda t: F.regexp_replace(t, rf"\A(</?)(?=(?i:{_NAMES})[\s/>])(?!(?:{_NAMES})[\s/>])", "$1other-"))
+
+    def step(state: Column, token: Column) -> Column:
+        ends = F.startswith(token, F.lit("</"))
+        starts = F.rlike(token, F.lit(r"\A<[A-Za-z_:]"))
+        alone = starts & F.endswith(token, F.lit("/>"))
+        text = ~ends & ~starts & ~F.rlike(token, F.lit(r"\A<[!?](?!\[CDATA)"))
+        opens_field = starts & ~alone & F.rlike(token, F.lit(rf"\A<(?:{'|'.join(_FIELDS)})[\s/>]"))
+        # 0 outside of fields, else the number of open elements from the field on.
+        inside = state["inside"]
+        after = (
+            F.when(inside == 0, F.when(opens_field, 1).otherwise(0))
+            .when(ends, inside - 1)
+            .when(starts & ~alone, inside + 1)
+            .otherwise(inside)
+        )
+        child = F.when(inside == 0, False).otherwise(state["child"] | starts)
+        kept = (inside == 0) | (ends & (inside == 1)) | ((inside == 1) & text & ~state["child"])
+        return F.struct(F.struct(after.alias("inside"), child.alias("child")).alias("at"), kept.alias("kept"))
+
+    return F.array_join(keep_by_walk(renamed, {"inside": F.lit(0), "child": F.lit(False)}, step), "")
+
+
+def _is_odd(body: Column) -> Column:
+    return F.coalesce(F.rlike(body, F.lit(_ODD)), F.lit(False))
+
+
+def _has_one_root(body: Column) -> Column:
+    """Whether the last end tag is that of the first element, with nothing but comments behind it.
+
+    Together with :func:`_named_apart` this tells a second root element, which the parser overlooks.
+    """
+    around = rf"(?s){_PROLOG}<([^\s/>!?]++)(?:(?=[\s>]).*</\1\s*+>|(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>)(?:\s++|{_ASIDE})*+\z"
+    return F.coalesce(F.rlike(body, F.lit(around)), F.lit(False))
+
+
+def _named_apart(body: Column) -> Column:
+    """The first start tag and the last end tag under a name of their own, which fit only if they are one element's."""
+    return F.regexp_replace(body, rf"(?s)({_PROLOG})<([^\s/>!?]++)(?=[\s>])(.*)</\2\s*+>((?:\s++|{_ASIDE})*+)\z", "$1<root-$2$3</root-$2>$4")
+
+
 def _channels(body: Column, document: Column) -> Column:
     """The document's channels: direct children of the root, else the first at any depth."""
     nested = F.regexp_extract(body, r"(?s)(<channel(?=[\s/>]).*</channel\s*>)", 1)
@@ -35,15 +90,19 @@ def _channels(body: Column, document: Column) -> Column:
     return F.coalesce(document["channel"], F.when((nested != "") & ~root_is_channel, deep))
 
 
+def _first(values: Column) -> Column:
+    return F.get(values, F.lit(0))
+
+
 def _read_items(raw: Column, tz: str) -> Column:
     """Items with their place in the feed."""
     return F.transform(
         raw,
         lambda item, pos: F.struct(
             pos.cast("bigint").alias("pos"),
-            parse_rfc_date(item["pubDate"], tz).alias("date"),
-            item["link"].alias("link"),
-            strip(F.coalesce(item["title"], F.lit(""))).alias("topic"),
+            parse_rfc_date(_first(item["pubDate"]), tz).alias("date"),
+            _first(item["link"]).alias("link"),
+            strip(F.coalesce(_first(item["title"]), F.lit(""))).alias("topic"),
         ),
     )
 
@@ -57,15 +116,19 @@ def parse_feeds(feeds: DataFrame, tz: str = "UTC") -> DataFrame:
 
     A feed is usable if ``error_context`` is null: status 200, well-formed, with a channel, with
     items, and with a readable date in the first item. Otherwise ``items`` is empty. ``latest``
-    is the first item's date before items are left out.
+    is the first item's date before items are left out. Names count in their own case; of several ``title``, ``link`` or ``pubDate``
+    of an item the first counts, with the text before its first child element.
     """
     body = F.col("body")
 
-    def judge(document: Column) -> Column:
-        # Text after the root element is no XML document; the parser would overlook it.
-        closed = F.endswith(F.rtrim(F.regexp_replace(F.right(body, F.lit(64)), r"\s", " ")), F.lit(">"))
-        well_formed = F.coalesce(document["_corrupt_record"].isNull() & closed, F.lit(False))
-        channel = F.when(well_formed, F.get(_channels(body, document), F.lit(0)))
+    def judge(plain: Column, document: Column) -> Column:
+        sound = document["_corrupt_record"].isNull() & _has_one_root(body)
+        # What was cut out has to be well-formed too.
+        sound = sound & F.when(_is_odd(body), _parse(_named_apart(body))["_corrupt_record"].isNull()).otherwise(True)
+        well_formed = F.coalesce(sound, F.lit(False))
+        # Elements in a namespace of their own have other names.
+        channels = F.when(~F.rlike(body, F.lit(rf"(?s){_PROLOG}<[^>]*\sxmlns\s*=")), _channels(plain, document))
+        channel = F.when(well_formed, F.get(channels, F.lit(0)))
         return let(F.struct(well_formed.alias("well_formed"), channel.alias("channel")), read)
 
     def read(found: Column) -> Column:
@@ -85,7 +148,9 @@ def parse_feeds(feeds: DataFrame, tz: str = "UTC") -> DataFrame:
         return F.struct(kept.alias("items"), first_date.alias("latest"), error.alias("error_context"))
 
     # One expression, so that the optimizer has no intermediate column to copy the parse into.
-    parsed = feeds.withColumn("__feed", let(_parse(body), judge))
+    plain = F.when(_is_odd(body), _own_texts(body)).otherwise(body)
+    found = let(plain, lambda p: let(_parse(_named_apart(p)), lambda document: judge(p, document)))
+    parsed = feeds.withColumn("__feed", found)
     fields = [F.col(f"__feed.{name}") for name in ("items", "latest", "error_context")]
     return parsed.select(*feeds.columns, *fields)
 
