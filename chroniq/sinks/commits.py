@@ -1,20 +1,30 @@
 """The commit log of a corpus: one entry per finished change of rows or marks.
 
-The engine gives out the numbers. What a run writes lies in folders of the next number, which nobody reads until the entry
-exists; so rows and marks become visible together, and an attempt that ended early is overwritten by the next run. The
+The engine gives out the numbers. What an attempt writes lies in folders of its own name below the next number. The entry names them,
+and readers take the folders from the entries; so rows and marks become visible together, no attempt touches what another
+wrote, and what an attempt left that ended early is never read. Of two that want one number the first to claim it writes the entry. The
 outside's own numbers (a stream's id and its batch) are only noted, to refuse a batch that was committed before.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chroniq.schemas import COMMITS
 from chroniq.sources.corpus import path_exists
 
+CLAIM_SECONDS = 600  # after which a claim without an entry counts as that of an attempt that ended
+
+
+class ConcurrentCommit(Exception):
+    """Another writer committed, or is committing, under this number. Nothing of either is lost: run again."""
+
 
 class BatchCommitted(Exception):
     """The source's batch, or a later one, was committed before."""
@@ -28,6 +38,11 @@ class Commit:
     max_ord: int = -1
 
 
+def attempt_name(seq: int) -> str:
+    """A folder that no other attempt has."""
+    return f"commit={seq}/attempt={uuid.uuid4().hex}"
+
+
 def log(spark: SparkSession, root: str) -> DataFrame:
     """All entries. Reading it costs one small file per run, whatever the size of the corpus."""
     path = f"{root}/commits"
@@ -49,11 +64,47 @@ def check_new(spark: SparkSession, root: str, source: str, source_batch: int | N
         raise BatchCommitted(f"batch {source_batch} of {source}: batch {last} is committed")
 
 
+def folders(spark: SparkSession, root: str, column: str, condition: str = "true") -> list[str]:
+    """Folders named in the ``folder`` or ``marks`` column of the entries, oldest first."""
+    rows = log(spark, root).where(f"{column} IS NOT NULL AND {condition}").select("seq", column)
+    return [r[1] for r in sorted(rows.collect())]
+
+
+def _claim(spark: SparkSession, root: str, seq: int) -> None:
+    """Take a number: a file that only one writer can create."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/commits/_claims/{seq}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for again in (True, False):
+        try:
+            files.create(path, False).close()
+            return
+        except Py4JJavaError as error:
+            if not files.exists(path):
+                raise
+            old = time.time() - files.getFileStatus(path).getModificationTime() / 1000 > CLAIM_SECONDS
+            if not (again and old) or path_exists(spark, f"{root}/commits/seq={seq}"):
+                raise ConcurrentCommit(f"commit {seq} of {root} is another writer's") from error
+            files.delete(path, False)
+
+
 def commit(
-    spark: SparkSession, root: str, kind: str, entry: Commit, rows: int, source: str = "batch", source_batch: int | None = None
+    spark: SparkSession,
+    root: str,
+    kind: str,
+    entry: Commit,
+    rows: int,
+    source: str = "batch",
+    source_batch: int | None = None,
+    folder: str | None = None,
+    marks: str | None = None,
 ) -> None:
-    """Write the entry. A number that exists already means another writer was faster: nothing is overwritten."""
-    values = [(source, source_batch, kind, entry.version, rows, entry.total_rows, entry.max_ord)]
-    columns = "source string, source_batch bigint, kind string, version bigint, rows bigint, total_rows bigint, max_ord bigint"
+    """Write the entry. Where another writer was faster, nothing is written."""
+    if path_exists(spark, f"{root}/commits/seq={entry.seq}"):
+        raise ConcurrentCommit(f"commit {entry.seq} of {root} is there")
+    _claim(spark, root, entry.seq)
+    values = [(source, source_batch, kind, entry.version, rows, entry.total_rows, entry.max_ord, folder, marks)]
+    columns = (
+        "source string, source_batch bigint, kind string, version bigint, rows bigint, total_rows bigint, max_ord bigint, folder string, marks string"
+    )
     one = spark.createDataFrame(values, columns).withColumn("at", F.current_timestamp())
     one.coalesce(1).write.mode("error").parquet(f"{root}/commits/seq={entry.seq}")

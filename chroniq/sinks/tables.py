@@ -1,21 +1,22 @@
 """The published corpus: appended to by runs, rewritten as a new version, partitioned by language.
 
-``<root>/data/version=V/commit=N/lang=L`` holds rows and ``<root>/commits`` the log that makes them visible. A path that is being
-read is never overwritten. Null and empty language codes are read back as null.
+``<root>/data/version=V/commit=N/attempt=A/lang=L`` holds rows and ``<root>/commits`` the log that makes them visible. Every attempt
+writes into a folder of its own, so nothing that was committed or is being read is overwritten. Null and empty language codes are read back as null.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chroniq.schemas import CORPUS, QUARANTINE
 from chroniq.session import remove_path
-from chroniq.sinks.commits import Commit, check_new, commit, last_commit
+from chroniq.sinks.commits import Commit, ConcurrentCommit, attempt_name, check_new, commit, folders, last_commit
 from chroniq.sources.corpus import empty_corpus
 from chroniq.sources.state import marks_to_commit, write_marks
 
@@ -39,38 +40,53 @@ def published(spark: SparkSession, root: str) -> DataFrame:
     last = last_commit(spark, root)
     if last.total_rows == 0:
         return empty_corpus(spark)
-    rows = spark.read.schema(T.StructType([*CORPUS.fields, T.StructField("commit", T.LongType())]))
-    return rows.parquet(version_path(root, last.version)).where(F.col("commit") <= last.seq).select(*CORPUS.names)
+    base = version_path(root, last.version)
+    paths = [f"{base}/{folder}" for folder in folders(spark, root, "folder", f"version = {last.version} AND seq <= {last.seq}")]
+    return spark.read.schema(CORPUS).option("basePath", base).parquet(*paths).select(*CORPUS.names)
 
 
 def _write(rows: DataFrame, path: str) -> DataFrame:
     """Write rows by language and give back what was written, without the texts."""
-    rows.select(*CORPUS.names).write.mode("overwrite").partitionBy("lang").parquet(path)
+    rows.select(*CORPUS.names).write.mode("error").partitionBy("lang").parquet(path)
     return rows.sparkSession.read.schema("ord bigint").parquet(path)
 
 
+@contextmanager
+def _cleared(spark: SparkSession, *paths: str) -> Iterator[None]:
+    """Remove an attempt's folders if another writer was faster."""
+    try:
+        yield
+    except ConcurrentCommit:
+        for path in paths:
+            remove_path(spark, path)
+        raise
+
+
 def append_rows(
     rows: DataFrame, root: str, source: str = "batch", source_batch: int | None = None, marks: DataFrame | None = None
 ) -> AppendReport:
     """Add rows, and with them ``marks``, as one commit; no duplicates are looked for.
 
     Nothing is committed for zero rows. With a ``source_batch`` the batch is refused if the source's batch of that number, or a
-    later one, was committed; without one every call is a run of its own. Old counts come from the log.
+    later one, was committed; without one every call is a run of its own. Old counts come from the log. Where another writer commits
+    meanwhile, :class:`ConcurrentCommit` is raised, and nothing of this attempt stays.
     """
     spark = rows.sparkSession
     check_new(spark, root, source, source_batch)
     last = last_commit(spark, root)
     seq = last.seq + 1
-    path = f"{version_path(root, last.version)}/commit={seq}"
+    attempt = attempt_name(seq)
+    path = f"{version_path(root, last.version)}/{attempt}"
     written = _write(rows, path)
     found = written.agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
     if found.n == 0:
         remove_path(spark, path)
         return AppendReport(last.total_rows, last.total_rows)
     if marks is not None:
-        write_marks(marks_to_commit(written, marks), root, seq)
+        write_marks(marks_to_commit(written, marks), root, attempt)
     entry = Commit(seq, last.version, last.total_rows + found.n, max(last.max_ord, found.top))
-    commit(spark, root, "append", entry, found.n, source, source_batch)
+    with _cleared(spark, path, f"{root}/marks/{attempt}"):
+        commit(spark, root, "append", entry, found.n, source, source_batch, attempt, attempt if marks is not None else None)
     return AppendReport(last.total_rows, entry.total_rows)
 
 
@@ -87,8 +103,11 @@ def publish(rows: DataFrame, root: str, files_per_language: int | None = None) -
     if files_per_language:
         part = F.pmod(F.xxhash64("ord"), F.lit(files_per_language))
         out = out.withColumn("__part", part).repartition("lang", "__part").drop("__part")
-    found = _write(out, f"{version_path(root, version)}/commit={seq}").agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
-    commit(spark, root, "rewrite", Commit(seq, version, found.n, max(last.max_ord, found.top or -1)), found.n)
+    attempt = attempt_name(seq)
+    path = f"{version_path(root, version)}/{attempt}"
+    found = _write(out, path).agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
+    with _cleared(spark, path):
+        commit(spark, root, "rewrite", Commit(seq, version, found.n, max(last.max_ord, found.top or -1)), found.n, folder=attempt)
     return version
 
 
@@ -97,8 +116,10 @@ def seed_marks(spark: SparkSession, root: str, marks: dict[str, int] | DataFrame
     last = last_commit(spark, root)
     if isinstance(marks, dict):
         marks = spark.createDataFrame(list(marks.items()), "lang STRING, high_water BIGINT")
-    write_marks(marks.withColumnRenamed("high_water", "latest"), root, last.seq + 1)
-    commit(spark, root, "seed", replace(last, seq=last.seq + 1), 0)
+    attempt = attempt_name(last.seq + 1)
+    write_marks(marks.withColumnRenamed("high_water", "latest"), root, attempt)
+    with _cleared(spark, f"{root}/marks/{attempt}"):
+        commit(spark, root, "seed", replace(last, seq=last.seq + 1), 0, marks=attempt)
 
 
 def write_quarantine(rejects: DataFrame, path: str, run: str) -> None:

@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chroniq.schemas import INGEST_STATE
-from chroniq.sinks.commits import last_commit
-from chroniq.sources.corpus import path_exists
+from chroniq.sinks.commits import folders
 
 
 def read_marks(spark: SparkSession, root: str) -> DataFrame:
     """Current marks of a corpus."""
-    path = f"{root}/marks"
-    if not path_exists(spark, path):
+    paths = [f"{root}/marks/{folder}" for folder in folders(spark, root, "marks")]
+    if not paths:
         return spark.createDataFrame([], INGEST_STATE)
-    log = spark.read.schema("lang STRING, high_water BIGINT, commit BIGINT").parquet(path)
-    log = log.where(F.col("commit") <= last_commit(spark, root).seq)
+    log = spark.read.schema("lang STRING, high_water BIGINT, commit BIGINT").option("basePath", f"{root}/marks").parquet(*paths)
     return log.groupBy("lang").agg(F.max_by("high_water", "commit").alias("high_water"))
 
 
@@ -26,6 +24,6 @@ def marks_to_commit(new_rows: DataFrame, processed: DataFrame) -> DataFrame:
     return processed.where(any_new)
 
 
-def write_marks(marks: DataFrame, root: str, seq: int) -> None:
-    """Write marks under a commit's number; they hold once the commit is in the log."""
-    marks.select("lang", F.col("latest").alias("high_water")).write.mode("overwrite").parquet(f"{root}/marks/commit={seq}")
+def write_marks(marks: DataFrame, root: str, attempt: str) -> None:
+    """Write marks into an attempt's folder; they hold once a commit names it."""
+    marks.select("lang", F.col("latest").alias("high_water")).write.mode("error").parquet(f"{root}/marks/{attempt}")

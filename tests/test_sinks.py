@@ -12,9 +12,10 @@ from chroniq.operators import trend
 from chroniq.plans import maintenance
 from chroniq.schemas import CORPUS, PAGES
 from chroniq.session import shared_dir, stage, work_folder
-from chroniq.sinks import exports, tables
-from chroniq.sinks.commits import BatchCommitted
+from chroniq.sinks import commits, exports, tables
+from chroniq.sinks.commits import BatchCommitted, ConcurrentCommit, last_commit
 from chroniq.sources.corpus import path_exists, read_jsonl
+from chroniq.sources.state import read_marks
 from chroniq.streaming.ingest_stream import dedup_stream
 
 
@@ -74,6 +75,43 @@ def test_append_and_publish(spark, rows, tmp_path):
     assert tables.append_rows(rows, root, "t", 1) == tables.AppendReport(8, 12)
 
 
+@pytest.mark.parametrize("change", ["append", "publish", "seed"])
+def test_a_slower_writer_loses_nothing_of_the_faster(spark, rows, tmp_path, monkeypatch, change):
+    """One writer commits between another's look at the log and its commit."""
+    root = str(tmp_path / "corpus")
+    tables.append_rows(rows.limit(1), root)
+    write, marks = tables.commit, spark.createDataFrame([("en", 7)], "lang string, latest bigint")
+
+    def late(*args, **kwargs):
+        monkeypatch.setattr(tables, "commit", write)
+        assert tables.append_rows(rows, root, marks=marks) == tables.AppendReport(1, 5)
+        return write(*args, **kwargs)
+
+    monkeypatch.setattr(tables, "commit", late)
+    slower = {
+        "append": lambda: tables.append_rows(rows.limit(2), root, marks=marks.withColumn("latest", F.lit(9))),
+        "publish": lambda: tables.publish(rows.limit(2), root),
+        "seed": lambda: tables.seed_marks(spark, root, {"en": 9}),
+    }[change]
+    with pytest.raises(ConcurrentCommit):
+        slower()
+    assert tables.published(spark, root).count() == last_commit(spark, root).total_rows == 5
+    assert [tuple(r) for r in read_marks(spark, root).collect()] == [("en", 7)]
+    slower()  # run again, it commits
+    assert tables.published(spark, root).count() == last_commit(spark, root).total_rows == {"append": 7, "publish": 2, "seed": 5}[change]
+
+
+def test_a_claim_without_an_entry(spark, rows, tmp_path, monkeypatch):
+    """Of a writer that is at work the claim stands; that of one that ended is taken over."""
+    root = str(tmp_path / "corpus")
+    commits._claim(spark, root, 0)
+    with pytest.raises(ConcurrentCommit):
+        tables.append_rows(rows, root)
+    assert not path_exists(spark, f"{root}/data/version=0")
+    monkeypatch.setattr(commits, "CLAIM_SECONDS", -1)
+    assert tables.append_rows(rows, root) == tables.AppendReport(0, 4)
+
+
 def test_cleanup_and_patch(spark, rows, tmp_path):
     root = str(tmp_path / "corpus")
     tables.append_rows(rows, root)
