@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -94,11 +95,12 @@ def possible_pairs(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return np.array(sorted(pairs), np.int64)
 
 
-def common_ends(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
-    """For each end that both lists have, in order, how many tokens of each list lie up to it."""
+def common_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """For each end that both lists have, in order, how many tokens of either list lie up to it."""
     index_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
     index_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
-    return [(index_a[e], index_b[e]) for e in sorted(index_a.keys() & index_b.keys())]
+    common = sorted(index_a.keys() & index_b.keys())
+    return list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
 
 
 class Aligner:
@@ -107,22 +109,17 @@ class Aligner:
         self.sizes_a, self.sizes_b = ([len(p) for p in t.pieces] for t in (self.a, self.b))
         self.digits = [str(i) for i in range(max(len(self.sizes_a), len(self.sizes_b)))]
 
-    def groups(self, text: str, ids_a: list[int], ids_b: list[int]) -> list[tuple[int, int]] | None:
+    def groups(self, text: str, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int]] | None:
         """The cuts of :func:`common_ends`; None where the tokens' joined bytes are not the text's."""
         raw = text.encode()
-        pieces_a, pieces_b = self.a.pieces, self.b.pieces
-        if b"".join([pieces_a[i] for i in ids_a]) != raw or b"".join([pieces_b[i] for i in ids_b]) != raw:
+        if any(b"".join(map(t.pieces.__getitem__, ids)) != raw for t, ids in ((self.a, ids_a), (self.b, ids_b))):
             return None
-        ends = []
-        for ids, sizes in ((ids_a, self.sizes_a), (ids_b, self.sizes_b)):
-            ends.append(np.cumsum([sizes[i] for i in ids]).tolist())
-        return common_ends(*ends)
-
-    def digest(self, ids_a: list[int], ids_b: list[int], cuts: list[tuple[int, int]]) -> str:
-        digits = self.digits
-        a, b = [digits[i] for i in ids_a], [digits[i] for i in ids_b]
+        return common_ends(*(list(accumulate(map(sizes.__getitem__, ids))) for ids, sizes in ((ids_a, self.sizes_a), (ids_b, self.sizes_b))))
+
+    def digest(self, ids_a: list[int], ids_b: list[int], cuts: tuple[list[int], list[int]]) -> str:
+        a, b = list(map(self.digits.__getitem__, ids_a)), list(map(self.digits.__getitem__, ids_b))
         out, i, j = [], 0, 0
-        for x, y in cuts:
+        for x, y in zip(*cuts, strict=True):
             # Most groups are one token to one.
             out.append(f"{a[i]}|{b[j]}" if x - i == 1 and y - j == 1 else f"{','.join(a[i:x])}|{','.join(b[j:y])}")
             i, j = x, y
@@ -153,11 +150,11 @@ def _encode(path_a: str, path_b: str, id_type: pa.DataType, possible):
                     if cuts is None:
                         out.append((0, i, 0, 0, 0, "", b""))
                         continue
-                    ends = np.array(cuts, np.int64) - 1
-                    linked = (np.array(ids_a, np.int64)[ends[:, 0]] << 32) | np.array(ids_b, np.int64)[ends[:, 1]]
+                    last_a, last_b = (np.array(c, np.int64) - 1 for c in cuts)
+                    linked = (np.array(ids_a, np.int64)[last_a] << 32) | np.array(ids_b, np.int64)[last_b]
                     numbers = np.searchsorted(pairs, linked).astype("<u4")
                     np.add.at(counts, numbers, 1)
-                    out.append((0, i, len(ids_a), len(ids_b), len(cuts), aligner.digest(ids_a, ids_b, cuts), numbers.tobytes()))
+                    out.append((0, i, len(ids_a), len(ids_b), len(numbers), aligner.digest(ids_a, ids_b, cuts), numbers.tobytes()))
                 yield batch_of(out)
         if counts.any():
             seen = np.flatnonzero(counts)
@@ -267,9 +264,9 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc
         for batch in batches:
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids_a, ids_b = aligner.a([" " + text])[0], aligner.b([text])[0]
-                cuts = (aligner.groups(" " + text, ids_a, ids_b) if text else None) or []
+                cuts = (aligner.groups(" " + text, ids_a, ids_b) if text else None) or ([], [])
                 out, i, j, start = [], 0, 0, 0
-                for n, (x, y) in enumerate(cuts):
+                for n, (x, y) in enumerate(zip(*cuts, strict=True)):
                     end = start + sum(aligner.sizes_a[k] for k in ids_a[i:x])
                     out.append((doc, n, start, end, ids_a[i:x], ids_b[j:y]))
                     i, j, start = x, y, end
