@@ -6,8 +6,9 @@ pivots, a large cell is cut into slices, and each slice is built into an M-tree
 node's routing objects or rows, with the covering radius of each child and the distance of each to the node's own object.
 
 A query first goes to the tree with the nearest root, which gives it a bound, and then to those trees whose covering ball reaches
-within that bound. Inside a tree, nodes are opened in the order of their least possible distance; stored distances to the
-parent's object rule out entries by the triangle inequality before their distance is computed. Distances only
+within that bound. Inside a tree, a block of queries goes from node to node together, in the order of the least possible distance of any of them;
+each query has its own bound and takes part in the nodes within it. Stored distances to the parent's object rule out entries
+by the triangle inequality, and for those that some query needs, the distances of a node are one matrix product. Distances only
 bound: every returned score is an integer inner product, computed exactly.
 """
 
@@ -30,6 +31,10 @@ CELL_ROWS = 2048  # rows for which there is a cell, until there are as many cell
 TREE_ROWS = 4096  # rows of a tree
 PAGE = 64  # entries of a node
 ROOTS = 4096  # roots looked at in one pass
+BLOCK = 256  # queries that search a tree together
+PART_QUERIES = 16_384  # queries that a task gets for a tree
+EXACT = 2.0**53
+LONG = 2**63 - 1
 
 NODES = (
     "tree string, node int, leaf boolean, ids array<bigint>, children array<int>, radii array<double>, to_parent array<double>, "
@@ -37,7 +42,7 @@ NODES = (
 )
 
 
-def lifted(x: np.ndarray, m: int) -> np.ndarray:
+def lifted(x: np.ndarray, m: float) -> np.ndarray:
     """Integer vectors with the coordinate that makes inner products a metric."""
     squares = (x.astype(np.float64) ** 2).sum(1)
     return np.column_stack([x, np.sqrt(np.maximum(m - squares, 0))])
@@ -47,7 +52,7 @@ def distances(points: np.ndarray, one: np.ndarray) -> np.ndarray:
     return np.sqrt(((points - one) ** 2).sum(1))
 
 
-def build(tree: str, ids: np.ndarray, x: np.ndarray, m: int) -> list[tuple]:
+def build(tree: str, ids: np.ndarray, x: np.ndarray, m: float) -> list[tuple]:
     """Pages of a tree, node 0 the root's. A node is split around objects that are far from one another."""
     points = lifted(x, m)
     pages: list[tuple] = []
@@ -83,7 +88,7 @@ def build(tree: str, ids: np.ndarray, x: np.ndarray, m: int) -> list[tuple]:
     return pages
 
 
-def builder(m: int):
+def builder(m: float):
     """(tree, id, vector) sorted by tree to pages, and a root row (node -1) with the tree's centre and radius."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,87 +106,125 @@ def builder(m: int):
     return run
 
 
+def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Exact inner products of the rows of two matrices of whole numbers, held at the ends of 64 bits beyond them."""
+    if not x.size or not q.size or float(np.abs(x.astype(float)).max()) * float(np.abs(q.astype(float)).max()) * x.shape[1] < EXACT:
+        return (x.astype(float) @ q.T.astype(float)).astype(np.int64)
+    rows = [[sum(a * b for a, b in zip(r, c, strict=True)) for c in q.tolist()] for r in x.tolist()]
+    return np.array([[max(-LONG, min(LONG, v)) for v in r] for r in rows], np.int64).reshape(len(x), len(q))
+
+
 class Tree:
     """Pages of one tree, and the search in them."""
 
-    def __init__(self, rows: list[dict], m: int) -> None:
+    def __init__(self, rows: list[dict], m: float) -> None:
         self.m = m
         self.pages = {}
         for r in rows:
             x = np.frombuffer(r["vectors"], "<i8").reshape(r["size"], -1)
-            self.pages[r["node"]] = (r["leaf"], np.array(r["ids"], np.int64), r["children"], np.array(r["radii"]), np.array(r["to_parent"]), x, lifted(x, m))
+            points = lifted(x, m)
+            squares = (points * points).sum(1)
+            self.pages[r["node"]] = (r["leaf"], np.array(r["ids"], np.int64), r["children"], np.array(r["radii"]), np.array(r["to_parent"]), x, points, squares)
 
-    def search(self, own: int, q: np.ndarray, k: int, least: int | None) -> tuple[list[tuple[int, int]], int]:
-        """The best ``(score, -id)`` of the tree that may be among the ``k`` best of all, and the number of distances computed.
+    def search(self, own: np.ndarray, q: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(scores, identifiers, distances computed) of the best ``k`` rows for each query that may be among its ``k`` best of all.
 
-        ``least`` is a score that ``k`` rows reach already.
+        ``least`` are scores that ``k`` rows reach already, or less than any. Places that stay empty have the identifier of the largest number.
         """
-        point = np.append(q.astype(np.float64), 0.0)
-        whole = float((q.astype(np.float64) ** 2).sum()) + self.m
+        n = len(q)
+        point = np.column_stack([q.astype(float), np.zeros(n)])
+        lengths = (point * point).sum(1)
+        whole = lengths + self.m
         slack = 1e-7 * (1 + np.sqrt(whole))
-        best: list[tuple[int, int]] = []  # a heap, the worst on top
-        computed = 0
-
-        def bound() -> float:
-            floor = least
-            if len(best) == k:
-                floor = best[0][0] if floor is None else max(floor, best[0][0])
-            return np.inf if floor is None else float(np.sqrt(max(whole - 2.0 * floor, 0.0))) + slack
-
-        # (least possible distance, node, distance to the object that the node's distances are stored for)
-        centre = self.pages[-1][6][0]
-        start = float(np.sqrt(((point - centre) ** 2).sum()))
-        queue = [(max(0.0, start - self.pages[-1][3][0]), 0, start)]
+        scores, ids = np.full((n, k), -LONG - 1, np.int64), np.full((n, k), LONG, np.int64)
+        full, computed = np.zeros(n, bool), np.zeros(n, np.int64)
+
+        def limits(of: np.ndarray) -> np.ndarray:
+            floor = np.maximum(least[of], np.where(full[of], scores[of, -1], -np.inf))
+            reach = np.sqrt(np.maximum(whole[of] - 2.0 * np.maximum(floor, -1e300), 0)) + slack[of]
+            return np.where(np.isneginf(floor), np.inf, reach)
+
+        def distance(of: np.ndarray, points: np.ndarray, squares: np.ndarray) -> np.ndarray:
+            # Rounding of the sum of squares is far below what the slack allows.
+            return np.sqrt(np.maximum(lengths[of, None] + squares - 2 * point[of] @ points.T, 0))
+
+        everyone = np.arange(n)
+        start = distance(everyone, self.pages[-1][6], self.pages[-1][7])[:, 0]
+        # (least possible distance of any query, node, each query's least possible distance and distance to the node's object)
+        low = np.maximum(0, start - self.pages[-1][3][0])
+        queue = [(float(low.min()), 0, low, start)]
         while queue:
-            low, node, to_object = heapq.heappop(queue)
-            limit = bound()
-            if low > limit:
-                break
-            leaf, ids, children, radii, to_parent, x, points = self.pages[node]
-            gap = np.abs(to_object - to_parent)
-            near = np.flatnonzero(gap - (0 if leaf else radii) <= limit)
-            computed += len(near)
+            _, node, low, to_object = heapq.heappop(queue)
+            of = np.flatnonzero(low <= limits(everyone))
+            if not len(of):
+                continue
+            leaf, leaf_ids, children, radii, to_parent, x, points, squares = self.pages[node]
+            limit = limits(of)
+            needed = np.abs(to_object[of, None] - to_parent) - (0 if leaf else radii) <= limit[:, None]
+            computed[of] += needed.sum(1)
+            near = np.flatnonzero(needed.any(0))
             if not len(near):
                 continue
+            needed = needed[:, near]
             if leaf:
-                scores = x[near] @ q
-                for s, i in zip(scores.tolist(), ids[near].tolist(), strict=True):
-                    if i == own or (least is not None and s < least):
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -i))
-                    elif (s, -i) > best[0]:
-                        heapq.heapreplace(best, (s, -i))
+                found = products(q[of], x[near])
+                fit = needed & (leaf_ids[near] != own[of, None]) & (found >= least[of, None]) & (~full[of, None] | (found >= scores[of, -1:]))
+                some = np.flatnonzero(fit.any(1))
+                if not len(some):
+                    continue
+                at = of[some]
+                more = np.concatenate([scores[at], np.where(fit[some], found[some], -LONG - 1)], 1)
+                names = np.concatenate([ids[at], np.where(fit[some], leaf_ids[near], LONG)], 1)
+                order = np.lexsort((names, ~more), axis=1)[:, :k]  # the complement turns the order round
+                scores[at], ids[at] = np.take_along_axis(more, order, 1), np.take_along_axis(names, order, 1)
+                full[at] = ids[at, -1] != LONG
             else:
-                d = distances(points[near], point)
-                for e, dist in zip(near.tolist(), d.tolist(), strict=True):
-                    reach = max(0.0, dist - float(radii[e]))
-                    if reach <= limit:
-                        heapq.heappush(queue, (reach, children[e], dist))
-        return best, computed
+                d = distance(of, points[near], squares[near])
+                reach = np.maximum(0, d - radii[near])
+                for e, child in enumerate(near.tolist()):
+                    low, to_child = np.full(n, np.inf), np.full(n, np.inf)
+                    wanted = needed[:, e] & (reach[:, e] <= limit)
+                    if wanted.any():
+                        low[of[wanted]], to_child[of[wanted]] = reach[wanted, e], d[wanted, e]
+                        heapq.heappush(queue, (float(reach[wanted, e].min()), children[child], low, to_child))
+        return scores, ids, computed
 
 
-def searcher(m: int, k: int, page_names: list[str]):
-    """A tree's pages and then the queries sent to it, to (query, id, score, distances computed)."""
+def searcher(m: float, k: int, page_names: list[str]):
+    """A tree's pages and then the queries sent to it, to (query, id, score, distances computed). Queries are taken in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs(batches, 1):
-            first = next((i for i, r in enumerate(rows) if r[1] == 1), len(rows))
-            if first in (0, len(rows)):
-                continue
-            tree = Tree([dict(zip(page_names, r[2:], strict=False)) for r in rows[:first]], m)
-            out = []
-            for r in rows[first:]:
-                query, least, vector = r[-3:]
-                best, computed = tree.search(query, np.array(vector, np.int64), k, least)
-                out += [(query, -i, s, computed) for s, i in best]
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score", "computed"])
+        key, pages, tree, block = None, [], None, []
+
+        def answers():
+            own, least = np.array([r[0] for r in block], np.int64), np.array([-np.inf if r[1] is None else r[1] for r in block])
+            scores, ids, computed = tree.search(own, np.array([r[2] for r in block], np.int64), k, least)
+            row, place = np.nonzero(ids != LONG)
+            columns = [own[row], ids[row, place], scores[row, place], computed[row]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score", "computed"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:2] != key:
+                    if block:
+                        yield answers()
+                    key, pages, tree, block = row[:2], [], None, []
+                if row[2] == 0:
+                    pages.append(dict(zip(page_names, row[3:], strict=False)))
+                elif pages or tree:
+                    if tree is None:
+                        tree, pages = Tree(pages, m), []
+                    block.append(row[-3:])
+                    if len(block) == BLOCK:
+                        yield answers()
+                        block = []
+        if block:
+            yield answers()
 
     return run
 
 
-def router(roots, m: int, home: bool):
+def router(roots, m: float, home: bool):
     """(query, least score, vector, home tree) to (tree, query, least score, vector): the nearest root, or the others within reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,16 +272,16 @@ def top_k(
 
     Components are ``floor(scale * x)``. Vectors that are null, empty or hold a null or non-finite component, and rows without an
     identifier, take no part; vectors of different lengths are not compared. A repeated identifier is as many candidates, and one
-    query (its smallest vector). An empty table gives an empty result; other columns are not looked at. Scores are exact while they
-    and their squares of lengths stay below 2**53.
+    query (its smallest vector). An empty table gives an empty result; other columns are not looked at. Scores beyond 64 bits are held at
+    their ends, and components likewise.
     """
     spark = vectors.sparkSession
     ship(spark)
     folder = scratch(spark, "mtree")
     rows = stage(whole_vectors(vectors, id_col, vector_col, scale), folder, "vectors")
-    length = F.aggregate("vector", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
+    length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     sizes = rows.agg(F.max(length).alias("m"), F.count("*").alias("n")).first()
-    m, cells = sizes.m or 0, min(PIVOTS, -(-sizes.n // CELL_ROWS))
+    m, cells = sizes.m or 0.0, min(PIVOTS, -(-sizes.n // CELL_ROWS))
 
     pivots = [list(r.vector) for r in rows.orderBy(F.xxhash64("vec_id", "vector")).limit(cells).collect()]
 
@@ -256,7 +299,8 @@ def top_k(
     celled = stage(rows.mapInArrow(celler, "vec_id bigint, vector array<bigint>, cell string"), folder, "cells")
     slices = celled.groupBy("cell").agg(F.ceil(F.count("*") / TREE_ROWS).alias("slices"))  # at most a row per pivot
     trees = celled.join(F.broadcast(slices), "cell").select(
-        F.concat_ws("/", "cell", F.pmod(F.xxhash64("vec_id", "vector"), F.col("slices"))).alias("tree"), "vec_id", "vector"
+        # Equal rows are dealt to different slices by their place in the staged table.
+        F.concat_ws("/", "cell", F.pmod(F.xxhash64("vec_id", "vector") % 65536 + F.monotonically_increasing_id() % 65536, F.col("slices"))).alias("tree"), "vec_id", "vector"
     )
     # A tree's rows must meet in one task, so they are dealt by the tree alone.
     together = trees.repartition("tree").sortWithinPartitions("tree", "vec_id")
@@ -280,13 +324,17 @@ def top_k(
         return out
 
     page_names = [f.name for f in index.schema.fields]
-    pages = index.select(F.col("tree").alias("key"), F.lit(0).alias("kind"), *page_names, *[F.lit(None).cast(t).alias(c) for c, t in (("query_id", "bigint"), ("least", "bigint"), ("vector", "array<bigint>"))])
+    # Every tree's queries are dealt to so many tasks, each with the tree's pages.
+    parts = max(1, -(-queries.count() // PART_QUERIES))
+    asked = [F.lit(None).cast(t).alias(c) for c, t in (("query_id", "bigint"), ("least", "bigint"), ("vector", "array<bigint>"))]
+    pages = index.select(F.col("tree").alias("key"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("kind"), *page_names, *asked)
 
     def search(sent: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part")
         asks = sent.select(
-            F.col("tree").alias("key"), F.lit(1).alias("kind"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in index.schema.fields], "query_id", "least", "vector"
+            F.col("tree").alias("key"), part, F.lit(1).alias("kind"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in index.schema.fields], "query_id", "least", "vector"
         )
-        both = pages.union(asks).repartition("key").sortWithinPartitions("key", "kind")
+        both = pages.union(asks).repartition("key", "part").sortWithinPartitions("key", "part", "kind")
         return both.mapInArrow(searcher(m, k, page_names), "query_id bigint, vec_id bigint, score bigint, computed bigint")
 
     homes = routed(queries, True)

@@ -192,10 +192,29 @@ def test_a_tree_of_many_pages_prunes_and_is_exact():
     reach = float(mtree.distances(mtree.lifted(x, m), mtree.lifted(x[:1], m)[0]).max())
     pages_.append(("t", -1, False, [], [0], [reach], [0.0], x[:1].astype("<i8").tobytes(), 1))
     tree = mtree.Tree([dict(zip(names, p, strict=True)) for p in pages_], m)
-    work = 0
-    for q in range(0, 2000, 100):
-        best, computed = tree.search(q, x[q], 5, None)
+    asked = np.arange(0, 2000, 100)
+    scores, ids, computed = tree.search(asked, x[asked], 5, np.full(len(asked), -np.inf))
+    for n, q in enumerate(asked.tolist()):
         order = sorted(((int(s), -i) for i, s in enumerate(x @ x[q]) if i != q), reverse=True)[:5]
-        assert sorted(best, reverse=True) == order
-        work += computed
-    assert work < 20 * 2000 * 0.8
+        assert list(zip(scores[n].tolist(), (-ids[n]).tolist(), strict=True)) == order
+    assert computed.sum() < 20 * 2000 * 0.8
+
+
+def test_very_large_components_and_many_equal_rows(spark, monkeypatch):
+    """Products and squares beyond 64 bits, and one row that is there more often than a tree has rows."""
+    monkeypatch.setattr(mtree, "TREE_ROWS", 50)
+    monkeypatch.setattr(mtree, "PART_QUERIES", 4)
+    monkeypatch.setattr(mtree, "BLOCK", 3)
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(0, 1, 4) * (2e7 if i % 3 else 1)).tolist()) for i in range(1, 300)]
+    rows += [(301, rows[0][1])] * 200 + [(350, rows[2][1]), (400, [1e17, 0.0, 0.0, -1e17]), (401, [1e17, 1.0, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    held = 2**63 - 1
+    hold = lambda v: max(-held, min(held, v))
+    sound = [(i, [hold(math.floor(256 * x)) for x in v]) for i, v in rows]
+    expected = []
+    for q, x in sound:
+        if q % 50 == 0:
+            scores = sorted((-hold(sum(a * b for a, b in zip(x, y, strict=True))), i) for i, y in sound if i != q)
+            expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
+    assert sorted(tuple(r) for r in mtree.top_k(df).drop("computed").collect()) == sorted(expected)
