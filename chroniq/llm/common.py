@@ -93,7 +93,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word to 64-bit hash. Forgets all words when it holds ``limit``, so memory is bounded."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 200_000) -> None:
         super().__init__()
         self.limit = limit
 

@@ -32,7 +32,7 @@ LEAST_Z = 4.0  # a term must stand out by so many standard deviations
 class TermNumbers(dict):
     """A word to the numbers of its terms. Forgets all words when it holds ``limit``."""
 
-    def __init__(self, chosen: dict[int, int] | None = None, limit: int = 300_000) -> None:
+    def __init__(self, chosen: dict[int, int] | None = None, limit: int = 150_000) -> None:
         super().__init__()
         self.chosen, self.limit = chosen, limit
 

@@ -8,6 +8,9 @@ tables and further columns are handled as each operator says; a document whose t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,22 @@ from chroniq.operators.lookup import lookup_join
 from chroniq.session import stage
 
 ROW = "__row"
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+def small_batches(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage whose Python workers get at most ``BATCH_ROWS`` whole texts at a time while it runs."""
+
+    @wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        before = spark.conf.get(BATCH_KEY)
+        spark.conf.set(BATCH_KEY, str(min(int(before) if int(before) > 0 else BATCH_ROWS, BATCH_ROWS)))
+        try:
+            return step(spark, docs, sf_dir)
+        finally:
+            spark.conf.set(BATCH_KEY, before)
+
+    return run
 
 
 def without(docs: DataFrame, judged: DataFrame, rejected: str) -> DataFrame:
@@ -33,6 +52,7 @@ def row_hash(name: str = ROW) -> Column:
     return F.xxhash64("doc_id", "text").alias(name)
 
 
+@small_batches
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose lines the field finds good, by at least 0.7 of their length. Learned outside the fold that the query holds out."""
     model = quality.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
@@ -40,6 +60,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return without(docs, quality.score_quality(rows, model, F.lit(False)), "predicted = 0")
 
 
+@small_batches
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the machine scores below 0.5. Learned outside the fold that the query holds out."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
@@ -47,16 +68,19 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, toxicity.score_toxicity(rows, model, F.lit(False)), "predicted = 1")
 
 
+@small_batches
 def one_per_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of texts with a Jaccard similarity of 0.8 or more: the one with the lowest identifier."""
     return ngram_join.one_of_each(docs).select(*DOCUMENT_COLUMNS)
 
 
+@small_batches
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold less than 0.8 of every benchmark item's shingles."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*DOCUMENT_COLUMNS)
 
 
+@small_batches
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of windows of 2,048 tokens, each source at its share of every window."""
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
