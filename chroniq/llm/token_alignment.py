@@ -16,7 +16,6 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -103,26 +102,38 @@ def common_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[i
     return list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
 
 
+class PairTexts(dict):
+    """A pair to its text. There are no more pairs than can be linked."""
+
+    def __missing__(self, pair: int) -> str:
+        self[pair] = text = f"{pair >> 32}|{pair & 0xFFFFFFFF}"
+        return text
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.sizes_a, self.sizes_b = ([len(p) for p in t.pieces] for t in (self.a, self.b))
+        self.sizes_a, self.sizes_b = (np.array([len(p) for p in t.pieces], np.int64) for t in (self.a, self.b))
+        self.pair_texts = PairTexts()
         self.digits = [str(i) for i in range(max(len(self.sizes_a), len(self.sizes_b)))]
 
-    def groups(self, text: str, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int]] | None:
+    def groups(self, text: str, ids_a: np.ndarray, ids_b: np.ndarray, list_b: list[int]) -> tuple[list[int], list[int]] | None:
         """The cuts of :func:`common_ends`; None where the tokens' joined bytes are not the text's."""
         raw = text.encode()
-        if any(b"".join(map(t.pieces.__getitem__, ids)) != raw for t, ids in ((self.a, ids_a), (self.b, ids_b))):
+        ends_a, ends_b = self.sizes_a[ids_a].cumsum(), self.sizes_b[ids_b].cumsum()
+        # A byte-level vocabulary has every byte and cuts the text as it is, so its bytes are the text's if they are as many.
+        if ends_a[-1] != len(raw) or b"".join(map(self.b.pieces.__getitem__, list_b)) != raw:
             return None
-        return common_ends(*(list(accumulate(map(sizes.__getitem__, ids))) for ids, sizes in ((ids_a, self.sizes_a), (ids_b, self.sizes_b))))
-
-    def digest(self, ids_a: list[int], ids_b: list[int], cuts: tuple[list[int], list[int]]) -> str:
-        a, b = list(map(self.digits.__getitem__, ids_a)), list(map(self.digits.__getitem__, ids_b))
-        out, i, j = [], 0, 0
-        for x, y in zip(*cuts, strict=True):
-            # Most groups are one token to one.
-            out.append(f"{a[i]}|{b[j]}" if x - i == 1 and y - j == 1 else f"{','.join(a[i:x])}|{','.join(b[j:y])}")
-            i, j = x, y
+        return common_ends(ends_a.tolist(), ends_b.tolist())
+
+    def digest(self, ids_a: list[int], ids_b: list[int], cuts: tuple[list[int], list[int]], linked: np.ndarray) -> str:
+        """Of the groups as text. ``linked`` are the pairs that end the groups; most groups are such a pair and no more."""
+        out = list(map(self.pair_texts.__getitem__, linked.tolist()))
+        ends_a, ends_b = ([0, *c] for c in cuts)
+        digits = self.digits
+        for n in np.flatnonzero((np.diff(ends_a) > 1) | (np.diff(ends_b) > 1)).tolist():
+            a, b = ids_a[ends_a[n] : ends_a[n + 1]], ids_b[ends_b[n] : ends_b[n + 1]]
+            out[n] = ",".join([digits[i] for i in a]) + "|" + ",".join([digits[i] for i in b])
         return hashlib.sha256(";".join(out).encode()).hexdigest()
 
 
@@ -146,15 +157,16 @@ def _encode(path_a: str, path_b: str, id_type: pa.DataType, possible):
                 out = []
                 spaced = [" " + t for t in texts]
                 for i, text, spaced_text, ids_a, ids_b in zip(part.column(0).to_pylist(), texts, spaced, aligner.a(spaced), aligner.b(texts), strict=True):
-                    cuts = aligner.groups(spaced_text, ids_a, ids_b) if text else None
+                    array_a, array_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+                    cuts = aligner.groups(spaced_text, array_a, array_b, ids_b) if text else None
                     if cuts is None:
                         out.append((0, i, 0, 0, 0, "", b""))
                         continue
                     last_a, last_b = (np.array(c, np.int64) - 1 for c in cuts)
-                    linked = (np.array(ids_a, np.int64)[last_a] << 32) | np.array(ids_b, np.int64)[last_b]
+                    linked = (array_a[last_a] << 32) | array_b[last_b]
                     numbers = np.searchsorted(pairs, linked).astype("<u4")
                     np.add.at(counts, numbers, 1)
-                    out.append((0, i, len(ids_a), len(ids_b), len(numbers), aligner.digest(ids_a, ids_b, cuts), numbers.tobytes()))
+                    out.append((0, i, len(ids_a), len(ids_b), len(numbers), aligner.digest(ids_a, ids_b, cuts, linked), numbers.tobytes()))
                 yield batch_of(out)
         if counts.any():
             seen = np.flatnonzero(counts)
@@ -264,10 +276,11 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc
         for batch in batches:
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids_a, ids_b = aligner.a([" " + text])[0], aligner.b([text])[0]
-                cuts = (aligner.groups(" " + text, ids_a, ids_b) if text else None) or ([], [])
+                arrays = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+                cuts = (aligner.groups(" " + text, *arrays, ids_b) if text else None) or ([], [])
                 out, i, j, start = [], 0, 0, 0
                 for n, (x, y) in enumerate(zip(*cuts, strict=True)):
-                    end = start + sum(aligner.sizes_a[k] for k in ids_a[i:x])
+                    end = start + int(aligner.sizes_a[ids_a[i:x]].sum())
                     out.append((doc, n, start, end, ids_a[i:x], ids_b[j:y]))
                     i, j, start = x, y, end
                 if out:
