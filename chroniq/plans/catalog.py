@@ -16,7 +16,7 @@ from chroniq.functions import dates, html, text, urls
 from chroniq.operators import dedup, filters, quality, repair, takewhile, trend, words
 from chroniq.plans import driver_tables as D
 from chroniq.plans import ingest, maintenance
-from chroniq.session import work_folder
+from chroniq.session import stage, work_folder
 from chroniq.sinks import exports, tables
 from chroniq.sources import corpus as corpus_source
 from chroniq.sources import feeds as feed_source
@@ -170,22 +170,24 @@ def patch_text(spark, sf_dir):
     return repair.patch_text(D.speeches(spark, sf_dir), D.patches(spark, sf_dir)).select("ord", "full_text")
 
 
-@query
-def append_union(spark, sf_dir):
-    new = D.speeches(spark, sf_dir).where("lang = 'en'").withColumn("ord", -F.col("ord") - 1)
-    return D.speeches(spark, sf_dir).unionByName(new).select("ord", "date", "lang")
+# --- corpus: written and read back ------------------------------------------------------------
+
+SECOND = 1_000_000_000  # what the second batch adds to the row numbers
 
 
 @query
-def append_counts(spark, sf_dir):
+def append_union(spark, sf_dir):
+    root = work_folder(spark, "corpus")
     rows = D.speeches(spark, sf_dir)
-    added = F.count_if(F.col("lang") == LANG)
-    return rows.agg(F.count("*").alias("old_rows"), (F.count("*") + added).alias("new_rows"))
-
+    tables.append_rows(rows, root)
+    tables.append_rows(filters.by_language(rows, LANG).withColumn("ord", -F.col("ord") - 1), root)
+    return tables.published(spark, root).select("ord", "date", "lang")
 
-# --- corpus: written and read back ------------------------------------------------------------
 
-SECOND = 1_000_000_000  # what the second batch adds to the row numbers
+@query
+def append_counts(spark, sf_dir):
+    _, report = _two_batches(spark, sf_dir)
+    return spark.createDataFrame([(report.old_rows, report.new_rows)], "old_rows bigint, new_rows bigint")
 
 
 def _two_batches(spark: SparkSession, sf_dir: str) -> tuple[str, tables.AppendReport]:
@@ -483,14 +485,13 @@ def article_join(spark, sf_dir):
     return ingest.skew_join(rows, texts, ["link"], "inner").select("lang", "pos", "link", "article_text")
 
 
-def _plan(spark: SparkSession, sf_dir: str, force: bool = False) -> ingest.IngestPlan:
+def _plan(spark: SparkSession, sf_dir: str) -> ingest.IngestPlan:
     return ingest.plan_ingest(
         D.feeds(spark, sf_dir),
         D.listings(spark, sf_dir),
         D.article_pages(spark, sf_dir),
         D.feed_marks(spark, sf_dir),
         D.SITE,
-        force,
     )
 
 
@@ -517,7 +518,9 @@ def ingest_failures(spark, sf_dir):
 
 @query
 def backfill(spark, sf_dir):
-    return _plan(spark, sf_dir, force=True).new_rows.select("lang", "page", "idx", "link")
+    inputs = D.feeds(spark, sf_dir), D.listings(spark, sf_dir), D.article_pages(spark, sf_dir)
+    with ingest.backfill(*inputs, D.SITE) as rows:
+        return stage(rows.select("lang", "page", "idx", "link"), work_folder(spark, "backfill"), "rows")
 
 
 @query
