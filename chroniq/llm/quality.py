@@ -210,7 +210,10 @@ def scorer(model: Field):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, n: int, id_col: str, text_col: str) -> DataFrame:
-    """``(label, text)`` of at most ``n`` labelled documents, chosen by a hash of their identifiers."""
+    """``(label, text)`` of at most ``n`` labels, chosen by a hash of their identifiers.
+
+    A repeated identifier has one text, that with the lowest hash, so there are never more rows than labels chosen.
+    """
     chosen = (
         labels.where(usable & F.col(id_col).isNotNull() & F.col(label).isNotNull())
         .select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("label"))
@@ -218,7 +221,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
         .limit(n)
     )
     texts = docs.select(F.col(id_col).alias("__id"), text_bytes(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "__id").select("label", "text")  # at most n rows of two numbers
+    wanted = texts.join(F.broadcast(chosen.select("__id")), "__id", "left_semi")  # at most n rows of two numbers
+    one = wanted.groupBy("__id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    return one.join(F.broadcast(chosen), "__id").select("label", F.col("first.text").alias("text"))
 
 
 def learn(

@@ -218,3 +218,15 @@ def test_very_large_components_and_many_equal_rows(spark, monkeypatch):
             scores = sorted((-hold(sum(a * b for a, b in zip(x, y, strict=True))), i) for i, y in sound if i != q)
             expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
     assert sorted(tuple(r) for r in mtree.top_k(df).drop("computed").collect()) == sorted(expected)
+
+
+def test_samples_are_bounded_whatever_is_repeated(spark):
+    """Identifiers that come again, with the same text and with others, do not enlarge a sample."""
+    rows = [(i % 40, f"text {i % 120}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 0), (3, 1), (None, 1), (99, 1)], "doc_id bigint, toxic int")
+    for n in (10, 100):
+        sample = quality.labelled_sample(docs, labels, "toxic", F.lit(True), n, "doc_id", "text").collect()
+        assert len(sample) <= min(n, 42)
+    texts = {i: {t for j, t in rows if j == i} for i in range(40)}
+    assert all(any(bytes(r.text).decode() in texts[i] for i in range(40)) for r in sample) and len(sample) == 42
