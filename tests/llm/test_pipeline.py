@@ -30,7 +30,7 @@ def sf(spark, tmp_path_factory):
 
 def test_registered():
     assert driver.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in driver.queries() if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in driver.queries() if k.startswith("op")}
 
 
 def test_stages_on_awkward_rows_and_on_none(spark, sf):
