@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from edge import base_rows, documents, prose, shingles, words_of
+from pyspark.sql import functions as F
 
 from chroniq.llm import decontaminate, ngram_join
 from chroniq.llm.components import components
@@ -86,6 +87,63 @@ def test_prefix_is_the_longest_that_reaches_the_recall():
     assert found(k) >= 0.9999 > found(k + 1)
 
 
+def test_equal_rows_send_one_text(spark, tmp_path):
+    rows = [(1, prose(50, 40))] * 3000 + [(2, prose(50, 40)), (3, prose(51, 40)), (3, prose(51, 40))]
+    texts = documents(spark, rows).select("doc_id", F.encode("text", "utf-8").alias("text")).withColumn("row", F.xxhash64("doc_id"))
+    members = texts.select("row", F.lit("group").alias("group")).where("row <> xxhash64(2L)").distinct()
+    held = ngram_join.one_text_each(texts.select("row", "text"), members, texts, str(tmp_path))
+    assert sorted(bytes(r.text).decode() for r in held.collect()) == sorted({prose(50, 40), prose(51, 40)})
+
+
+def test_repeated_rows_in_a_class_equal_brute_force(spark):
+    near = prose(50, 80).replace(" ", "  ", 3) + " end"
+    rows = [(1, prose(50, 80))] * 40 + [(2, near)] * 3 + [(4, prose(51, 80))] * 2
+    assert spark_classes(documents(spark, rows)) == brute_classes(rows)
+
+
+def signature_rows(spark, signatures):
+    rows = [(bytes([i]), bytearray(np.asarray(s, ">u2").tobytes())) for i, s in enumerate(signatures)]
+    return spark.createDataFrame(rows, "text_key binary, signature binary")
+
+
+def test_prefixes_are_shortened_until_texts_meet(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    base, other = rng.integers(0, 60000, (2, 20, 6))
+    fifth, third = base.copy(), base.copy()
+    fifth[:, 4] += 1  # shares four hashes of every tree with the base, and 100 of 120 in all
+    third[:, 2] += 1  # shares two of every tree: above what a pair at the threshold needs
+    distinct = signature_rows(spark, [s.ravel() for s in (base, fifth, third, other)])
+    found = ngram_join.forest_ties(distinct, str(tmp_path), 0.8, 20, 6, 0.9999).collect()
+    assert {(r.a[0], r.b[0]) for r in found} in ({(0, 1)}, {(1, 0)})
+
+
+def test_equal_signatures_are_one_leaf_and_stay_tied(spark, tmp_path):
+    one, two = np.random.default_rng(4).integers(0, 60000, (2, 120))
+    found = ngram_join.forest_ties(signature_rows(spark, [one, two, one, one]), str(tmp_path), 0.8, 20, 6, 0.9999).collect()
+    assert {(r.a[0], r.b[0]) for r in found} == {(0, 2), (0, 3)}
+
+
+def test_only_texts_with_near_partners_are_settled(spark):
+    leaves = spark.createDataFrame([(k.encode(), b"s", True) for k in "abcde"], "leaf binary, signature binary, open boolean")
+    met = spark.createDataFrame([(b"a", b"b", 119), (b"c", b"d", 92), (b"c", b"a", 118)], "a binary, b binary, agree int")
+    left = ngram_join.settle(leaves, met, 20, 120, 6, 0.9999).collect()
+    assert {bytes(r.leaf).decode(): r.open for r in left} == {"a": False, "b": False, "c": True, "d": True, "e": True}
+
+
+def test_recall_of_links_at_the_threshold(spark):
+    """Pairs of texts just above the threshold, of which the forest may miss few."""
+    rng, rows = random.Random(9), []
+    for i in range(300):
+        words = prose(5000 + i, 104).split()
+        rows.append((2 * i, " ".join(words)))
+        rows.append((2 * i + 1, " ".join([*words[: -rng.randrange(12, 19)]])))
+    got = {r[0]: r[3] for r in spark_classes(documents(spark, rows))}
+    links = {name: n for name, _, _, n in brute_classes(rows)}
+    assert sum(links.values()) > 400
+    assert sum(got.values()) >= 0.99 * sum(links.values())
+    assert all(got[i] <= links[i] for i in links)
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(200, 200), (201, 202), (202, 201)]
     df = spark.createDataFrame(edges, "a bigint, b bigint")
