@@ -41,17 +41,22 @@ def repair_counts(repaired: DataFrame) -> DataFrame:
     )
 
 
+def one_patch(patches: DataFrame, newest: str | None = None) -> DataFrame:
+    """The patch of each link that counts; see :func:`patch_text`."""
+    if newest:
+        return patches.groupBy("link").agg(F.max_by(F.struct("full_text"), newest).alias("p")).select("link", "p.full_text")
+    if has_repeats(patches.where("link IS NOT NULL"), ["link"]):
+        raise ValueError("a link has several patches; name the column that orders them")
+    return patches
+
+
 def patch_text(corpus: DataFrame, patches: DataFrame, newest: str | None = None) -> DataFrame:
     """Set ``full_text`` for the links listed in ``patches(link, full_text)``.
 
     A patch may set null; links that are not listed keep their text. Of several patches of a link the one that is highest in the column
     ``newest`` counts; without such a column they are refused, as nothing says which one is meant.
     """
-    if newest:
-        patches = patches.groupBy("link").agg(F.max_by(F.struct("full_text"), newest).alias("p")).select("link", "p.full_text")
-    elif has_repeats(patches.where("link IS NOT NULL"), ["link"]):
-        raise ValueError("a link has several patches; name the column that orders them")
-    listed = patches.select("link", F.col("full_text").alias("__new"), F.lit(True).alias("__listed"))
+    listed = one_patch(patches, newest).select("link", F.col("full_text").alias("__new"), F.lit(True).alias("__listed"))
     joined = lookup_join(corpus, listed, ["link"], "left")
     text = F.when(F.col("__listed"), F.col("__new")).otherwise(F.col("full_text"))
     return joined.withColumn("full_text", text).select(*corpus.columns)

@@ -232,6 +232,14 @@ def patch_published(spark, sf_dir):
     return tables.published(spark, root).select("ord", "full_text")
 
 
+@query
+def deny_published(spark, sf_dir):
+    root, _ = _two_batches(spark, sf_dir)
+    maintenance.run_patch(spark, root, D.patches(spark, sf_dir))
+    maintenance.run_deny(spark, root, D.deny_list(spark, sf_dir))
+    return tables.published(spark, root).select("ord", "link", "full_text")
+
+
 @query
 def repair_published(spark, sf_dir):
     """Repaired in two runs, the first of which ended after staging a part of the texts."""

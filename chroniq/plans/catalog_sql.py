@@ -285,6 +285,9 @@ FROM verdicts WHERE doc_id NOT IN (SELECT doc_id FROM processed)""",
     "stream_dedup": f"WITH {SPEECHES} SELECT DISTINCT date, lang FROM speeches",
     "append_published": f"WITH {TWICE} SELECT * FROM twice",
     "append_report": f"""WITH {TWICE} SELECT (SELECT count(*) FROM speeches) AS old_rows, count(*) AS new_rows FROM twice""",
+    "deny_published": f"""WITH {TWICE} SELECT ord, link, CASE WHEN item_id IS NOT NULL THEN b.text ELSE full_text END AS full_text
+FROM twice LEFT JOIN benchmark b ON item_id = ord % {SECOND}
+WHERE ord % {SECOND} NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
     "published_language": f"WITH {TWICE} SELECT * FROM twice WHERE lang = 'fr'",
     "cleanup_published": f"""WITH {TWICE} SELECT * FROM twice
 QUALIFY row_number() OVER (PARTITION BY date, lang ORDER BY ord) = 1""",

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from chroniq.functions.text import is_missing
 from chroniq.operators.dedup import dedup_first, has_repeats
-from chroniq.operators.filters import missing_text
+from chroniq.operators.filters import without_links, missing_text
 from chroniq.operators.lookup import skew_join
-from chroniq.operators.repair import patch_text
-from chroniq.session import remove_path
-from chroniq.sinks.tables import publish, published
+from chroniq.operators.repair import one_patch, patch_text
+from chroniq.session import remove_path, stage, work_folder
+from chroniq.sinks.tables import publish, published, rewrite_touched
 from chroniq.sources.articles import article_texts
 from chroniq.sources.corpus import path_exists
 
@@ -35,7 +35,14 @@ def run_cleanup(spark: SparkSession, root: str, files_per_language: int | None =
 
 
 def run_patch(spark: SparkSession, root: str, patches: DataFrame, newest: str | None = None) -> int:
-    return publish(patch_text(published(spark, root), patches, newest), root)
+    """Set the texts of the patched links; only files that hold one are written anew."""
+    chosen = one_patch(patches, newest)
+    return rewrite_touched(spark, root, chosen, ["link"], lambda rows: patch_text(rows, chosen))
+
+
+def run_deny(spark: SparkSession, root: str, links: DataFrame) -> int:
+    """Delete the rows of ``links(link)``; only files that hold one are written anew."""
+    return rewrite_touched(spark, root, links, ["link"], lambda rows: without_links(rows, links))
 
 
 def working_corpus(corpus: DataFrame, stage_path: str) -> DataFrame:
@@ -53,7 +60,7 @@ def working_corpus(corpus: DataFrame, stage_path: str) -> DataFrame:
 def run_repair(
     spark: SparkSession, root: str, pages: DataFrame, stage_path: str, **article: str
 ) -> RepairReport:
-    """Repair missing text from crawled pages and publish.
+    """Repair missing text from crawled pages and publish; only files with a repaired row are written anew.
 
     Repaired texts alone are staged. If a run ends before it has published, the next one keeps
     them and goes on with the rows that are still missing.
@@ -62,11 +69,15 @@ def run_repair(
     missing = missing_text(corpus).count()
     stage_repairs(working_corpus(corpus, stage_path), pages, stage_path, **article)
 
-    repaired = working_corpus(corpus, stage_path)
-    remaining = missing_text(repaired).count()
-    version = publish(repaired, root) if remaining < missing else None
+    repairs = spark.read.schema("ord BIGINT, new_text STRING").parquet(stage_path).where("new_text <> ''").select("ord")
+    fixable = missing_text(corpus).select("ord").join(repairs, "ord", "left_semi")
+    fixable = stage(fixable, work_folder(spark, "repair"), "rows")
+    fixed = fixable.count()
+    version = None
+    if fixed:
+        version = rewrite_touched(spark, root, fixable, ["ord"], lambda rows: working_corpus(rows, stage_path))
     remove_path(spark, stage_path)
-    return RepairReport(missing, missing - remaining, remaining, version)
+    return RepairReport(missing, fixed, missing - fixed, version)
 
 
 def stage_repairs(corpus: DataFrame, pages: DataFrame, stage_path: str, **article: str) -> None:

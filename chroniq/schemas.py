@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-_TYPES = {"BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(), "TIMESTAMP": T.TimestampType()}
+_TYPES = {"BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(), "TIMESTAMP": T.TimestampType(), "STRINGS": T.ArrayType(T.StringType())}
 
 
 def _schema(columns: str) -> T.StructType:
@@ -25,5 +25,5 @@ INGEST_STATE = _schema("lang STRING, high_water BIGINT")
 SOURCES = _schema("lang STRING, feed_url STRING, listing_url STRING")
 QUARANTINE = _schema("url STRING, lang STRING, error_context STRING, ts TIMESTAMP, html STRING, date BIGINT, topic STRING")
 COMMITS = _schema(
-    "seq BIGINT, source STRING, source_batch BIGINT, kind STRING, version BIGINT, rows BIGINT, total_rows BIGINT, max_ord BIGINT, folder STRING, marks STRING, at TIMESTAMP"
+    "seq BIGINT, source STRING, source_batch BIGINT, kind STRING, version BIGINT, rows BIGINT, total_rows BIGINT, max_ord BIGINT, folder STRING, marks STRING, dropped STRINGS, at TIMESTAMP"
 )

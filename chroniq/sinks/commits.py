@@ -70,6 +70,20 @@ def folders(spark: SparkSession, root: str, column: str, condition: str = "true"
     return [r[1] for r in sorted(rows.collect())]
 
 
+def live_folders(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
+    """Folders that the corpus consists of, below ``data``, and the files in them that later commits replaced.
+
+    A full rewrite starts anew; appends and rewrites of some files add to what was there.
+    """
+    entries = log(spark, root)
+    start = entries.where("kind = 'rewrite'").agg(F.max("seq").alias("s")).first().s
+    if start is not None:
+        entries = entries.where(F.col("seq") >= start)
+    rows = sorted(entries.select("seq", "version", "folder", "dropped").where("folder IS NOT NULL OR dropped IS NOT NULL").collect())
+    dropped = [file for r in rows for file in r.dropped or []]
+    return [f"version={r.version}/{r.folder}" for r in rows if r.folder], dropped
+
+
 def _claim(spark: SparkSession, root: str, seq: int) -> None:
     """Take a number: a file that only one writer can create."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/commits/_claims/{seq}")
@@ -97,14 +111,15 @@ def commit(
     source_batch: int | None = None,
     folder: str | None = None,
     marks: str | None = None,
+    dropped: list[str] | None = None,
 ) -> None:
     """Write the entry. Where another writer was faster, nothing is written."""
     if path_exists(spark, f"{root}/commits/seq={entry.seq}"):
         raise ConcurrentCommit(f"commit {entry.seq} of {root} is there")
     _claim(spark, root, entry.seq)
-    values = [(source, source_batch, kind, entry.version, rows, entry.total_rows, entry.max_ord, folder, marks)]
+    values = [(source, source_batch, kind, entry.version, rows, entry.total_rows, entry.max_ord, folder, marks, dropped)]
     columns = (
-        "source string, source_batch bigint, kind string, version bigint, rows bigint, total_rows bigint, max_ord bigint, folder string, marks string"
+        "source string, source_batch bigint, kind string, version bigint, rows bigint, total_rows bigint, max_ord bigint, folder string, marks string, dropped array<string>"
     )
     one = spark.createDataFrame(values, columns).withColumn("at", F.current_timestamp())
     one.coalesce(1).write.mode("error").parquet(f"{root}/commits/seq={entry.seq}")

@@ -7,16 +7,17 @@ writes into a folder of its own, so nothing that was committed or is being read
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chroniq.operators.lookup import lookup_join
 from chroniq.schemas import CORPUS, QUARANTINE
 from chroniq.session import remove_path
-from chroniq.sinks.commits import Commit, ConcurrentCommit, attempt_name, check_new, commit, folders, last_commit
+from chroniq.sinks.commits import Commit, ConcurrentCommit, attempt_name, check_new, commit, last_commit, live_folders
 from chroniq.sources.corpus import empty_corpus
 from chroniq.sources.state import marks_to_commit, write_marks
 
@@ -36,13 +37,20 @@ def version_path(root: str, version: int) -> str:
 
 
 def published(spark: SparkSession, root: str) -> DataFrame:
-    """The corpus as last committed. A filter on ``lang`` or a commit's number prunes folders."""
-    last = last_commit(spark, root)
-    if last.total_rows == 0:
+    """The corpus as last committed. A filter on ``lang`` prunes folders."""
+    found, dropped = live_folders(spark, root)
+    if not found:
         return empty_corpus(spark)
-    base = version_path(root, last.version)
-    paths = [f"{base}/{folder}" for folder in folders(spark, root, "folder", f"version = {last.version} AND seq <= {last.seq}")]
-    return spark.read.schema(CORPUS).option("basePath", base).parquet(*paths).select(*CORPUS.names)
+    base = f"{root}/data"
+    rows = spark.read.schema(CORPUS).option("basePath", base).parquet(*[f"{base}/{folder}" for folder in found])
+    if dropped:
+        rows = rows.where(~file_name().isin(dropped))
+    return rows.select(*CORPUS.names)
+
+
+def file_name() -> Column:
+    """The file of a row of the published corpus, below ``data``. A filter on it alone prunes files before any is read."""
+    return F.element_at(F.split("_metadata.file_path", "/data/(?=version=)"), -1)
 
 
 def _write(rows: DataFrame, path: str) -> DataFrame:
@@ -111,6 +119,37 @@ def publish(rows: DataFrame, root: str, files_per_language: int | None = None) -
     return version
 
 
+def rewrite_touched(
+    spark: SparkSession, root: str, keys: DataFrame, on: list[str], change: Callable[[DataFrame], DataFrame]
+) -> int:
+    """Publish the next version with ``change`` applied to those files that hold a row of ``keys``.
+
+    ``change`` leaves all rows alone that ``keys`` does not name. The touched files are found by the columns ``on`` alone; the others are
+    carried over unread, by their names. The entry lists the files that were replaced, of which there are never more than the corpus has.
+    Without a touched file the version has no rows of its own.
+    """
+    last = last_commit(spark, root)
+    seq, version = last.seq + 1, last.version + 1
+    corpus = published(spark, root)
+    touched = []
+    if last.total_rows:
+        found = lookup_join(corpus.select(*on, file_name().alias("__file")), keys.select(*on), on, "left_semi")
+        touched = sorted(r[0] for r in found.select("__file").distinct().collect())
+    attempt = attempt_name(seq)
+    path, before, after, top = f"{version_path(root, version)}/{attempt}", 0, 0, None
+    if touched:
+        rows = corpus.where(file_name().isin(touched))
+        before = rows.count()
+        found = _write(change(rows), path).agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
+        after, top = found.n, found.top
+    if not after:
+        remove_path(spark, path)
+    entry = Commit(seq, version, last.total_rows - before + after, max(last.max_ord, -1 if top is None else top))
+    with _cleared(spark, path):
+        commit(spark, root, "files", entry, after, folder=attempt if after else None, dropped=touched)
+    return version
+
+
 def seed_marks(spark: SparkSession, root: str, marks: dict[str, int] | DataFrame) -> None:
     """First marks of new languages, as a commit of their own: a dict, or a frame ``lang, high_water``."""
     last = last_commit(spark, root)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chroniq import constants as K
@@ -13,6 +14,9 @@ from chroniq.schemas import PAGES
 from chroniq.session import stage, work_folder
 
 
+MAX_FILES = 10_000  # of more files with chosen pages the names are not sent along; the join finds the rows alone
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Crawl results. ``status`` is 200 and ``seen`` 0 where the crawl did not record them."""
     return complete_pages(spark.read.parquet(path))
@@ -29,27 +33,42 @@ def complete_pages(pages: DataFrame) -> DataFrame:
     return pages.select(*columns)
 
 
+def addressed_pages(pages: DataFrame) -> DataFrame:
+    """Complete pages with the file and row that each comes from, ``__file`` and ``__row``.
+
+    Only rows that come straight from Parquet files have such an address. Any other frame is written to the shared folder once.
+    """
+    plan = pages._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    address = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    crawled = complete_pages(pages)
+    if plan.nodeName() == "LogicalRelation" and "_metadata" not in pages.columns:
+        try:
+            return crawled.select("*", *address)
+        except AnalysisException:  # files of another format have no row numbers
+            pass
+    return stage(crawled, work_folder(pages.sparkSession, "crawls"), "pages").select("*", *address)
+
+
 def newest_pages(pages: DataFrame, wanted: DataFrame) -> DataFrame:
     """``url, html``: of each address in ``wanted(url)`` the crawl seen last. A block page counts only if there is no other.
 
-    The crawl is chosen by narrow columns; then the HTML of the chosen ones alone is fetched, and moved at most once.
+    One pass over the HTML chooses the crawls, of which narrow columns and the rows' places in the files are kept. A second one
+    fetches the HTML of the chosen rows, from files that hold one.
     """
-    crawled = complete_pages(pages)
-    # Usable crawls rank above all block pages; `seen` is a time far below 2**61.
-    rank = F.shiftleft((~F.coalesce(is_blocked_page(F.col("html")), F.lit(False))).cast("bigint"), 61) + F.col("seen")
-    told = crawled.select("url", "html", rank.alias("__rank"), F.xxhash64("html").alias("__page"))
-    asked = lookup_join(told.select("url", "__rank", "__page"), wanted, ["url"], "left_semi")
-    asked = stage(asked, work_folder(pages.sparkSession, "crawls"), "narrow")
-    best = asked.groupBy("url").agg(F.max("__rank").alias("__rank"))
-    # Of different pages seen at one time, one is taken by its hash.
-    chosen = asked.join(best, ["url", "__rank"]).groupBy("url", "__rank").agg(F.max("__page").alias("__page"))
-    copies = asked.groupBy("url", "__rank", "__page").agg(F.count("*").alias("__n"))
-    chosen = stage(chosen.join(copies, ["url", "__rank", "__page"]), work_folder(pages.sparkSession, "crawls"), "chosen")
-    key = ["url", "__rank", "__page"]
-    once = lookup_join(told, chosen.where("__n = 1").select(*key), key, "left_semi").select("url", "html")
-    again = lookup_join(told, chosen.where("__n > 1").select(*key), key, "left_semi")
-    first = F.row_number().over(Window.partitionBy("url").orderBy("__page"))
-    return once.unionByName(again.withColumn("__k", first).where("__k = 1").select("url", "html"))
+    crawled = addressed_pages(pages)
+    # Usable crawls rank above all block pages; `seen` is a time far below 2**61. Of different pages seen at one time, one is taken by its hash.
+    usable = F.coalesce(is_blocked_page(F.col("html")), F.lit(False)) == F.lit(False)
+    rank = (F.shiftleft(usable.cast("bigint"), 61) + F.col("seen")).alias("__rank")
+    told = crawled.select("url", rank, F.xxhash64("html").alias("__page"), "__file", "__row")
+    asked = lookup_join(told, wanted, ["url"], "left_semi")
+    best = asked.groupBy("url").agg(F.max(F.struct("__rank", "__page", "__file", "__row")).alias("b"))
+    chosen = stage(best.select("url", "b.__file", "b.__row"), work_folder(pages.sparkSession, "crawls"), "chosen")
+    files = [r[0] for r in chosen.select("__file").distinct().limit(MAX_FILES + 1).collect()]
+    if len(files) <= MAX_FILES:  # the join alone would open all files
+        crawled = crawled.where(F.col("__file").isin(files))
+    return lookup_join(crawled, chosen, ["url", "__file", "__row"], "left_semi").select("url", "html")
 
 
 def article_texts(
@@ -60,6 +79,7 @@ def article_texts(
     Pages nobody asked for are not parsed, and each address is parsed once, however many items link to it.
     """
     wanted = links.select(F.col("link").alias("url")).where("url IS NOT NULL").distinct()
+    wanted = stage(wanted, work_folder(pages.sparkSession, "crawls"), "wanted")
     text = container_text(F.col("html"), tag, class_part)
     # As a generated column the text is computed once, even where a filter on it follows.
     parsed = newest_pages(pages, wanted).select("url", "html", F.explode_outer(F.array(text)).alias("article_text"))

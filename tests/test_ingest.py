@@ -9,6 +9,7 @@ from chroniq.plans import ingest
 from chroniq.schemas import CORPUS, FEEDS, LISTINGS, PAGES
 from chroniq.sinks.commits import BatchCommitted, log
 from chroniq.sinks.tables import publish, published, seed_marks
+from chroniq.sources import articles
 from chroniq.sources import feeds as feed_source
 from chroniq.sources import listings as listing_source
 from chroniq.sources.registry import registry, with_addresses
@@ -391,3 +392,71 @@ def test_one_language_is_read_alone(spark, tmp_path):
     rows = published(spark, root).where("lang = 'en'")
     assert rows.count() == 2
     assert re.search(r"PartitionFilters: \[[^\]]*lang#\d+ = en", rows._jdf.queryExecution().executedPlan().toString())
+
+
+def scans_of_html(plan):
+    return sum("html" in line for line in plan.splitlines() if line.startswith("ReadSchema"))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def files_opened(df):
+    """Number of files that the scans of HTML open, after a run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+
+    def walk(node):
+        own = [node.metrics().apply("numFiles").value()] if "html" in node.toString().split("ReadSchema")[-1] and node.metrics().contains("numFiles") else []
+        node = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node
+        kids = node.children()
+        return own + [n for i in range(kids.size()) for n in walk(kids.apply(i))]
+
+    return max(walk(plan))
+
+
+def test_newest_pages_reads_the_html_twice(spark, tmp_path, monkeypatch):
+    """Once to choose the crawls, once to fetch them, and then only from files that hold a chosen one."""
+    page = '<div class="article_content">{}</div>'
+    rows = [(f"u{i}", page.format(f"{i} of {t}"), 200, t) for i in range(40) for t in (1, 2)]
+    for part in range(8):
+        frame = spark.createDataFrame(rows[part * 10 : part * 10 + 10], PAGES)
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "pages"))
+    staged, stage = [], articles.stage
+    monkeypatch.setattr(articles, "stage", lambda df, *args: staged.append(plan_of(df)) or stage(df, *args))
+    pages = articles.read_pages(spark, str(tmp_path / "pages"))
+    links = spark.createDataFrame([("u3",), ("u4",), ("u4",), (None,), ("nobody",)], "link string")
+    texts = articles.article_texts(pages, links)
+    assert sum(map(scans_of_html, staged)) + scans_of_html(plan_of(texts)) == 2
+    assert {(r.url, r.article_text) for r in texts.collect()} == {("u3", "3 of 2"), ("u4", "4 of 2")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert files_opened(articles.article_texts(pages, links)) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("source", ["parquet", "json", "exploded", "union", "local"])
+def test_newest_pages_of_any_frame(spark, tmp_path, source):
+    """Frames without row addresses give the same pages: other formats, rows made by explode, unions, local rows."""
+    blocked = "<p>Access Denied</p>"
+    data = [
+        ("a", "old", 200, 1), ("a", "new", 200, 2), ("a", blocked, 200, 3), ("b", blocked, 200, 1), ("b", blocked, 200, 1),
+        ("c", "x", 200, 5), ("c", "y", 200, 5), ("c", "x", 200, 5), (None, "n", 200, 1), ("d", None, 200, 1), ("e", "unasked", 200, 1),
+    ]
+    pages = spark.createDataFrame(data, PAGES)
+    if source == "json":
+        pages.write.json(str(tmp_path / "p"))
+        pages = spark.read.schema(PAGES).json(str(tmp_path / "p"))
+    elif source != "local":
+        pages.write.parquet(str(tmp_path / "p"))
+        pages = spark.read.parquet(str(tmp_path / "p"))
+    if source == "exploded":
+        pages = pages.withColumn("seen", F.explode(F.array(F.col("seen"), F.col("seen") - 1)))
+    if source == "union":
+        pages = pages.unionByName(pages.withColumn("seen", F.col("seen") - 1))
+    wanted = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("z",)], "url string")
+    got = [(r.url, r.html) for r in articles.newest_pages(pages, wanted).collect()]
+    assert len(got) == 4
+    assert dict(got)["a"] == "new" and dict(got)["b"] == blocked and dict(got)["c"] in "xy" and dict(got)["d"] is None

@@ -123,6 +123,75 @@ def test_cleanup_and_patch(spark, rows, tmp_path):
     assert tables.published(spark, root).where("ord = 1").first().full_text == "patched"
 
 
+def files_of(root):
+    return {p: p.stat().st_size for p in Path(root, "data").rglob("*.parquet")}
+
+
+def test_a_patch_writes_touched_files_only(spark, tmp_path):
+    """Of 30 files the one with the patched link is written anew; all others are the same files as before."""
+    root = str(tmp_path / "corpus")
+    columns = ["ord", "ord AS date", "concat('l', ord) AS link", "'t' AS topic", "repeat(uuid(), 300) AS full_text", "'en' AS lang"]
+    corpus = spark.range(300).withColumnRenamed("id", "ord").repartition(30, "ord").selectExpr(*columns)
+    tables.append_rows(corpus, root)
+    before = files_of(root)
+    old = {r.ord: r.full_text for r in tables.published(spark, root).collect()}
+    patches = spark.createDataFrame([("l7", "new"), ("nobody", "x"), (None, "y")], "link string, full_text string")
+    assert maintenance.run_patch(spark, root, patches) == 1
+    written = {p: n for p, n in files_of(root).items() if p not in before}
+    assert len(written) == 1
+    assert sum(written.values()) < sum(before.values()) / 10
+    assert {r.ord: r.full_text for r in tables.published(spark, root).collect()} == {**old, 7: "new"}
+    assert last_commit(spark, root).total_rows == 300
+
+    # A second change of the same file, a change of no file, an append and a deletion follow on it.
+    assert maintenance.run_patch(spark, root, patches.withColumn("full_text", F.lit(None).cast("string"))) == 2
+    assert maintenance.run_patch(spark, root, patches.where("link = 'nobody'")) == 3
+    assert tables.append_rows(corpus.where("ord = 7").withColumn("ord", F.lit(900)), root) == tables.AppendReport(300, 301)
+    assert tables.published(spark, root).where("full_text IS NULL").first().ord == 7
+    assert maintenance.run_deny(spark, root, patches.select("link")) == 4
+    assert sorted(r.ord for r in tables.published(spark, root).select("ord").collect()) == [i for i in range(300) if i != 7]
+    last = last_commit(spark, root)
+    assert (last.total_rows, last.max_ord, last.version) == (299, 900, 4)
+    # A full rewrite leaves none of the older files in use.
+    assert tables.publish(tables.published(spark, root), root) == 5
+    assert all("version=5" in name for name in tables.published(spark, root).inputFiles())
+    assert maintenance.run_deny(spark, root, tables.published(spark, root).select("link")) == 6
+    assert tables.published(spark, root).count() == last_commit(spark, root).total_rows == 0
+    assert tables.append_rows(corpus.limit(2), root) == tables.AppendReport(0, 2)
+    assert tables.published(spark, root).count() == 2
+
+
+def test_a_patch_that_meets_another_writer(spark, rows, tmp_path, monkeypatch):
+    root, write = str(tmp_path / "corpus"), tables.commit
+    tables.append_rows(rows, root)
+    patches = spark.createDataFrame([("http://l/1", "patched")], "link string, full_text string")
+
+    def late(*args, **kwargs):
+        monkeypatch.setattr(tables, "commit", write)
+        tables.append_rows(rows.limit(1), root)
+        return write(*args, **kwargs)
+
+    monkeypatch.setattr(tables, "commit", late)
+    with pytest.raises(ConcurrentCommit):
+        maintenance.run_patch(spark, root, patches)
+    assert not path_exists(spark, f"{root}/data/version=1/commit=1")
+    assert tables.published(spark, root).count() == 5
+    assert maintenance.run_patch(spark, root, patches) == 1
+    assert tables.published(spark, root).where("full_text = 'patched'").count() == 1
+
+
+def test_patches_of_an_empty_corpus_and_repeated_patches(spark, rows, tmp_path):
+    root = str(tmp_path / "corpus")
+    patches = spark.createDataFrame([("http://l/1", "a", 1), ("http://l/1", "b", 2)], "link string, full_text string, at int")
+    assert maintenance.run_patch(spark, root, patches, "at") == 1
+    assert tables.published(spark, root).count() == 0
+    with pytest.raises(ValueError):
+        maintenance.run_patch(spark, root, patches)
+    tables.append_rows(rows, root)
+    assert maintenance.run_patch(spark, root, patches, "at") == 2
+    assert tables.published(spark, root).where("ord = 1").first().full_text == "b"
+
+
 def test_repair_resumes_from_staged_texts(spark, rows, tmp_path):
     root, staged = str(tmp_path / "corpus"), str(tmp_path / "stage")
     tables.append_rows(rows, root)
