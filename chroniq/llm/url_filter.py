@@ -1,4 +1,4 @@
-"""Verdicts on addresses: host and path rules first, then naive Bayes over the words of host and path.
+"""Verdicts on addresses: host and path rules first, then naive Bayes, learned from the pages that the rules decide, over the words of host and path.
 
 Names in hosts are often several words written as one. A name is split by the Viterbi path through all its pieces, under unigram
 frequencies counted over all pages. Pieces of all names are joined with the counts, so the vocabulary is never
@@ -21,10 +21,7 @@ from chroniq.session import stage
 #: Fixed values: (host, path, verdict).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
-#: Words that mark a host as one to learn "block" from.
-BLOCK_WORDS = ["ads", "adult", "bets", "casino", "lottery", "pills", "porn", "spam", "viagra"]
-
-LONGEST = 20  # letters of a word; longer pieces are split
+SHORT = 20  # letters; longer words are looked up by as many of their first letters, and then compared whole
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -55,15 +52,17 @@ def path_words(path: Column) -> Column:
 
 
 def best_split(name: str, pieces: dict[tuple[int, int], int], total: int) -> list[str]:
-    """The likeliest words of a name. A piece that is no word costs ten times more with each letter; of equal splits
-    the one with the longer last word wins."""
+    """The likeliest words of a name, from the counts of its known pieces by ``(start, size)``. A piece that is no word costs ten times
+    more with each letter; of equal splits the one with the longer last word wins. Pieces may be of any length."""
+    known: dict[int, list[tuple[int, int]]] = {}
+    for (start, size), n in pieces.items():
+        known.setdefault(start + size, []).append((start, n))
     best: list[tuple[float, int]] = [(0.0, 0)]
+    run = 0  # where the cheapest unknown piece that ends here begins: the next one prolongs it, or begins here
     for end in range(1, len(name) + 1):
-        tries = []
-        for start in range(max(0, end - LONGEST), end):
-            n = pieces.get((start, end - start), 0)
-            cost = -log(n / total) if n else log(total) + (end - start - 1) * log(10)
-            tries.append((best[start][0] + cost, start))
+        tries = [(best[start][0] + log(total) + (end - start - 1) * log(10), start) for start in {run, end - 1}]
+        run = min(tries)[1]
+        tries += [(best[start][0] - log(n / total), start) for start, n in known.get(end, [])]
         best.append(min(tries))
     words, end = [], len(name)
     while end:
@@ -93,13 +92,21 @@ def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
     total = max(counts.agg(F.sum("n")).first()[0] or 0, 1)
     names = names.where("name <> ''").distinct()
     start = F.explode(F.sequence(F.lit(0), F.length("name") - 1)).alias("start")
-    size = F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("name") - F.col("start")))).alias("size")
-    pieces = names.select("name", start).select("name", "start", size)
+    starts = names.select("name", start)
+    size = F.explode(F.sequence(F.lit(1), F.least(F.lit(SHORT), F.length("name") - F.col("start")))).alias("size")
+    pieces = starts.select("name", "start", size)
     pieces = pieces.withColumn("word", F.substring(F.col("name"), F.col("start") + 1, F.col("size")))
-    found = pieces.join(counts, "word", "left").groupBy("name").agg(
-        F.collect_list(F.when(F.col("n").isNotNull(), F.struct("start", "size", "n"))).alias("pieces")
-    )  # a name has at most LONGEST pieces per letter
-    return found.mapInArrow(splitter(total), "name string, words array<string>")
+    # A letter is a piece of nearly every name: hot words are spread where the counts are too many to broadcast.
+    short = lookup_join(pieces, counts.where(F.length("word") <= SHORT), ["word"], "inner").select("name", "start", "size", "n")
+    heads = starts.withColumn("head", F.substring(F.col("name"), F.col("start") + 1, F.lit(SHORT))).where(F.length("name") - F.col("start") > SHORT)
+    words = counts.where(F.length("word") > SHORT).select(F.substring("word", 1, SHORT).alias("head"), "word", F.length("word").alias("size"), "n")
+    long = lookup_join(heads, words, ["head"], "inner")
+    long = long.where(F.substring(F.col("name"), F.col("start") + 1, F.col("size")) == F.col("word")).select("name", "start", "size", "n")
+    found = short.unionByName(long).groupBy("name").agg(F.collect_list(F.struct("start", "size", "n")).alias("pieces"))
+    # Of a name there are at most SHORT short pieces for each letter.
+    empty = F.array().cast("array<struct<start:int, size:int, n:bigint>>")
+    every = names.join(found, "name", "left").select("name", F.coalesce("pieces", empty).alias("pieces"))
+    return every.mapInArrow(splitter(total), "name string, words array<string>")
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
@@ -109,7 +116,7 @@ def word_counts(pages: DataFrame) -> DataFrame:
     # Parts of a host between hyphens are words as they stand; other parts may be several.
     apart = F.when(F.col("host").contains("-"), F.regexp_extract_all("host", F.lit("[a-z]+(?=-)|(?<=-)[a-z]+"), F.lit(0))).otherwise(F.array())
     words = pages.select(F.explode(F.concat(letters, apart, path_words(F.col("path")))).alias("word"))
-    return words.where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n"))
+    return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def judge(
@@ -122,8 +129,9 @@ def judge(
 ) -> DataFrame:
     """``(page_id, host, path, rule, verdict, words, log_odds)`` for each row of ``pages``.
 
-    The longest rule that fits decides. Else multinomial naive Bayes does: it learns from all pages, "block" from those whose host has one
-    of ``block_words`` among its words and "allow" from the others, and blocks if the log odds of host and path words are above zero.
+    The longest rule that fits decides. Else multinomial naive Bayes does: it learns from the words of host and path of all pages that a rule
+    decides, by the rule's verdict, and blocks if the log odds of an address's words are above zero. Words that no such page has do not count.
+    With ``block_words`` the other pages are learned from as well: "block" where the host has one of these words, else "allow".
 
     A null address, or one without ``://``, has empty host and path, and the verdict of the prior; a null identifier stays null;
     repeated rows count and come back as often as they are there; an empty table gives an empty result; other
@@ -144,19 +152,21 @@ def judge(
     placed = lookup_join(placed, split, ["name"], "inner").groupBy("host").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])).alias("words")
     )  # a host is one row per name in it
-    seeds = F.array(*[F.lit(w) for w in (BLOCK_WORDS if block_words is None else block_words)]).cast("array<string>")
+    seeds = F.array(*[F.lit(w) for w in block_words or []]).cast("array<string>")
     tld = F.regexp_extract("host", "[.]([^.]*)$", 1)
     worded = hosts.select("host").join(placed, "host", "left").select(
         "host",
         F.concat(F.coalesce("words", F.array().cast("array<string>")), F.when(tld != "", F.array(F.concat(F.lit("."), tld))).otherwise(F.array())).alias("words"),
     )
-    worded = stage(worded.withColumn("bad", F.arrays_overlap("words", seeds)), folder, "worded")
+    worded = stage(worded.withColumn("seeded", F.arrays_overlap("words", seeds)), folder, "worded")
 
     told = lookup_join(known, worded, ["host"], "inner")
-    told = stage(told.withColumn("words", F.concat("words", path_words(F.col("path")))), folder, "told")
+    told = told.withColumn("found", rule_of(F.col("host"), F.col("path"), RULES if rules is None else rules))
+    bad = F.coalesce(F.col("found.verdict") == "block", F.col("seeded") if block_words else F.lit(None).cast("boolean"))  # null: not learned from
+    told = stage(told.withColumn("words", F.concat("words", path_words(F.col("path")))).withColumn("bad", bad), folder, "told")
     pages_of = told.agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")).first()
     tokens = told.select("uid", "bad", F.explode("words").alias("word"))
-    table = tokens.groupBy("word").agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good"))
+    table = tokens.where("bad IS NOT NULL").groupBy("word").agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good"))
     table = stage(table, folder, "table")
     sums = table.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("types")).first()
     bad, good, types = sums.bad or 0, sums.good or 0, sums.types
@@ -164,12 +174,10 @@ def judge(
     weights = table.select("word", odds.alias("weight"))
     scored = lookup_join(tokens.select("uid", "word"), weights, ["word"], "inner").groupBy("uid").agg(F.sum("weight").alias("sum"))
     prior = log((pages_of.bad + 1) / (pages_of.good + 1)) if pages_of.bad or pages_of.good else 0.0
-    rule = rule_of(F.col("host"), F.col("path"), RULES if rules is None else rules)
     log_odds = F.coalesce("sum", F.lit(0.0)) + prior
     method = F.when((log_odds > 0) & F.lit(pages_of.bad > 0), "block").otherwise("allow")
     return (
         told.join(scored, "uid", "left")
-        .withColumn("found", rule)
         .select(
             F.col("id").alias(id_col), "host", "path", F.col("found.rule").alias("rule"),
             F.coalesce("found.verdict", method).alias("verdict"), "words", log_odds.alias("log_odds"),

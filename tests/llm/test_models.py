@@ -2,7 +2,9 @@
 
 import itertools
 import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -127,7 +129,7 @@ def test_address_verdicts(spark):
     rows = [(i, f"http://site{'abc'[i % 3]}.example.com/en/{i}", "<p>good plain casino win words</p>") for i in range(60)]
     rows += [(100 + i, f"http://casino-win.example.com/en/{i}", "<b>win</b>") for i in range(20)]
     rows += [(200, "http://casinowin.example.com/en/7", None), (201, "http://m.win.example.com/en/1", None), (202, None, None), (None, "http://x.net/", ""), (202, None, None)]
-    got = {(r.page_id, r.host): r for r in url_filter.judge(pages(spark, rows)).collect()}
+    got = {(r.page_id, r.host): r for r in url_filter.judge(pages(spark, rows), block_words=["casino"]).collect()}
     assert url_filter.judge(pages(spark, rows)).count() == len(rows)
     assert got[200, "casinowin.example.com"].words[:2] == ["casino", "win"] and got[200, "casinowin.example.com"].verdict == "block"
     assert got[201, "m.win.example.com"].verdict == "block"  # learned, not listed
@@ -137,6 +139,73 @@ def test_address_verdicts(spark):
     assert url_filter.judge(pages(spark, [])).count() == 0
 
 
+def brute_verdicts(rows, rules=url_filter.RULES):
+    """Every column of :func:`url_filter.judge`, by plain Python over all rows."""
+    low = str.maketrans(url_filter.UPPER, url_filter.LOWER)
+    letter = re.compile("[^\\x00-\\x60\\x7B-\\x7F]+")
+    counts, parsed = Counter(), []
+    for page, url, html in rows:
+        m = re.search("://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].translate(low), m[2]) if m else ("", "")
+        path_words = ["0" if re.fullmatch("[0-9]+", w) else w for w in re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", path.translate(low))]
+        counts.update(letter.findall(re.sub("<[^>]*>", " ", html or "").translate(low)) + path_words)
+        counts.update(re.findall("[a-z]+(?=-)|(?<=-)[a-z]+", host))
+        parsed.append((page, host, path, path_words))
+    total = max(sum(counts.values()), 1)
+
+    def split(name):
+        best = [(0.0, 0)]
+        for end in range(1, len(name) + 1):
+            costs = []
+            for start in range(end):
+                n = counts[name[start:end]]
+                costs.append((round(best[start][0] + (-math.log(n / total) if n else math.log(total) + (end - start - 1) * math.log(10)), 9), start))
+            best.append(min(costs))
+        words, end = [], len(name)
+        while end:
+            words.insert(0, name[best[end][1] : end])
+            end = best[end][1]
+        return words
+
+    told = []
+    for page, host, path, path_words in parsed:
+        words = [w for name in letter.findall(re.sub("[.][^.]*$", "", host)) for w in split(name)]
+        words += ["." + host.rsplit(".", 1)[1]] if "." in host and host.rsplit(".", 1)[1] else []
+        fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        _, rule, verdict = max(fits, default=(0, None, None))
+        told.append((page, host, path, rule, verdict, words + path_words))
+    bad, good = (Counter(w for t in told if t[4] == v for w in t[5]) for v in ("block", "allow"))
+    n_bad, n_good = (sum(t[4] == v for t in told) for v in ("block", "allow"))
+    types, out = len(bad | good), []
+    for page, host, path, rule, verdict, words in told:
+        odds = math.log((n_bad + 1) / (n_good + 1))
+        for w in words:
+            if w in bad or w in good:
+                odds += math.log((bad[w] + 1) / (bad.total() + types + 1)) - math.log((good[w] + 1) / (good.total() + types + 1))
+        method = "block" if odds > 0 and n_bad else "allow"
+        out.append((page, host, path, rule, verdict or method, words, round(odds, 6)))
+    return sorted(out, key=repr)
+
+
+def verdicts(df):
+    return sorted(((*r[:5], r.words, round(r.log_odds, 6)) for r in df.collect()), key=repr)
+
+
+def test_all_columns_of_verdicts_equal_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html").collect()]
+    long = "donaudampfschifffahrtskapitaen"
+    rows += [
+        (900, f"http://{long}.example.org/en/1", f"<p>{long} und {long}sohn</p>"), (901, f"http://{long}sohn.shop.example.com/es/", None),
+        (902, "http://" + "ab" * 400 + ".example.org/x", ""), (903, "http://пример日本.example.net/en/ж", "<p>пример 日本 日本</p>"),
+        (904, None, None), (904, None, None), (None, "HTTP://A-B.Example.NET/En", "a"), (905, "x://", "<b>"), (906, "http://./p", "q"),
+    ]
+    got = verdicts(url_filter.judge(pages(spark, rows)))
+    assert got == brute_verdicts(rows)
+    words = {r[0]: r[5] for r in got}
+    assert words[900][0] == long and words[901][0] == f"{long}sohn"  # words of any length are known
+    assert {r[4] for r in got if r[3] is None} == {"allow", "block"}
+
+
 def brute_top(rows, k=5):
     sound = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
