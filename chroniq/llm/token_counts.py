@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chroniq.llm.common import scratch, ship
-from chroniq.operators.lookup import lookup_join
+from chroniq.operators.lookup import lookup_join, skew_join
 from chroniq.session import stage
 from chroniq.sources.corpus import path_exists
 
@@ -92,15 +92,12 @@ def encoder(path: str, by_piece: bool, rows: int = 500):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        counts, done = Counts(path, by_piece), set()
+        counts = Counts(path, by_piece)
         for batch in batches:
             for i in range(0, batch.num_rows, rows):
                 part = batch.slice(i, rows)
-                # A row that is there several times comes several times.
-                new = {d: t for d, t in zip(*(c.to_pylist() for c in part.columns), strict=True) if d not in done}
-                done.update(new)
-                n = counts(list(new.values()))
-                yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.binary()), pa.array(n, pa.int64())], ["content", "n_tokens"])
+                n = counts(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64())], ["content", "n_tokens"])
 
     return count
 
@@ -138,23 +135,28 @@ def count_tokens(
         rows = spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
         return rows.where(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
 
-    # One row stands for a digest: that of the lowest identifier.
-    first = narrow.groupBy(_DIGEST).agg(F.min("__id").alias("__first"))
+    # One row stands for a digest: that of the lowest identifier, as text; a null one is the lowest.
+    key = F.coalesce(F.concat(F.lit("i"), F.col("__id").cast("string")), F.lit("")).alias("__key")
+    rows_of = narrow.select(_DIGEST, key).groupBy(_DIGEST, "__key").agg(F.count("*").alias("__n"))
+    first = rows_of.groupBy(_DIGEST).agg(F.min(F.struct("__key", "__n")).alias("f")).select(_DIGEST, "f.*")
     known = cached()
     misses = first.join(known.withColumnRenamed("content", _DIGEST), _DIGEST, "left_anti")
+    misses = stage(misses, scratch(spark, "token-misses"), "rows")
     # Rows that are not encoded: later copies and digests that are known. They are fewer than the misses
     # on a corpus with few copies, and where they are few they are broadcast and no text is shuffled.
-    skip = (
-        narrow.join(misses.withColumnRenamed("__first", "__rep"), _DIGEST, "left")
-        .where("__rep IS NULL OR __id <> __rep")
-        .select("__id", _DIGEST)
-    )
-    todo = lookup_join(keyed.select("__id", _DIGEST, _TEXT), skip, ["__id", _DIGEST], "left_anti")
-    encoded = todo.select(_DIGEST, _TEXT).mapInArrow(encoder(tokenizer_path, by_piece), "content binary, n_tokens bigint")
+    alone = misses.where("__n = 1").select(_DIGEST, F.col("__key").alias("__rep"))
+    skip = skew_join(narrow.select(key, _DIGEST), alone, [_DIGEST], "left").where("__rep IS NULL OR __key <> __rep").select("__key", _DIGEST)
+    todo = lookup_join(keyed.select(key, _DIGEST, _TEXT), skip, ["__key", _DIGEST], "left_anti").select(_DIGEST, _TEXT)
+    # Where the row that would stand for a digest is there several times, one text of the digest is taken.
+    repeated = misses.where("__n > 1").select(_DIGEST)
+    if not repeated.isEmpty():
+        same = lookup_join(keyed.select(_DIGEST, _TEXT), repeated, [_DIGEST], "left_semi")
+        todo = todo.unionByName(same.groupBy(_DIGEST).agg(F.first(_TEXT).alias(_TEXT)))
+    encoded = todo.mapInArrow(encoder(tokenizer_path, by_piece), "content binary, n_tokens bigint")
     encoded.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_path)
 
     counts = cached().withColumnRenamed("content", _DIGEST)
-    return narrow.join(counts, _DIGEST, "left").select(
+    return skew_join(narrow, counts, [_DIGEST], "left").select(
         F.col("__id").alias(id_col),
         F.col(_BYTES).alias("n_bytes"),
         "n_tokens",

@@ -70,6 +70,17 @@ def test_cache_encodes_only_what_is_new(spark, tmp_path):
     assert token_counts.count_tokens(documents(spark, []), WORD_BPE, cache).count() == 0
 
 
+def test_repeated_rows_are_encoded_once(spark, tmp_path):
+    """Rows equal in identifier and text, rows without an identifier and one text in most rows: one count is stored for each text."""
+    cache = str(tmp_path / "counts")
+    rows = [(1, "same row")] * 40 + [(None, "no name")] * 40 + [(None, "half"), (3, "half")] + [(i, "copy") for i in range(10, 400)] + [(5, ""), (6, None)]
+    got = token_counts.count_tokens(documents(spark, rows).repartition(8), WORD_BPE, cache).collect()
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    expected = [(i, len((t or "").encode()), len(tokenizer.encode(t or "", add_special_tokens=False).ids), False) for i, t in rows]
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(expected, key=repr)
+    assert spark.read.parquet(cache).count() == 5
+
+
 def check_pieces(pieces, rows, length=2048):
     tokenizer = Tokenizer.from_file(BYTE_BPE)
     wanted = Counter()
