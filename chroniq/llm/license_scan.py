@@ -31,7 +31,7 @@ from chroniq.llm.common import WORD_BYTES, ship, text_bytes, words_of
 #: Phrases that are marked wherever they stand, by label.
 PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
 
-#: One-line notices, by label.
+#: Notices and paragraphs of license headers, by label.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
@@ -40,6 +40,17 @@ TEMPLATES = {
     "mit": "Released under the MIT License",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "public-domain": "This is free and unencumbered software released into the public domain",
+    "apache-2.0-terms": """Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
+        on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+        language governing permissions and limitations under the License.""",
+    "bsd-disclaimer": """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "gpl-grant": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License
+        as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "mit-permission": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use,
+        copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+        is furnished to do so, subject to the following conditions:""",
 }
 
 THRESHOLD = 0.8

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chroniq.llm.common import LOWER, UPPER, WORD_PATTERN
+from chroniq.llm.common import LOWER, UPPER, WORD_PATTERN, words_of
 from chroniq.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, template_words
 
 
@@ -51,12 +51,14 @@ LEFT JOIN c ON c.v = s.v LEFT JOIN l ON l.v = s.v
 """
 
 _PHRASES = ", ".join(f"('{label}', {p.split()})" for label, p in PHRASES.items())
-_TEMPLATES = ", ".join(f"('{label}', {[w.decode() for w in ws]})" for label, ws in template_words(TEMPLATES).items())
+_TEMPLATES = ", ".join(
+    f"('{label}', {[w.decode() for w in ws]}, {2 * len(words_of(TEMPLATES[label].encode()))})" for label, ws in template_words(TEMPLATES).items()
+)
 
 OP6 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {words("text")} AS w FROM documents),
 p(label, phrase) AS (VALUES {_PHRASES}),
-c(label, wanted) AS (VALUES {_TEMPLATES}),
+c(label, wanted, span) AS (VALUES {_TEMPLATES}),
 s AS (
     SELECT r, label, unnest(list_filter(generate_series(0, len(w) - len(phrase)), lambda i: w[i + 1 : i + len(phrase)] = phrase)) AS place
     FROM d, p WHERE len(w) >= len(phrase) AND list_contains(w, phrase[1])
@@ -65,11 +67,21 @@ b AS (
     SELECT r, count(*) AS n, min(place) AS first_word, max(place) AS last_word,
         array_to_string(list_sort(list_distinct(list(label))), ',') AS labels FROM s GROUP BY r
 ),
-l AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
-lw AS (SELECT r, list_distinct({words("line")}) AS held FROM l),
+l AS (SELECT r, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS line_no FROM d),
+lw AS (SELECT r, line_no, {words("line")} AS ws, list_distinct(ws) AS held FROM l),
+runs AS (SELECT r, line_no - row_number() OVER (PARTITION BY r ORDER BY line_no) AS run, line_no, ws FROM lw WHERE len(ws) > 0),
+placed AS (SELECT *, sum(len(ws)) OVER (PARTITION BY r, run ORDER BY line_no) - len(ws) AS before FROM runs),
+pw AS (SELECT r, run, unnest(ws) AS word, before + generate_subscripts(ws, 1) AS pos FROM placed),
+cw AS (SELECT label, unnest(wanted) AS word, len(wanted) AS size, span FROM c),
+wins AS (
+    SELECT r, label, size, count(DISTINCT word) OVER (
+        PARTITION BY r, run, label ORDER BY pos RANGE BETWEEN CURRENT ROW AND span - 1 FOLLOWING) AS n
+    FROM pw JOIN cw USING (word)
+),
 m AS (
     SELECT r, label, len(list_intersect(held, wanted)) / len(wanted) AS share FROM lw, c
     WHERE len(list_intersect(held, wanted)) >= {THRESHOLD} * len(wanted) - 1e-9
+    UNION ALL SELECT r, label, max(n) / any_value(size) FROM wins WHERE n >= {THRESHOLD} * size - 1e-9 GROUP BY r, label
 ),
 x AS (SELECT r, label FROM m UNION SELECT r, label FROM s),
 y AS (SELECT r, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels FROM x GROUP BY r),

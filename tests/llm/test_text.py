@@ -6,11 +6,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from edge import base_rows, documents, prose, words_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from oracle import compare, connect
 from tokenizers import Tokenizer
 
 from chroniq.llm import license_scan, lm, packing, token_counts
@@ -341,6 +343,22 @@ def test_registered_license_scan_finds_wrapped_notices(spark, tmp_path):
     assert got == {1: ("bsd", 1.0), 2: ("mpl-2.0", 1.0)}
 
 
+def test_check_sql_says_what_the_license_scan_does(spark, tmp_path):
+    """On notices on one line, wrapped at any width, damaged, parted by an empty line, doubled, and on tables of prose."""
+    rows = [(1, BSD_HEADER), (2, MPL_HEADER), (3, None), (4, ""), (4, ""), (5, "\n\n\n")]
+    for label, t in license_scan.TEMPLATES.items():
+        w = t.split()
+        for width in (1, 3, 8, len(w) // 2 + 1, len(w)):
+            lines = [" ".join(w[i : i + width]) for i in range(0, len(w), width)]
+            for text in ("\n".join(lines), "\n\n".join(lines), "\n".join(lines[1:]), "\n".join(lines[::2]), f"{prose(width, 9)}\n" + "\n".join(lines + lines)):
+                rows.append((len(rows) + 10, f"{label[0]} x\n" + text + "\n" + prose(0, 5)))
+    documents(spark, rows, clash=False).write.parquet(f"{tmp_path}/t")
+    pq.write_table(pq.read_table(f"{tmp_path}/t"), f"{tmp_path}/documents.parquet")
+    got = Q.op6_license_scan(spark, str(tmp_path))
+    assert compare(got, connect(tmp_path), Q.ORACLES["op6_license_scan"]) is None
+    assert {x for r in got.collect() for x in r.labels.split(",") if x} >= set(license_scan.TEMPLATES)
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.dictionaries(st.sampled_from("uvwxyz"), st.sets(st.sampled_from("abcdefgh"), min_size=1), min_size=1),
