@@ -21,6 +21,7 @@ from chroniq.sinks import exports, tables
 from chroniq.sources import corpus as corpus_source
 from chroniq.sources import feeds as feed_source
 from chroniq.sources import listings as listing_source
+from chroniq.sources import raw
 from chroniq.sources.articles import article_texts, complete_pages
 from chroniq.sources.registry import with_addresses
 from chroniq.sources.state import marks_to_commit, read_marks
@@ -419,6 +420,15 @@ def rss_items(spark, sf_dir):
     return feed_source.feed_items(feed_source.parse_feeds(D.feeds(spark, sf_dir)))
 
 
+@query
+def rss_items_of_files(spark, sf_dir):
+    """The feeds as single files, one folder for each language and status."""
+    path = work_folder(spark, "feed-files")
+    feeds = D.feeds(spark, sf_dir).where("body <> ''")
+    feeds.select("lang", "status", "body").write.partitionBy("lang", "status").text(path)
+    return feed_source.feed_items(feed_source.parse_feeds(raw.read_feed_files(spark, path, "*.txt")))
+
+
 @query
 def rss_first_children(spark, sf_dir):
     return feed_source.feed_items(feed_source.parse_feeds(D.odd_feeds(spark, sf_dir)))

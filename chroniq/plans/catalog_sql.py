@@ -301,3 +301,4 @@ QUALIFY row_number() OVER (PARTITION BY date, lang ORDER BY ord) = 1""",
 }
 ORACLES["patch_published"] = ORACLES["patch_text"]
 ORACLES["usable_articles"] = ORACLES["newest_articles"]
+ORACLES["rss_items_of_files"] = ORACLES["rss_items"]
