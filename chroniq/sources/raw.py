@@ -21,33 +21,33 @@ from chroniq.functions.urls import set_page_param
 from chroniq.operators.lookup import key_lookup_join
 from chroniq.schemas import FEEDS, LISTINGS, PAGES
 
-_FOLDERS = {"lang": T.StringType(), "page": T.IntegerType(), "status": T.IntegerType()}
+_FILE = T.StructType([T.StructField("value", T.StringType())])
+_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _schema(folders: list[str]) -> T.StructType:
-    return T.StructType([T.StructField("value", T.StringType()), *[T.StructField(c, _FOLDERS[c]) for c in folders]])
+def _whole_files(reader, pattern: str):
+    # Folders are told from the files' paths: discovering them as partitions would guess their types and list them once more.
+    return reader.format("text").schema(_FILE).option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
 
 
-def _whole_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """``value`` and the columns that the folders give, with their own types, and not those that Spark would guess."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", False)
-    folders = [c for c in reader.format("text").load(path).columns if c in _FOLDERS]
-    return reader.format("text").schema(_schema(folders)).load(path)
+def _decoded(name: Column) -> Column:
+    """What a name stands for. Spark gives names percent-encoded, so it is decoded twice; a plus sign stays one."""
+    plus = lambda c: F.replace(c, F.lit("+"), F.lit("%2B"))
+    return F.try_url_decode(plus(F.try_url_decode(plus(name))))
 
 
-def _status(rows: DataFrame) -> Column:
-    return F.coalesce(F.col("status"), F.lit(200)) if "status" in rows.columns else F.lit(200)
+def _folder(name: str) -> Column:
+    """The value of a folder ``name=value`` on a file's path; null without one."""
+    value = F.regexp_extract("_metadata.file_path", f"/{name}=([^/]*)/", 1)
+    return F.when(~value.isin("", _NULL), _decoded(value))
 
 
-def _seen() -> Column:
-    return F.unix_seconds("_metadata.file_modification_time")
+def _status() -> Column:
+    return F.coalesce(_folder("status").try_cast("int"), F.lit(200)).alias("status")
 
 
-def _file_address() -> Column:
-    """The address that a file's name stands for. Spark gives names percent-encoded, so it is decoded twice; a plus sign stays one."""
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    plus = lambda c: F.replace(c, F.lit("+"), F.lit("%2B"))
-    return F.try_url_decode(plus(F.try_url_decode(plus(stem))))
+def _seen() -> Column:
+    return F.unix_seconds("_metadata.file_modification_time").alias("seen")
 
 
 def read_feed_files(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
@@ -55,30 +55,30 @@ def read_feed_files(spark: SparkSession, path: str, pattern: str = "*.xml") -> D
 
     Files of one time are told apart by their names.
     """
-    rows = _whole_files(spark, path, pattern)
-    place = F.struct(_seen().alias("seen"), F.col("_metadata.file_path").alias("file"))
-    newest = rows.groupBy("lang").agg(F.max(place).alias("p")).select("lang", F.col("p.file").alias("__file"))
-    polls = rows.select("lang", _status(rows).alias("status"), F.col("value").alias("body"), F.col("_metadata.file_path").alias("__file"))
-    return key_lookup_join(polls, newest.select("__file"), ["__file"], "left_semi").select(*FEEDS.names)
+    rows = _whole_files(spark.read, pattern).load(path)
+    file = F.col("_metadata.file_path").alias("__file")
+    polls = rows.select(_folder("lang").alias("lang"), _status(), F.col("value").alias("body"), file, _seen())
+    newest = polls.groupBy("lang").agg(F.max(F.struct("seen", "__file")).alias("p")).select("p.__file")
+    return key_lookup_join(polls, newest, ["__file"], "left_semi").select(*FEEDS.names)
 
 
-def feed_file_stream(spark: SparkSession, path: str, pattern: str = "*.xml", files_per_batch: int = 1, with_status: bool = False) -> DataFrame:
+def feed_file_stream(spark: SparkSession, path: str, pattern: str = "*.xml", files_per_batch: int = 1) -> DataFrame:
     """``lang, status, body`` of feed files as they arrive; with one file per batch a batch has one poll of one language."""
-    reader = spark.readStream.schema(_schema(["lang", "status"] if with_status else ["lang"]))
-    rows = reader.option("wholetext", True).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).format("text").load(path)
-    return rows.select("lang", _status(rows).alias("status"), F.col("value").alias("body"))
+    rows = _whole_files(spark.readStream, pattern).option("maxFilesPerTrigger", files_per_batch).load(path)
+    return rows.select(_folder("lang").alias("lang"), _status(), F.col("value").alias("body"))
 
 
 def read_listing_files(spark: SparkSession, path: str, sources: DataFrame, pattern: str = "*.html") -> DataFrame:
     """``lang, page, url, status, html``; a page's address is that of its language's listing in ``sources`` with the page's number."""
-    rows = _whole_files(spark, path, pattern)
-    rows = rows.select("lang", "page", _status(rows).alias("status"), F.col("value").alias("html"))
+    rows = _whole_files(spark.read, pattern).load(path)
+    page = _folder("page").try_cast("int").alias("page")
+    rows = rows.select(_folder("lang").alias("lang"), page, _status(), F.col("value").alias("html"))
     joined = key_lookup_join(rows, sources.select("lang", "listing_url"), ["lang"], "left")
     return joined.withColumn("url", set_page_param(F.col("listing_url"), F.col("page"))).select(*LISTINGS.names)
 
 
 def read_page_files(spark: SparkSession, path: str, pattern: str = "*.html") -> DataFrame:
     """``url, html, status, seen`` of every file below ``path``."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-    rows = reader.format("text").schema(_schema([])).load(path)
-    return rows.select(_file_address().alias("url"), F.col("value").alias("html"), F.lit(200).alias("status"), _seen().alias("seen")).select(*PAGES.names)
+    rows = _whole_files(spark.read, pattern).load(path)
+    address = _decoded(F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")).alias("url")
+    return rows.select(address, F.col("value").alias("html"), _status(), _seen()).select(*PAGES.names)
