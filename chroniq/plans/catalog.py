@@ -578,10 +578,10 @@ def _ingested(spark: SparkSession, sf_dir: str, strict: bool = False) -> str:
 
 @query
 def stream_dedup(spark, sf_dir):
-    source = spark.readStream.schema(D.table(spark, sf_dir, "documents").schema)
-    documents = source.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    # The table may be a file or a folder of files. A stream takes a single file by a pattern only; this one fits that name alone.
+    documents = spark.readStream.schema(D.table(spark, sf_dir, "documents").schema).parquet(f"{sf_dir}/documents.parque[t]")
     unique = dedup_stream(documents.selectExpr(*D.SPEECH_SELECT)).select("date", "lang")
     folder = work_folder(spark, "stream")
     writer = unique.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
     writer.format("parquet").start(f"{folder}/rows").awaitTermination()
-    return spark.read.parquet(f"{folder}/rows")
+    return spark.read.schema(unique.schema).parquet(f"{folder}/rows")

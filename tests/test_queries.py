@@ -76,3 +76,15 @@ def test_feed_is_parsed_once(spark, sf_dir):
 def test_dedup_shuffles_no_text(spark, sf_dir):
     text = plan(dedup.dedup_first(D.speeches(spark, sf_dir)))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_stream_reads_a_table_of_several_files(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"t{i % 7}", "en" if i % 2 else "fr", "s", i % 5) for i in range(40)], "doc_id long, text string, lang string, source string, n_chars long")
+    want = D.SPEECH_SELECT[1], D.SPEECH_SELECT[5]
+    for case, files in (("one", 1), ("many", 3)):
+        path = f"{tmp_path}/{case}"
+        rows.repartition(files).write.parquet(f"{path}/documents.parquet")
+        got = QUERIES["stream_dedup"](spark, path)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.selectExpr(*want).distinct().collect()))
+    rows.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert QUERIES["stream_dedup"](spark, f"{tmp_path}/none").count() == 0
