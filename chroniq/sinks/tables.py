@@ -1,6 +1,7 @@
 """The published corpus: appended to by runs, rewritten as a new version, partitioned by language.
 
-``<root>/data/version=V/commit=N/attempt=A/lang=L`` holds rows and ``<root>/commits`` the log that makes them visible. Every attempt
+``<root>/data/version=V/commit=N/attempt=A/lang=L`` holds rows, or ``.../attempt=A/layout=mixed`` those of a commit with more than
+``MAX_LANGUAGES`` languages, and ``<root>/commits`` the log that makes them visible. Every attempt
 writes into a folder of its own, so nothing that was committed or is being read is overwritten. Null and empty language codes are read back as null.
 """
 
@@ -10,6 +11,7 @@ import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,10 @@ from chroniq.sinks.commits import Commit, ConcurrentCommit, attempt_name, check_
 from chroniq.sources.corpus import empty_corpus
 from chroniq.sources.state import marks_to_commit, write_marks
 
+MAX_LANGUAGES = 100  # that a commit has folders for; every task writes a file for each language it holds
+MIXED = "/layout=mixed"
+_FILE = "__file"
+
 
 @dataclass(frozen=True)
 class AppendReport:
@@ -37,15 +43,25 @@ def version_path(root: str, version: int) -> str:
 
 
 def published(spark: SparkSession, root: str) -> DataFrame:
-    """The corpus as last committed. A filter on ``lang`` prunes folders."""
+    """The corpus as last committed. A filter on ``lang`` prunes folders, and pages of files of mixed languages."""
+    return _published_files(spark, root).select(*CORPUS.names)
+
+
+def _published_files(spark: SparkSession, root: str) -> DataFrame:
+    """The corpus with the file of each row, as ``__file``. Both layouts are read, each with the columns of its own folders."""
     found, dropped = live_folders(spark, root)
     if not found:
-        return empty_corpus(spark)
+        return empty_corpus(spark).withColumn(_FILE, F.lit(None).cast("string"))
     base = f"{root}/data"
-    rows = spark.read.schema(CORPUS).option("basePath", base).parquet(*[f"{base}/{folder}" for folder in found])
-    if dropped:
-        rows = rows.where(~file_name().isin(dropped))
-    return rows.select(*CORPUS.names)
+    parts = []
+    for mixed in (False, True):
+        paths = [f"{base}/{folder}" for folder in found if folder.endswith(MIXED) == mixed]
+        if paths:
+            rows = spark.read.schema(CORPUS).option("basePath", base).parquet(*paths)
+            if dropped:
+                rows = rows.where(~file_name().isin(dropped))
+            parts.append(rows.select(*CORPUS.names, file_name().alias(_FILE)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def file_name() -> Column:
@@ -53,9 +69,18 @@ def file_name() -> Column:
     return F.element_at(F.split("_metadata.file_path", "/data/(?=version=)"), -1)
 
 
+def _layout(rows: DataFrame) -> str:
+    """What a commit's folder is followed by: nothing where each language gets a folder, ``MIXED`` where they are too many."""
+    return MIXED if rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES else ""
+
+
 def _write(rows: DataFrame, path: str) -> DataFrame:
-    """Write rows by language and give back what was written, without the texts."""
-    rows.select(*CORPUS.names).write.mode("error").partitionBy("lang").parquet(path)
+    """Write rows and give back what was written, without the texts. Rows lie by language: in folders, or in order within a file."""
+    out = rows.select(*CORPUS.names)
+    if path.endswith(MIXED):
+        out.withColumn("lang", F.nullif("lang", F.lit(""))).sortWithinPartitions("lang").write.mode("error").parquet(path)
+    else:
+        out.write.mode("error").partitionBy("lang").parquet(path)
     return rows.sparkSession.read.schema("ord bigint").parquet(path)
 
 
@@ -84,8 +109,8 @@ def append_rows(
     last = last_commit(spark, root)
     seq = last.seq + 1
     attempt = attempt_name(seq)
-    path = f"{version_path(root, last.version)}/{attempt}"
-    written = _write(rows, path)
+    path, layout = f"{version_path(root, last.version)}/{attempt}", _layout(rows)
+    written = _write(rows, path + layout)
     found = written.agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
     if found.n == 0:
         remove_path(spark, path)
@@ -94,7 +119,7 @@ def append_rows(
         write_marks(marks_to_commit(written, marks), root, attempt)
     entry = Commit(seq, last.version, last.total_rows + found.n, max(last.max_ord, found.top))
     with _cleared(spark, path, f"{root}/marks/{attempt}"):
-        commit(spark, root, "append", entry, found.n, source, source_batch, attempt, attempt if marks is not None else None)
+        commit(spark, root, "append", entry, found.n, source, source_batch, attempt + layout, attempt if marks is not None else None)
     return AppendReport(last.total_rows, entry.total_rows)
 
 
@@ -112,10 +137,10 @@ def publish(rows: DataFrame, root: str, files_per_language: int | None = None) -
         part = F.pmod(F.xxhash64("ord"), F.lit(files_per_language))
         out = out.withColumn("__part", part).repartition("lang", "__part").drop("__part")
     attempt = attempt_name(seq)
-    path = f"{version_path(root, version)}/{attempt}"
-    found = _write(out, path).agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
+    path, layout = f"{version_path(root, version)}/{attempt}", _layout(rows)
+    found = _write(out, path + layout).agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
     with _cleared(spark, path):
-        commit(spark, root, "rewrite", Commit(seq, version, found.n, max(last.max_ord, found.top or -1)), found.n, folder=attempt)
+        commit(spark, root, "rewrite", Commit(seq, version, found.n, max(last.max_ord, found.top or -1)), found.n, folder=attempt + layout)
     return version
 
 
@@ -130,23 +155,24 @@ def rewrite_touched(
     """
     last = last_commit(spark, root)
     seq, version = last.seq + 1, last.version + 1
-    corpus = published(spark, root)
+    corpus = _published_files(spark, root)
     touched = []
     if last.total_rows:
-        found = lookup_join(corpus.select(*on, file_name().alias("__file")), keys.select(*on), on, "left_semi")
-        touched = sorted(r[0] for r in found.select("__file").distinct().collect())
+        found = lookup_join(corpus.select(*on, _FILE), keys.select(*on), on, "left_semi")
+        touched = sorted(r[0] for r in found.select(_FILE).distinct().collect())
     attempt = attempt_name(seq)
-    path, before, after, top = f"{version_path(root, version)}/{attempt}", 0, 0, None
+    path, layout, before, after, top = f"{version_path(root, version)}/{attempt}", "", 0, 0, None
     if touched:
-        rows = corpus.where(file_name().isin(touched))
-        before = rows.count()
-        found = _write(change(rows), path).agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
+        rows = corpus.where(F.col(_FILE).isin(touched)).select(*CORPUS.names)
+        before, changed = rows.count(), change(rows)
+        layout = _layout(changed)
+        found = _write(changed, path + layout).agg(F.count("*").alias("n"), F.max("ord").alias("top")).first()
         after, top = found.n, found.top
     if not after:
         remove_path(spark, path)
     entry = Commit(seq, version, last.total_rows - before + after, max(last.max_ord, -1 if top is None else top))
     with _cleared(spark, path):
-        commit(spark, root, "files", entry, after, folder=attempt if after else None, dropped=touched)
+        commit(spark, root, "files", entry, after, folder=attempt + layout if after else None, dropped=touched)
     return version
 
 

@@ -161,6 +161,31 @@ def test_a_patch_writes_touched_files_only(spark, tmp_path):
     assert tables.published(spark, root).count() == 2
 
 
+def test_many_languages_lie_in_few_files(spark, tmp_path):
+    """Each task wrote a file for every language it held. Both layouts are read, patched and deleted from together."""
+    root = str(tmp_path / "corpus")
+    langs = "CASE WHEN id = 0 THEN NULL WHEN id = 1 THEN '' ELSE concat('f/=', id % 150) END"
+    many = spark.range(600).repartition(4).selectExpr("id AS ord", "id AS date", "concat('l', id) AS link", "'t' AS topic", "'x' AS full_text", f"{langs} AS lang")
+    assert tables.append_rows(many, root) == tables.AppendReport(0, 600)
+    assert len(files_of(root)) <= 4
+    few = many.where("ord < 5").selectExpr("ord + 1000 AS ord", "date", "link", "topic", "full_text", "'en' AS lang")
+    assert tables.append_rows(few, root) == tables.AppendReport(600, 605)
+    assert any("lang=en" in str(p) for p in files_of(root))
+    want = {r.ord: r.lang or None for r in many.unionByName(few).collect()}
+    assert {r.ord: r.lang for r in tables.published(spark, root).collect()} == want
+    assert sorted(r.ord for r in tables.published(spark, root).where("lang = 'f/=7'").collect()) == [7, 157, 307, 457]
+    assert tables.published(spark, root).where("lang = 'en'").count() == 5
+    patches = spark.createDataFrame([("l3", "new")], "link string, full_text string")
+    assert maintenance.run_patch(spark, root, patches) == 1
+    assert sorted(r.ord for r in tables.published(spark, root).where("full_text = 'new'").collect()) == [3, 1003]
+    assert maintenance.run_deny(spark, root, patches.select("link")) == 2
+    del want[3], want[1003]
+    assert {r.ord: r.lang for r in tables.published(spark, root).collect()} == want
+    assert tables.publish(tables.published(spark, root), root, 2) == 3
+    assert {r.ord: r.lang for r in tables.published(spark, root).collect()} == want
+    assert last_commit(spark, root).total_rows == len(want)
+
+
 def test_a_patch_that_meets_another_writer(spark, rows, tmp_path, monkeypatch):
     root, write = str(tmp_path / "corpus"), tables.commit
     tables.append_rows(rows, root)
