@@ -207,20 +207,23 @@ def _walked_container(html: Column, is_start: Callable[[Column], Column]) -> Col
 
 def _has_stray_end(fragment: Column) -> Column:
     """Whether a fragment closes something that it does not open."""
-    tags = F.regexp_replace(fragment, rf"(?is){_COMMENT}|{_RAW}", "")
-    ends = F.regexp_extract_all(tags, F.lit(r"</([a-zA-Z][^\s/>]*)"), F.lit(1))
-    starts = F.regexp_extract_all(tags, F.lit(r"<([a-zA-Z][^\s/>]*)"), F.lit(1))
+    tags = F.regexp_replace(fragment, rf"(?is)<(?:{_COMMENT[1:]}|{_RAW[1:]})", "")
 
-    def stray(ends: Column, starts: Column) -> Column:
+    def stray(lowered: Column, ends: Column, starts: Column) -> Column:
         def unopened(name: Column) -> Column:
             more = F.size(F.filter(ends, lambda e: e == name)) > F.size(F.filter(starts, lambda x: x == name))
-            lowered = F.lower(tags)
             return more | (F.position(F.concat(F.lit("</"), name), lowered) < F.position(F.concat(F.lit("<"), name), lowered))
 
         return F.exists(F.array_distinct(ends), unopened)
 
-    lower = lambda names: F.transform(names, F.lower)
-    return let(lower(ends), lambda e: let(lower(starts), lambda s: stray(e, s)))
+    def names(tags: Column, before: str) -> Column:
+        return F.transform(F.regexp_extract_all(tags, F.lit(rf"{before}([a-zA-Z][^\s/>]*)"), F.lit(1)), F.lower)
+
+    # The fragment is cleaned and lower-cased once, and its names are listed once.
+    return let(
+        tags,
+        lambda tags: let(F.lower(tags), lambda low: let(names(tags, "</"), lambda ends: let(names(tags, "<"), lambda starts: stray(low, ends, starts)))),
+    )
 
 
 def container(html: Column, name: str, class_part: str | None = None) -> Column:
@@ -321,7 +324,8 @@ def elements(html: Column, name: str, class_part: str | None = None) -> Column:
     if name in ("p", "li"):
         ends += r"|</?(?:div|ul|ol|h[1-6]|section|article|body)(?=[\s/>])"
     inner = rf"[^<]*+(?:(?:{_COMMENT}|{_RAW}|(?!{ends})<)[^<]*+)*+"
-    pattern = rf"(?is){_COMMENT}|{_RAW}|<{_element(name)}{_TAG_REST}{inner}(?:</{name}\s*>)?"
+    # All three begin alike, so that text is passed over by one comparison a character.
+    pattern = rf"(?is)<(?:{_COMMENT[1:]}|{_RAW[1:]}|{_element(name)}{_TAG_REST}{inner}(?:</{name}\s*>)?)"
     found = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
 
     def wanted(token: Column) -> Column:

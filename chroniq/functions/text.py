@@ -64,13 +64,22 @@ def literal_map(table: dict[str, object]) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """Runs of white space become one space; none is left at the ends."""
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    # A single blank is left as it is.
+    return F.trim(F.regexp_replace(text, rf"{SPACE}{{2,}}+|[{SPACE}&&[^ ]]", " "))
 
 
 def strip(text: Column) -> Column:
     """Remove white space at both ends only."""
-    # The look-behind lets a run be tried at its start only, so long runs stay linear.
-    return F.regexp_replace(text, rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
+    space = F.lit(SPACE)
+
+    def start(t: Column) -> Column:
+        return F.when(F.rlike(F.substring(t, 1, 1), space), F.regexp_replace(t, rf"\A{SPACE}++", "")).otherwise(t)
+
+    def end(t: Column) -> Column:
+        # The look-behind lets a run be tried at its start only, so long runs stay linear.
+        return F.when(F.rlike(F.substring(t, -1, 1), space), F.regexp_replace(t, rf"(?<!{SPACE}){SPACE}++\z", "")).otherwise(t)
+
+    return let(text, lambda t: let(start(t), end))
 
 
 def is_missing(text: Column) -> Column:

@@ -20,9 +20,11 @@ _CDATA = r"<!\[CDATA\[(?:[^\]]++|\](?!\]>))*+\]\]>"
 _ASIDE = r"<!--.*?-->|<\?.*?\?>"
 _TAG = r"""</?[A-Za-z_:](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 #: Names in another case, and fields with more in them than text: the parser reads these otherwise than they are meant.
-_OTHER_CASE = rf"</?(?i:{_NAMES})(?=[\s/>])(?<![</](?:{_NAMES}))"
-_MIXED = rf"<(?:{'|'.join(_FIELDS)})(?:\s[^>]*+)?(?<!/)>(?:[^<]++|{_CDATA})*+<(?!/)"
-_ODD = rf"(?s){_OTHER_CASE}|{_MIXED}"
+_OTHER_CASE = rf"/?(?i:{_NAMES})(?=[\s/>])(?<![</](?:{_NAMES}))"
+_MIXED = rf"(?:{'|'.join(_FIELDS)})(?:\s[^>]*+)?(?<!/)>(?:[^<]++|{_CDATA})*+<(?!/)"
+_ODD = rf"(?s)<(?:{_OTHER_CASE}|{_MIXED})"
+#: A field with nothing but text in it, as one token.
+_PLAIN_FIELD = "|".join(rf"<{name}(?:\s[^<>\"']*+)?(?<!/)>(?:[^<]++|{_CDATA})*+</{name}\s*+>" for name in _FIELDS)
 _PROLOG = rf"\A(?:\s++|{_ASIDE}|<!DOCTYPE(?:[^\[>]*+(?:\[.*?\]\s*+)?)>)*+"
 
 
@@ -39,26 +41,38 @@ def _parse(body: Column) -> Column:
 
 def _own_texts(body: Column) -> Column:
     """The document with names of other case renamed, and fields cut down to the text before their first child."""
-    tokens = F.regexp_extract_all(body, F.lit(rf"(?s){_CDATA}|{_ASIDE}|{_TAG}|[^<]++|<"), F.lit(0))
-    renamed = F.transform(tokens, lambda t: F.regexp_replace(t, rf"\A(</?)(?=(?i:{_NAMES})[\s/>])(?!(?:{_NAMES})[\s/>])", "$1other-"))
+    tokens = F.regexp_extract_all(body, F.lit(rf"(?s){_CDATA}|{_ASIDE}|{_PLAIN_FIELD}|{_TAG}|[^<]++|<"), F.lit(0))
+    rename = lambda t: F.regexp_replace(t, rf"\A(</?)(?=(?i:{_NAMES})[\s/>])(?!(?:{_NAMES})[\s/>])", "$1other-")
+    renamed = F.when(F.rlike(body, F.lit(rf"<{_OTHER_CASE}")), F.transform(tokens, rename)).otherwise(tokens)
+    aside, text, end, child, field, start = range(6)
+
+    def kind_of(token: Column) -> Column:
+        # A tag that is an element by itself, or a plain field, which is a child where it lies in another field.
+        alone = F.endswith(token, F.lit("/>")) | F.contains(token, F.lit("</"))
+        opens = F.when(alone, child).when(F.rlike(token, F.lit(rf"\A<(?:{'|'.join(_FIELDS)})[\s/>]")), field).otherwise(start)
+        return (
+            F.when(~F.startswith(token, F.lit("<")), text)
+            .when(F.startswith(token, F.lit("</")), end)
+            .when(F.rlike(token, F.lit(r"\A<[A-Za-z_:]")), opens)
+            .when(F.rlike(token, F.lit(r"\A<[!?](?!\[CDATA)")), aside)
+            .otherwise(text)
+        )
 
     def step(state: Column, token: Column) -> Column:
-        ends = F.startswith(token, F.lit("</"))
-        starts = F.rlike(token, F.lit(r"\A<[A-Za-z_:]"))
-        alone = starts & F.endswith(token, F.lit("/>"))
-        text = ~ends & ~starts & ~F.rlike(token, F.lit(r"\A<[!?](?!\[CDATA)"))
-        opens_field = starts & ~alone & F.rlike(token, F.lit(rf"\A<(?:{'|'.join(_FIELDS)})[\s/>]"))
+        return let(kind_of(token), lambda kind: move(state, kind))
+
+    def move(state: Column, kind: Column) -> Column:
         # 0 outside of fields, else the number of open elements from the field on.
         inside = state["inside"]
         after = (
-            F.when(inside == 0, F.when(opens_field, 1).otherwise(0))
-            .when(ends, inside - 1)
-            .when(starts & ~alone, inside + 1)
+            F.when(inside == 0, F.when(kind == field, 1).otherwise(0))
+            .when(kind == end, inside - 1)
+            .when(kind >= field, inside + 1)
             .otherwise(inside)
         )
-        child = F.when(inside == 0, False).otherwise(state["child"] | starts)
-        kept = (inside == 0) | (ends & (inside == 1)) | ((inside == 1) & text & ~state["child"])
-        return F.struct(F.struct(after.alias("inside"), child.alias("child")).alias("at"), kept.alias("kept"))
+        in_child = F.when(inside == 0, False).otherwise(state["child"] | (kind >= child))
+        kept = (inside == 0) | (inside == 1) & ((kind == end) | (kind == text) & ~state["child"])
+        return F.struct(F.struct(after.alias("inside"), in_child.alias("child")).alias("at"), kept.alias("kept"))
 
     return F.array_join(keep_by_walk(renamed, {"inside": F.lit(0), "child": F.lit(False)}, step), "")
 
@@ -121,11 +135,13 @@ def parse_feeds(feeds: DataFrame, tz: str = "UTC") -> DataFrame:
     """
     body = F.col("body")
 
-    def judge(plain: Column, document: Column) -> Column:
-        sound = document["_corrupt_record"].isNull() & _has_one_root(body)
+    def judge(plain: Column, documents: Column) -> Column:
+        document = documents[0]
         # What was cut out has to be well-formed too.
-        sound = sound & F.when(_is_odd(body), _parse(_named_apart(body))["_corrupt_record"].isNull()).otherwise(True)
-        well_formed = F.coalesce(sound, F.lit(False))
+        sound = document["_corrupt_record"].isNull() & documents[1]["_corrupt_record"].isNull() & _has_one_root(body)
+        return let(F.coalesce(sound, F.lit(False)), lambda sound: found_in(plain, document, sound))
+
+    def found_in(plain: Column, document: Column, well_formed: Column) -> Column:
         # Elements in a namespace of their own have other names.
         channels = F.when(~F.rlike(body, F.lit(rf"(?s){_PROLOG}<[^>]*\sxmlns\s*=")), _channels(plain, document))
         channel = F.when(well_formed, F.get(channels, F.lit(0)))
@@ -148,8 +164,12 @@ def parse_feeds(feeds: DataFrame, tz: str = "UTC") -> DataFrame:
         return F.struct(kept.alias("items"), first_date.alias("latest"), error.alias("error_context"))
 
     # One expression, so that the optimizer has no intermediate column to copy the parse into.
-    plain = F.when(_is_odd(body), _own_texts(body)).otherwise(body)
-    found = let(plain, lambda p: let(_parse(_named_apart(p)), lambda document: judge(p, document)))
+    def parse(odd: Column, plain: Column) -> Column:
+        texts = F.array(_named_apart(plain), F.when(odd, _named_apart(body)))
+        return let(F.transform(texts, _parse), lambda documents: judge(plain, documents))
+
+    # Each part is computed once, as nothing shares equal parts of an expression inside a lambda.
+    found = let(_is_odd(body), lambda odd: let(F.when(odd, _own_texts(body)).otherwise(body), lambda plain: parse(odd, plain)))
     parsed = feeds.withColumn("__feed", found)
     fields = [F.col(f"__feed.{name}") for name in ("items", "latest", "error_context")]
     return parsed.select(*feeds.columns, *fields)
