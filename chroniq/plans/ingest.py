@@ -117,9 +117,9 @@ def plan_ingest(
     parsed_feeds = parse_feeds(feeds, tz)
     # Only the bodies of unusable feeds are kept.
     body = F.when(F.col("error_context").isNotNull(), F.col("body"))
-    parsed_feeds = stage(parsed_feeds.withColumn("body", body), folder, "feeds")
+    parsed_feeds = stage(parsed_feeds.withColumn("body", body), folder, "feeds", "zstd")
     candidates_for_listing = fallback_pages(listings, parsed_feeds)
-    parsed_listings = stage(parse_listings(candidates_for_listing, site_domain, tz), folder, "listings")
+    parsed_listings = stage(parse_listings(candidates_for_listing, site_domain, tz), folder, "listings", "zstd")
 
     items = collect_items(parsed_feeds, parsed_listings)
     latest = latest_dates(parsed_feeds, items)
@@ -127,12 +127,12 @@ def plan_ingest(
     unmarked = unmarked.limit(0) if force else unmarked.join(marks.select("lang"), "lang", "left_anti")
     processed = latest.join(unmarked, "lang", "left_anti")
 
-    fresh = stage(items if force else take_while_newer(items, marks), folder, "fresh")
+    fresh = stage(items if force else take_while_newer(items, marks), folder, "fresh", "zstd")
     texts = article_texts(pages, fresh.select("link"), tag, class_part).withColumnRenamed("url", "link")
     joined = skew_join(fresh, texts.withColumn("crawled", F.lit(True)), ["link"], "left")
     # Only the pages of rejected items are kept whole.
     joined = joined.withColumn("html", F.when(F.col("article_text").isNull(), F.col("html")))
-    joined = stage(joined, folder, "articles")
+    joined = stage(joined, folder, "articles", "zstd")
 
     # A listing page of which no article could be read ends the scan.
     per_page = joined.where("page > 0").groupBy("lang", "page").agg((F.count("article_text") == 0).alias("empty"))

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chroniq import constants as K
 from chroniq.functions.html import container_text
 from chroniq.functions.text import is_blocked_page
-from chroniq.operators.lookup import lookup_join
+from chroniq.operators.lookup import MAX_BROADCAST_BYTES, lookup_join, measured_bytes
 from chroniq.schemas import PAGES
 from chroniq.session import stage, work_folder
 
@@ -48,7 +48,30 @@ def addressed_pages(pages: DataFrame) -> DataFrame:
             return crawled.select("*", *address)
         except AnalysisException:  # files of another format have no row numbers
             pass
-    return stage(crawled, work_folder(pages.sparkSession, "crawls"), "pages").select("*", *address)
+    return stage(crawled, work_folder(pages.sparkSession, "crawls"), "pages", "zstd").select("*", *address)
+
+
+def _row_bits(rows: DataFrame) -> DataFrame:
+    """``__file, __block, __bits``: the addressed rows as bitmaps, one for each run of rows of a file that holds any."""
+    row = F.col("__row") + 1
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(row)).alias("__bits")
+    return rows.groupBy("__file", F.bitmap_bucket_number(row).alias("__block")).agg(bits)
+
+
+def _in_bits() -> Column:
+    place = F.bitmap_bit_position(F.col("__row") + 1)
+    byte = F.conv(F.hex(F.substr("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (place % 8).cast("int")) == 1
+
+
+def _rows_at(crawled: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``crawled`` that ``chosen(url, __file, __row)`` names. As bitmaps their addresses take a bit of each crawled row, so
+    pages are not shuffled; only where few of very many files' rows are chosen are bitmaps too many, and rows are joined."""
+    bits = stage(_row_bits(chosen), work_folder(crawled.sparkSession, "crawls"), "bits", "zstd")
+    if measured_bytes(bits) > MAX_BROADCAST_BYTES:
+        return lookup_join(crawled, chosen, ["url", "__file", "__row"], "left_semi")
+    blocks = crawled.withColumn("__block", F.bitmap_bucket_number(F.col("__row") + 1))
+    return blocks.join(F.broadcast(bits), ["__file", "__block"]).where(_in_bits())
 
 
 def newest_pages(pages: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -68,7 +91,7 @@ def newest_pages(pages: DataFrame, wanted: DataFrame) -> DataFrame:
     files = [r[0] for r in chosen.select("__file").distinct().limit(MAX_FILES + 1).collect()]
     if len(files) <= MAX_FILES:  # the join alone would open all files
         crawled = crawled.where(F.col("__file").isin(files))
-    return lookup_join(crawled, chosen, ["url", "__file", "__row"], "left_semi").select("url", "html")
+    return _rows_at(crawled, chosen).select("url", "html")
 
 
 def article_texts(

@@ -460,3 +460,29 @@ def test_newest_pages_of_any_frame(spark, tmp_path, source):
     got = [(r.url, r.html) for r in articles.newest_pages(pages, wanted).collect()]
     assert len(got) == 4
     assert dict(got)["a"] == "new" and dict(got)["b"] == blocked and dict(got)["c"] in "xy" and dict(got)["d"] is None
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_chosen_rows_are_found_by_bitmaps(spark, tmp_path, monkeypatch, bound):
+    """Rows at the ends of a bitmap's run, of several files; beyond the bound the rows are joined."""
+    if bound is not None:
+        monkeypatch.setattr(articles, "MAX_BROADCAST_BYTES", -1)
+    columns = ["concat('u', id) AS url", "concat('h', id) AS html", "200 AS status", "0L AS seen"]
+    for part in range(2):
+        spark.range(part * 70_000, part * 70_000 + 70_000, 1, 1).selectExpr(*columns).write.mode("append").parquet(str(tmp_path / "p"))
+    pages = spark.read.schema(PAGES).parquet(str(tmp_path / "p"))
+    ids = [0, 7, 8, 32767, 32768, 65535, 65536, 69999, 70000, 70001, 102767, 102768, 139999]
+    wanted = spark.createDataFrame([(f"u{i}",) for i in ids], "url string")
+    frame = articles.newest_pages(pages, wanted)
+    assert sorted((r.url, r.html) for r in frame.collect()) == sorted((f"u{i}", f"h{i}") for i in ids)
+
+
+def test_large_choices_shuffle_no_html(spark, tmp_path, monkeypatch):
+    """Where the chosen addresses are too many for a broadcast, their bitmaps are not."""
+    columns = ["concat('u', id) AS url", "concat('h', id) AS html", "200 AS status", "0L AS seen"]
+    spark.range(1000).selectExpr(*columns).write.parquet(str(tmp_path / "p"))
+    pages = spark.read.schema(PAGES).parquet(str(tmp_path / "p"))
+    monkeypatch.setattr(articles.lookup_join, "__defaults__", (0,))
+    frame = articles.newest_pages(pages, pages.select("url"))
+    assert frame.count() == 1000
+    assert "hashpartitioning" not in plan_of(frame)
