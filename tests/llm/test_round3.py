@@ -4,9 +4,11 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from edge import base_rows, documents, prose
@@ -283,6 +285,52 @@ def test_intervals_hold_the_product():
             assert ((high - low)[1:] < 0.35 * widest[1:]).all()
 
 
+def coded(x, labels, rotations=2):
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(len(x))), pa.array(labels), pa.array(np.full(len(x), x.shape[1], np.int32)), pa.array(list(x))], ["vec_id", "label", "size", "vector"]
+    )
+    return pa.Table.from_batches(hard_negatives._coder(rotations)([batch])).combine_chunks().to_batches()
+
+
+def test_a_row_is_scored_once_for_all_windows_of_an_anchor(monkeypatch):
+    rng = np.random.default_rng(11)
+    x, labels = np.floor(rng.normal(size=(400, 8)) * 20_000), rng.integers(0, 3, 400)
+    anchors = [(int(i), int(labels[i]), x[i], [(-(2**40), int(1e9) + 1000 * w) for w in range(5)]) for i in range(0, 400, 100)]
+    seen, products = [], hard_negatives.products
+    monkeypatch.setattr(hard_negatives, "products", lambda rows, q, *more: seen.extend((q.tobytes(), r.tobytes()) for r in rows) or products(rows, q, *more))
+    found = next(hard_negatives._scanner(SimpleNamespace(value=anchors), 2, 3, True)(coded(x, labels))).to_pylist()
+    assert seen
+    assert len(seen) == len(set(seen))
+    expected = set()
+    for i, label, q, windows in anchors:
+        for slot, (low, high) in enumerate(windows):
+            fit = sorted((-int(s), j) for j, s in enumerate(x @ q) if labels[j] != label and low <= s <= high)[:3]
+            expected |= {(i, slot, j, -s) for s, j in fit}
+    assert {(r["anchor_id"], r["slot"], r["vec_id"], r["score"]) for r in found} == expected
+
+
+def test_rotations_are_made_once_for_a_size(monkeypatch):
+    made, frame = [], hard_negatives.frame
+    monkeypatch.setattr(hard_negatives, "frame", lambda size, rotations: made.append(size) or frame(size, rotations))
+    rows = 3 * 4096
+    coded(np.ones((rows, 4)), np.zeros(rows, np.int64))
+    assert made == [4]
+
+
+@pytest.mark.parametrize("scale", [1, 256, 2**12, 2**24, 2**40, 1e290])
+def test_products_are_exact_at_any_magnitude(scale):
+    rng = np.random.default_rng(2)
+    x = np.floor(rng.normal(size=(50, 16)) * scale)
+    x[:5] = 0
+    part = coded(x, np.zeros(50, np.int64))[0]
+    block = hard_negatives.Block(part, 16)
+    for q in (x[7], x[0], np.full(16, 1e200), np.ones(16)):
+        for rows in (np.arange(5), np.arange(50)):
+            got = block.scores(rows, q).tolist()
+            whole = [sum(int(a) * int(b) for a, b in zip(r, q, strict=True)) for r in x[rows].tolist()]
+            assert got == [max(-hard_negatives.LONG, min(hard_negatives.LONG, v)) for v in whole]
+
+
 def test_registered_query_equals_its_sql(spark):
     sf_dir = "/root/testdata/sf0.001"
     assert compare(Q.op13_hard_negatives(spark, sf_dir), connect(sf_dir), OP13) is None
